@@ -14,9 +14,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.operators import reports
+from furlong.operators import lookups, pedigree, reports
 from furlong.operators.runners import rated_runners
 from furlong.sources import oracle_sql as sql
+from furlong.sources import requests as req
 from furlong.sources.fixtures import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,11 +44,40 @@ def _q10(spark: SparkSession, d: str) -> DataFrame:
     return df.withColumn("win_odds", F.col("win_odds").cast("double"))
 
 
+def _q5(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return lookups.jockey_course_feature(t, req.jockey_requests(t))
+
+
+def _q6(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return lookups.horse_sire_track_roi_feature(t, req.horse_requests(t))
+
+
+def _q7(spark: SparkSession, d: str) -> DataFrame:
+    return lookups.sire_track_roi_rank(fixture_tables(spark, d))
+
+
+def _q8(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return pedigree.pedigree_rows(t, req.registered_horses(t))
+
+
+def _q9(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return pedigree.flatten_tree(pedigree.pedigree_tree(t, req.runner_horses(t)))
+
+
 QUERIES: dict[str, Query] = {
     "sire_track_condition_roi": _q1,
     "jockey_course_roi": _q2,
     "jockey_popularity_roi": _q3,
     "jockey_surface_condition_roi": _q4,
+    "jockey_course_feature": _q5,
+    "horse_sire_track_roi_feature": _q6,
+    "sire_track_roi_rank": _q7,
+    "pedigree_rows": _q8,
+    "pedigree_tree": _q9,
     "rated_runners": _q10,
 }
 
@@ -56,5 +86,10 @@ ORACLE: dict[str, Callable[[], str]] = {
     "jockey_course_roi": sql.jockey_course_roi,
     "jockey_popularity_roi": sql.jockey_popularity_roi,
     "jockey_surface_condition_roi": sql.jockey_surface_condition_roi,
+    "jockey_course_feature": sql.jockey_course_feature,
+    "horse_sire_track_roi_feature": sql.horse_sire_track_roi_feature,
+    "sire_track_roi_rank": sql.sire_track_roi_rank,
+    "pedigree_rows": sql.pedigree_rows,
+    "pedigree_tree": sql.pedigree_tree,
     "rated_runners": sql.rated_runners,
 }

@@ -210,3 +210,203 @@ SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango, horse_id, jockey_id
   distance_category, popularity_category, finish_pos,
   CAST(odds10 AS DOUBLE) / 10 AS win_odds, popularity
 FROM rated"""
+
+
+# --- lookups ---------------------------------------------------------------
+
+_RUNS = f"""
+runs AS (
+  SELECT s.kishu_code, s.ketto_toroku_bango, r.keibajo_code,
+    {_COURSE} AS course_name, {_TRACK} AS track_type, {_GOING} AS track_condition,
+    {_DIST} AS distance_category
+  FROM jvd_se s
+  {_RACE_JOIN}
+)"""
+
+_SIRE_TOTALS = """
+tot AS (
+  SELECT sire_id, track_type, track_condition, COUNT(*) AS n,
+    COUNT(*) FILTER (WHERE finish_pos = '01') AS w,
+    SUM(CASE WHEN finish_pos = '01' THEN odds10 ELSE 0 END) AS s10
+  FROM rated_sire
+  GROUP BY sire_id, track_type, track_condition
+),
+rk AS (
+  SELECT sire_id, track_type, track_condition,
+    ROW_NUMBER() OVER (PARTITION BY track_type, track_condition
+                       ORDER BY s10 / n DESC, sire_id ASC NULLS LAST) AS rnk
+  FROM tot
+  WHERE n >= 20
+)"""
+
+
+def sire_track_roi_rank() -> str:
+    return _with(_rated(True), _SIRE_TOTALS) + f"""
+SELECT tot.sire_id, tot.track_type, tot.track_condition, n AS total_races,
+  {_d(_h('s10', 'n', 10))} AS roi_percentage,
+  CAST(rnk AS BIGINT) AS roi_rank
+FROM tot JOIN rk USING (sire_id, track_type, track_condition)"""
+
+
+def horse_sire_track_roi_feature() -> str:
+    other, firm = _q(OTHER_TRACK), _q(GOING_NAMES["1"])
+    return _with(_rated(True), _SIRE_TOTALS, _RUNS) + f""",
+req AS (
+  SELECT DISTINCT * FROM (
+    SELECT ketto_toroku_bango AS horse_id, track_type, track_condition FROM runs
+    UNION ALL
+    SELECT ketto_toroku_bango, {other}, {firm} FROM jvd_se)
+),
+hs AS (
+  SELECT hid, sire_id, sire_name FROM (
+    SELECT ketto_toroku_bango AS hid, ketto_joho_01a AS sire_id,
+      trim(ketto_joho_01b) AS sire_name,
+      ROW_NUMBER() OVER (PARTITION BY ketto_toroku_bango
+                         ORDER BY ketto_joho_01a NULLS FIRST,
+                                  trim(ketto_joho_01b) NULLS FIRST) AS k
+    FROM jvd_um)
+  WHERE k = 1
+)
+SELECT q.horse_id, q.track_type, q.track_condition, hs.sire_name,
+  COALESCE({_d(_h('tot.s10', 'tot.n', 10))}, 0.0) AS sire_track_roi,
+  COALESCE({_d(_h('tot.w', 'tot.n', 100))}, 0.0) AS sire_track_win_rate,
+  COALESCE(tot.n, 0) AS sire_track_races,
+  COALESCE(CAST(rk.rnk AS BIGINT), 0) AS sire_track_roi_rank
+FROM req q
+LEFT JOIN hs ON hs.hid = q.horse_id
+LEFT JOIN tot ON tot.sire_id = hs.sire_id AND tot.track_type = q.track_type
+             AND tot.track_condition = q.track_condition
+LEFT JOIN rk ON rk.sire_id = hs.sire_id AND rk.track_type = q.track_type
+            AND rk.track_condition = q.track_condition"""
+
+
+def jockey_course_feature() -> str:
+    code_of = ("CASE course_name "
+               + " ".join(f"WHEN {_q(v)} THEN {_q(k)}" for k, v in COURSE_NAMES.items())
+               + " ELSE course_name END")
+    cond_metrics = ",\n    ".join(
+        f"{METRICS[m]} AS {m}" for m in
+        ("total_races", "wins", "top3_finishes", "win_rate", "top3_rate", "roi_percentage",
+         "avg_win_odds", "avg_popularity", "middle_odds_wins", "longshot_wins"))
+    keys = "q.jockey_id, q.course_name, q.track_type, q.distance_category"
+    found = "b.rn IS NOT NULL"
+    return _with(_rated(False), _RUNS) + f""",
+req AS (
+  SELECT DISTINCT * FROM (
+    SELECT kishu_code AS jockey_id, course_name, track_type, distance_category FROM runs
+    UNION ALL
+    SELECT kishu_code, keibajo_code, track_type, distance_category FROM runs
+    UNION ALL
+    SELECT 'X' || kishu_code, course_name, track_type, distance_category FROM runs)
+),
+cond AS (
+  SELECT jockey_id, jockey_name, keibajo_code, track_type, distance_category,
+    {cond_metrics},
+    {_h(_ODDS10_SUM, _N, 10)} AS roi_h,
+    {_h(_WINS, _N, 100)} AS win_h
+  FROM rated
+  GROUP BY jockey_id, jockey_name, keibajo_code, track_type, distance_category
+),
+overall AS (
+  SELECT s.kishu_code AS jockey_id, trim(s.kishumei_ryakusho) AS all_name,
+    COUNT(*) AS all_total_races,
+    {_h("COUNT(*) FILTER (WHERE s.kakutei_chakujun = '01')", _N, 100)} AS all_win_h,
+    {_h("SUM(CASE WHEN s.kakutei_chakujun = '01' THEN CAST(s.tansho_odds AS BIGINT) ELSE 0 END)", _N, 10)} AS all_roi_h
+  FROM jvd_se s
+  WHERE {_RATED_WHERE}
+  GROUP BY s.kishu_code, trim(s.kishumei_ryakusho)
+),
+cand AS (
+  SELECT {keys}, c.*, o.all_name, o.all_total_races, o.all_win_h, o.all_roi_h,
+    ROW_NUMBER() OVER (PARTITION BY {keys}
+      ORDER BY c.total_races DESC, c.jockey_name, o.all_total_races DESC, o.all_name) AS rn
+  FROM (SELECT *, {code_of} AS code FROM req) q
+  JOIN cond c ON c.jockey_id = q.jockey_id AND c.keibajo_code = q.code
+             AND c.track_type = q.track_type AND c.distance_category = q.distance_category
+  JOIN overall o ON o.jockey_id = c.jockey_id
+),
+best AS (SELECT * FROM cand WHERE rn = 1)
+SELECT {keys},
+  CASE WHEN {found} THEN b.jockey_name ELSE '' END AS jockey_name,
+  CASE WHEN {found} THEN b.total_races ELSE 0 END AS total_races,
+  CASE WHEN {found} THEN b.wins ELSE 0 END AS wins,
+  b.top3_finishes,
+  CASE WHEN {found} THEN b.win_rate ELSE 0.0 END AS win_rate,
+  b.top3_rate,
+  CASE WHEN {found} THEN b.roi_percentage ELSE 0.0 END AS roi_percentage,
+  CASE WHEN {found} THEN b.avg_win_odds ELSE 0.0 END AS avg_win_odds,
+  b.avg_popularity, b.middle_odds_wins, b.longshot_wins, b.all_total_races,
+  {_d('b.all_win_h')} AS all_win_rate,
+  {_d('b.all_roi_h')} AS all_roi_percentage,
+  CASE WHEN {found} THEN {_d(_h('b.roi_h', 'b.all_roi_h', 1))} ELSE 0.0 END AS course_aptitude_index,
+  CASE WHEN {found} THEN {_d(_h('b.win_h', 'b.all_win_h', 1))} ELSE 0.0 END AS win_rate_ratio
+FROM req q
+LEFT JOIN best b ON b.jockey_id = q.jockey_id AND b.course_name = q.course_name
+                AND b.track_type = q.track_type AND b.distance_category = q.distance_category"""
+
+
+# --- pedigree --------------------------------------------------------------
+
+def _pedigree(roots_sql: str) -> str:
+    steps = []
+    for g in (2, 3):
+        prev = f"g{g - 1}"
+        steps.append(f"""
+e{g} AS (
+  SELECT root_id, position, '1' AS side, sire_id AS pid, sire_name AS pname FROM {prev}
+  UNION ALL
+  SELECT root_id, position, '2', dam_id, dam_name FROM {prev}
+),
+g{g} AS (
+  SELECT e.root_id, e.pid AS horse_id, e.pname AS horse_name, u.sire_id, u.sire_name,
+    u.dam_id, u.dam_name, {g} AS generation, e.position || e.side AS position
+  FROM e{g} e LEFT JOIN um u ON u.id = e.pid
+  WHERE e.pid <> '0000000000'
+)""")
+    return f"""
+um AS (
+  SELECT ketto_toroku_bango AS id, trim(bamei) AS name,
+    ketto_joho_01a AS sire_id, trim(ketto_joho_01b) AS sire_name,
+    ketto_joho_02a AS dam_id, trim(ketto_joho_02b) AS dam_name
+  FROM jvd_um
+),
+roots AS ({roots_sql}),
+g1 AS (
+  SELECT ro.root_id, u.id AS horse_id, u.name AS horse_name, u.sire_id, u.sire_name,
+    u.dam_id, u.dam_name, 1 AS generation, '1' AS position
+  FROM roots ro JOIN um u ON u.id = ro.root_id
+),""" + ",".join(steps) + """,
+pedigree AS (
+  SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3
+)"""
+
+
+def pedigree_rows() -> str:
+    return _with(_pedigree("SELECT ketto_toroku_bango AS root_id FROM jvd_um")) + """
+SELECT root_id, horse_id, horse_name, sire_id, sire_name, dam_id, dam_name,
+  generation, position
+FROM pedigree"""
+
+
+def pedigree_tree() -> str:
+    def at(pos: str, col: str, alias: str) -> str:
+        return f"max(CASE WHEN position = '{pos}' THEN {col} END) AS {alias}"
+
+    slots = ",\n    ".join([
+        at("1", "horse_id", "id"), at("1", "horse_name", "name"),
+        at("1", "sire_id", "s_id"), at("1", "sire_name", "s_name"),
+        at("1", "dam_id", "d_id"), at("1", "dam_name", "d_name"),
+        at("11", "sire_id", "ss_id"), at("11", "sire_name", "ss_name"),
+        at("11", "dam_id", "sd_id"), at("11", "dam_name", "sd_name"),
+        at("12", "sire_id", "ds_id"), at("12", "sire_name", "ds_name"),
+        at("12", "dam_id", "dd_id"), at("12", "dam_name", "dd_name"),
+    ])
+    return _with(_pedigree("SELECT DISTINCT ketto_toroku_bango AS root_id FROM jvd_se")) + f"""
+SELECT ro.root_id, t.* EXCLUDE (root_id)
+FROM roots ro
+LEFT JOIN (
+  SELECT root_id,
+    {slots}
+  FROM pedigree
+  GROUP BY root_id
+) t ON t.root_id = ro.root_id"""
