@@ -3,11 +3,12 @@
 Every metric is built from a handful of additive totals (counts and sums),
 so Spark aggregates them in two phases (map-side partial, then final after
 the shuffle) and a hot group costs one row per task in the shuffle, no
-matter how many runners it has.  Rounded rates are derived from the totals
-after the aggregation.
+matter how many runners it has.  Totals are longs (fixed-width hash
+aggregate buffers, no per-row decimal arithmetic); rounded rates are derived
+from them exactly, once per group, after the aggregation.
 
 Input columns expected on the runner rows: ``finish_pos`` (text),
-``win_odds`` (decimal odds) and ``popularity`` (int betting rank).
+``odds_milli`` (win odds in thousandths, long) and ``popularity`` (int).
 """
 
 from __future__ import annotations
@@ -24,11 +25,13 @@ WIN = "01"
 TOP3 = ("01", "02", "03")
 # ----------------------------------------------------------------------------
 
+ODDS_UNITS = 1000  # odds_milli per unit of odds
+
 # Names of the additive totals (internal columns of an aggregate).
 N = "_n"
 WINS = "_wins"
 TOP3_N = "_top3"
-ODDS_SUM = "_win_odds_sum"
+ODDS_SUM = "_win_odds_milli_sum"
 ODDS_N = "_win_odds_n"
 POP_SUM = "_pop_sum"
 POP_N = "_pop_n"
@@ -39,22 +42,24 @@ NONFAV_WINS = "_nonfav_wins"
 TOTALS = (N, WINS, TOP3_N, ODDS_SUM, ODDS_N, POP_SUM, POP_N,
           MIDDLE_WINS, LONG_WINS, NONFAV_WINS)
 
-
-def _is_win() -> Column:
-    return F.col("finish_pos") == WIN
+METRIC_NAMES = (
+    "total_races", "wins", "top3_finishes", "win_rate", "top3_rate",
+    "roi_percentage", "avg_win_odds", "avg_popularity", "middle_odds_wins",
+    "longshot_wins", "non_favorite_wins",
+)
 
 
 def total_columns() -> list[Column]:
     """Aggregate expressions of all additive totals.  Totals a caller does
     not read are pruned by the optimizer."""
-    win = _is_win()
+    win = F.col("finish_pos") == WIN
     pop = F.col("popularity")
-    odds = F.col("win_odds")
+    odds = F.col("odds_milli")
     return [
         F.count(F.lit(1)).alias(N),
         F.count(F.when(win, F.lit(1))).alias(WINS),
         F.count(F.when(F.col("finish_pos").isin(*TOP3), F.lit(1))).alias(TOP3_N),
-        F.sum(F.when(win, odds).otherwise(F.lit(0))).alias(ODDS_SUM),
+        F.sum(F.when(win, odds).otherwise(F.lit(0).cast("long"))).alias(ODDS_SUM),
         F.count(F.when(win, odds)).alias(ODDS_N),
         F.sum(pop.cast("long")).alias(POP_SUM),
         F.count(pop).alias(POP_N),
@@ -74,16 +79,25 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
+def roi_hundredths() -> Column:
+    """ROI of a flat one-unit win bet on every runner, in hundredths of a
+    percent: payout Σ odds of winners over stake n, × 100."""
+    return hundredths(_c(ODDS_SUM), _c(N), 100, ODDS_UNITS)
+
+
+def win_rate_hundredths() -> Column:
+    return hundredths(_c(WINS), _c(N), 100)
+
+
 def _metric_exprs() -> dict[str, Column]:
     return {
         "total_races": _c(N),
         "wins": _c(WINS),
         "top3_finishes": _c(TOP3_N),
-        "win_rate": percent2(_c(WINS), _c(N)),
+        "win_rate": from_hundredths(win_rate_hundredths()),
         "top3_rate": percent2(_c(TOP3_N), _c(N)),
-        # Flat one-unit win bet on every runner: payout over stake.
-        "roi_percentage": percent2(_c(ODDS_SUM), _c(N)),
-        "avg_win_odds": mean2(_c(ODDS_SUM), _c(ODDS_N)),
+        "roi_percentage": from_hundredths(roi_hundredths()),
+        "avg_win_odds": mean2(_c(ODDS_SUM), _c(ODDS_N), ODDS_UNITS),
         "avg_popularity": mean2(_c(POP_SUM), _c(POP_N)),
         "middle_odds_wins": _c(MIDDLE_WINS),
         "longshot_wins": _c(LONG_WINS),
@@ -91,28 +105,16 @@ def _metric_exprs() -> dict[str, Column]:
     }
 
 
-METRIC_NAMES = (
-    "total_races", "wins", "top3_finishes", "win_rate", "top3_rate",
-    "roi_percentage", "avg_win_odds", "avg_popularity", "middle_odds_wins",
-    "longshot_wins", "non_favorite_wins",
-)
-
-
 def metric_columns(names: Iterable[str]) -> list[Column]:
     """Output columns for the named metrics, read from the totals."""
-    exprs = _metric_exprs()
-    unknown = [n for n in names if n not in exprs]
+    names = list(names)
+    unknown = [n for n in names if n not in METRIC_NAMES]
     if unknown:
-        raise ValueError(f"unknown metrics {unknown}; known: {sorted(exprs)}")
+        raise ValueError(f"unknown metrics {unknown}; known: {list(METRIC_NAMES)}")
+    exprs = _metric_exprs()
     return [exprs[n].alias(n) for n in names]
 
 
-def rate_hundredths(num: str, den: str, factor: int = 100) -> Column:
-    """A rounded rate kept as integer hundredths (for ratios of rounded
-    values, which must be taken before the conversion to double)."""
-    return hundredths(_c(num), _c(den), factor)
-
-
 def ratio2(num_hundredths: Column, den_hundredths: Column) -> Column:
     """``round(a / NULLIF(b, 0), 2)`` of two values given in hundredths."""
-    return from_hundredths(hundredths(num_hundredths, den_hundredths, 1))
+    return from_hundredths(hundredths(num_hundredths, den_hundredths))

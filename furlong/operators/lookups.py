@@ -19,10 +19,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.functions.buckets import course_code
-from furlong.functions.metrics import N, ODDS_SUM, metric_columns, rate_hundredths, ratio2
-from furlong.functions.rounding import from_hundredths
-from furlong.operators.roi import roi_totals
-from furlong.operators.runners import rated_entries, rated_runners
+from furlong.functions.metrics import (
+    N, ODDS_SUM, metric_columns, ratio2, roi_hundredths, win_rate_hundredths,
+)
+from furlong.functions.rounding import exact_ratio, from_hundredths
+from furlong.operators.roi import roi_totals, roll_up
+from furlong.operators.runners import rated_runners
 from furlong.schema import RaceTables
 
 SIRE_KEYS = ("sire_id", "track_type", "track_condition")
@@ -33,7 +35,7 @@ RANK_MIN_RACES = 20
 
 def _by_exact_roi() -> list[Column]:
     # Unrounded ROI (exact decimal quotient), ties broken by sire id.
-    return [(F.col(ODDS_SUM) / F.col(N)).desc(), F.col("sire_id").asc_nulls_last()]
+    return [exact_ratio(F.col(ODDS_SUM), F.col(N)).desc(), F.col("sire_id").asc_nulls_last()]
 
 
 def sire_track_totals(t: RaceTables, since_year: int | None = None,
@@ -151,18 +153,21 @@ ANSWER_COLUMNS = (
 )
 
 
-def jockey_course_totals(t: RaceTables, bad_values: str = "fail") -> DataFrame:
-    """Totals per jockey id × name × course code × track type × distance
-    class over all rated runners (no year filter)."""
-    rated = rated_runners(t, bad_values=bad_values)
-    return roi_totals(rated, ["jockey_id", "jockey_name", "keibajo_code", "track_type",
-                              "distance_category"])
+JOCKEY_KEYS = ("jockey_id", "jockey_name")
+CONDITION_KEYS = ("keibajo_code", "track_type", "distance_category")
+
 
+def jockey_condition_totals(t: RaceTables, bad_values: str = "fail") -> DataFrame:
+    """Totals per jockey id × name × (race known) × course code × track type
+    × distance class over every rated runner row, all years.
 
-def jockey_overall_totals(t: RaceTables, bad_values: str = "fail") -> DataFrame:
-    """Totals per jockey id × name over every rated runner row (no race
-    join)."""
-    return roi_totals(rated_entries(t, bad_values), ["jockey_id", "jockey_name"])
+    Rows whose race is missing are kept in their own groups
+    (``has_race`` false), so the jockey's overall record, which counts
+    every rated runner row whether or not its race is known, is a roll-up
+    of this one aggregate: the runner table is scanned once for both.
+    """
+    rated = rated_runners(t, bad_values=bad_values, keep_raceless=True)
+    return roi_totals(rated, [*JOCKEY_KEYS, "has_race", *CONDITION_KEYS])
 
 
 def jockey_course_feature(t: RaceTables, requests: DataFrame,
@@ -180,18 +185,19 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
     distinct_req = requests.select(*keys).distinct().withColumn(
         "keibajo_code", course_code(F.col("course_name")))
 
-    cond = jockey_course_totals(t, bad_values).select(
-        "jockey_id", "jockey_name", "keibajo_code", "track_type", "distance_category",
+    totals = jockey_condition_totals(t, bad_values)
+    cond = totals.where(F.col("has_race")).select(
+        *JOCKEY_KEYS, *CONDITION_KEYS,
         *metric_columns(COURSE_METRICS),
-        rate_hundredths("_win_odds_sum", N).alias("_roi_h"),
-        rate_hundredths("_wins", N).alias("_win_h"),
+        roi_hundredths().alias("_roi_h"),
+        win_rate_hundredths().alias("_win_h"),
     )
-    overall = jockey_overall_totals(t, bad_values).select(
+    overall = roll_up(totals, JOCKEY_KEYS).select(
         "jockey_id",
         F.col("jockey_name").alias("_all_name"),
         F.col(N).alias("all_total_races"),
-        rate_hundredths("_win_odds_sum", N).alias("_all_roi_h"),
-        rate_hundredths("_wins", N).alias("_all_win_h"),
+        roi_hundredths().alias("_all_roi_h"),
+        win_rate_hundredths().alias("_all_win_h"),
     )
     candidates = (distinct_req
                   .join(cond, ["jockey_id", "keibajo_code", "track_type", "distance_category"])

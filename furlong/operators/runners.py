@@ -46,13 +46,18 @@ def rated_runners(
     with_sire: bool = False,
     exclude_unknown_sire: bool = False,
     bad_values: str = "fail",
+    keep_raceless: bool = False,
 ) -> DataFrame:
     """Rated runner rows with their race classes (Q10).
 
     ``bad_values='fail'`` raises on non-numeric odds / rank / distance of a
     rated runner (Spark's ANSI cast); ``'null'`` turns them into NULL.
     ``with_sire`` adds the horse's sire (runners of unknown horses drop).
+    ``keep_raceless`` keeps runners whose race row is missing (left join)
+    and adds ``has_race``; their race classes are meaningless.
     """
+    if keep_raceless and since_year is not None:
+        raise ValueError("keep_raceless needs all years (the year is a race column)")
     cast = _caster(bad_values)
     runners = t.runners.where(is_rated(F.col("kakutei_chakujun"), F.col("tansho_odds")))
     races = t.races
@@ -60,7 +65,11 @@ def rated_runners(
     if yf is not None:
         runners = runners.where(yf)
         races = races.where(yf)
-    df = runners.join(races, list(RACE_KEY), "inner")
+    extra: list[Column] = []
+    if keep_raceless:
+        races = races.withColumn("_race", F.lit(True))
+        extra.append(F.col("_race").isNotNull().alias("has_race"))
+    df = runners.join(races, list(RACE_KEY), "left" if keep_raceless else "inner")
     sire_cols: list[Column] = []
     if with_sire:
         horses = t.horses.select(
@@ -80,6 +89,7 @@ def rated_runners(
     on_rated_row = F.col("tansho_odds").isNotNull()
     distance = F.when(on_rated_row, cast(F.col("kyori"), "int"))
     popularity = cast(F.col("tansho_ninkijun"), "int")
+    odds = cast(F.col("tansho_odds"), ODDS_TYPE)
     track = F.col("track_code")
     shiba, dirt = F.col("babajotai_code_shiba"), F.col("babajotai_code_dirt")
     return df.select(
@@ -94,20 +104,11 @@ def rated_runners(
         B.distance_category(distance).alias("distance_category"),
         B.popularity_category(popularity).alias("popularity_category"),
         F.col("kakutei_chakujun").alias("finish_pos"),
-        (cast(F.col("tansho_odds"), ODDS_TYPE) / _ten()).alias("win_odds"),
+        (odds / _ten()).alias("win_odds"),
+        # Same odds as an exact long in thousandths (what the metrics sum).
+        (odds * F.lit(Decimal(100))).cast("long").alias("odds_milli"),
         popularity.alias("popularity"),
         *sire_cols,
+        *extra,
     )
 
-
-def rated_entries(t: RaceTables, bad_values: str = "fail") -> DataFrame:
-    """Rated runner rows without the race join (a jockey's overall record
-    is counted over every runner row, whether or not its race is known)."""
-    cast = _caster(bad_values)
-    return t.runners.where(is_rated(F.col("kakutei_chakujun"), F.col("tansho_odds"))).select(
-        F.col("kishu_code").alias("jockey_id"),
-        F.trim("kishumei_ryakusho").alias("jockey_name"),
-        F.col("kakutei_chakujun").alias("finish_pos"),
-        (cast(F.col("tansho_odds"), ODDS_TYPE) / _ten()).alias("win_odds"),
-        cast(F.col("tansho_ninkijun"), "int").alias("popularity"),
-    )

@@ -82,13 +82,28 @@ def _horses(part: DataFrame) -> DataFrame:
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when its scan comes back in fewer
+    splits than the session has cores (a file written as one row group
+    cannot be split, so everything fused behind the scan would run in one
+    task).  Inputs that already arrive in enough splits are left alone, so
+    this adds no shuffle on a large, many-file table."""
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave as is
+        return df
+    return df if splits >= cores else df.repartition(cores, key)
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:
     """Races, runners and horses derived from ``sf_dir``'s parquet tables."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate")
-    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", "p_name")
+    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        "o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
+    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_orderkey")
+    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        "p_partkey", "p_name"), "p_partkey")
     races_k = _races_with_order_key(orders)
     return RaceTables(
         races=races_k.select(*RACES_SCHEMA.fieldNames()),

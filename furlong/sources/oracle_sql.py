@@ -208,7 +208,7 @@ def rated_runners() -> str:
 SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango, horse_id, jockey_id,
   jockey_name, course_name, track_type, condition_code, track_condition,
   distance_category, popularity_category, finish_pos,
-  CAST(odds10 AS DOUBLE) / 10 AS win_odds, popularity
+  CAST(odds10 AS DOUBLE) / 10 AS win_odds, odds10 * 100 AS odds_milli, popularity
 FROM rated"""
 
 

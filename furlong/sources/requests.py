@@ -30,28 +30,32 @@ def _runs(t: RaceTables) -> DataFrame:
 
 
 def jockey_requests(t: RaceTables) -> DataFrame:
-    runs = _runs(t)
-    track = B.track_type(F.col("track_code"))
-    dist = B.distance_category(F.col("kyori").cast("int"))
-    by_name = runs.select(F.col("kishu_code").alias("jockey_id"),
-                          B.course_name(F.col("keibajo_code")).alias("course_name"),
-                          track.alias("track_type"), dist.alias("distance_category"))
-    by_code = runs.select(F.col("kishu_code").alias("jockey_id"),
-                          F.col("keibajo_code").alias("course_name"),
-                          track.alias("track_type"), dist.alias("distance_category"))
-    unknown = by_name.select(
-        F.concat(F.lit(UNKNOWN_JOCKEY_PREFIX), F.col("jockey_id")).alias("jockey_id"),
-        "course_name", "track_type", "distance_category")
-    return by_name.unionByName(by_code).unionByName(unknown).distinct()
+    conditions = _runs(t).select(
+        F.col("kishu_code").alias("jockey_id"),
+        "keibajo_code",
+        B.track_type(F.col("track_code")).alias("track_type"),
+        B.distance_category(F.col("kyori").cast("int")).alias("distance_category"),
+    ).distinct()
+    by_name = B.course_name(F.col("keibajo_code"))
+    variants = F.array(
+        F.struct(F.col("jockey_id").alias("j"), by_name.alias("c")),
+        F.struct(F.col("jockey_id").alias("j"), F.col("keibajo_code").alias("c")),
+        F.struct(F.concat(F.lit(UNKNOWN_JOCKEY_PREFIX), F.col("jockey_id")).alias("j"),
+                 by_name.alias("c")),
+    )
+    return (conditions
+            .select(F.explode(variants).alias("v"), "track_type", "distance_category")
+            .select(F.col("v.j").alias("jockey_id"), F.col("v.c").alias("course_name"),
+                    "track_type", "distance_category")
+            .distinct())
 
 
 def horse_requests(t: RaceTables) -> DataFrame:
-    runs = _runs(t)
     track, shiba, dirt = (F.col("track_code"), F.col("babajotai_code_shiba"),
                           F.col("babajotai_code_dirt"))
-    seen = runs.select(F.col("ketto_toroku_bango").alias("horse_id"),
-                       B.track_type(track).alias("track_type"),
-                       B.track_condition(track, shiba, dirt).alias("track_condition"))
+    seen = _runs(t).select(F.col("ketto_toroku_bango").alias("horse_id"),
+                           B.track_type(track).alias("track_type"),
+                           B.track_condition(track, shiba, dirt).alias("track_condition"))
     unseen = t.runners.select(F.col("ketto_toroku_bango").alias("horse_id"),
                               F.lit(B.OTHER_TRACK).alias("track_type"),
                               F.lit(B.GOING_NAMES["1"]).alias("track_condition"))
