@@ -96,14 +96,25 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if splits >= cores else df.repartition(cores, key)
 
 
+# Columns read from the benchmark tables, with their declared types (no
+# schema inference job; only these columns are read).
+SOURCE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT",
+    "part": "p_partkey BIGINT, p_name STRING",
+}
+
+
+def _read(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
+    return spread(spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet"),
+                  key)
+
+
 def fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:
     """Races, runners and horses derived from ``sf_dir``'s parquet tables."""
-    orders = spread(spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_custkey", "o_orderdate"), "o_orderkey")
-    lineitem = spread(spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"), "l_orderkey")
-    part = spread(spark.read.parquet(f"{sf_dir}/part.parquet").select(
-        "p_partkey", "p_name"), "p_partkey")
+    orders = _read(spark, sf_dir, "orders", "o_orderkey")
+    lineitem = _read(spark, sf_dir, "lineitem", "l_orderkey")
+    part = _read(spark, sf_dir, "part", "p_partkey")
     races_k = _races_with_order_key(orders)
     return RaceTables(
         races=races_k.select(*RACES_SCHEMA.fieldNames()),
