@@ -79,14 +79,15 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
-def roi_hundredths() -> Column:
+def roi_hundredths(odds_sum: Column | None = None, n: Column | None = None) -> Column:
     """ROI of a flat one-unit win bet on every runner, in hundredths of a
     percent: payout Σ odds of winners over stake n, × 100."""
-    return hundredths(_c(ODDS_SUM), _c(N), 100, ODDS_UNITS)
+    return hundredths(_c(ODDS_SUM) if odds_sum is None else odds_sum,
+                      _c(N) if n is None else n, 100, ODDS_UNITS)
 
 
-def win_rate_hundredths() -> Column:
-    return hundredths(_c(WINS), _c(N), 100)
+def win_rate_hundredths(wins: Column | None = None, n: Column | None = None) -> Column:
+    return hundredths(_c(WINS) if wins is None else wins, _c(N) if n is None else n, 100)
 
 
 def _metric_exprs() -> dict[str, Column]:

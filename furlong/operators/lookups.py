@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from furlong.functions.buckets import course_code
 from furlong.functions.metrics import (
-    N, ODDS_SUM, metric_columns, ratio2, roi_hundredths, win_rate_hundredths,
+    N, ODDS_SUM, WINS, metric_columns, ratio2, roi_hundredths, win_rate_hundredths,
 )
 from furlong.functions.rounding import exact_ratio, from_hundredths
-from furlong.operators.roi import roi_totals, roll_up
+from furlong.operators.roi import roi_totals
 from furlong.operators.runners import rated_runners
 from furlong.schema import RaceTables
 
@@ -186,22 +186,35 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
         "keibajo_code", course_code(F.col("course_name")))
 
     totals = jockey_condition_totals(t, bad_values)
-    cond = totals.where(F.col("has_race")).select(
+    # The jockey's overall record under each name is a window sum over the
+    # same aggregate (no second pass over the runners).  The preference
+    # orders the conditioned side first, so picking the best conditioned
+    # row per request and the best overall name per jockey separately is
+    # the same as picking from all conditioned × overall name pairs.
+    per_name = Window.partitionBy(*JOCKEY_KEYS)
+    per_jockey = Window.partitionBy("jockey_id")
+    overall = F.struct(
+        F.sum(N).over(per_name).alias("n"),
+        F.sum(WINS).over(per_name).alias("wins"),
+        F.sum(ODDS_SUM).over(per_name).alias("odds"),
+        F.col("jockey_name").alias("name"),
+    )
+    with_overall = totals.withColumn("_o", overall).withColumn(
+        "_best", F.min_by(F.col("_o"), F.struct(-F.col("_o.n"), F.col("_o.name")))
+        .over(per_jockey))
+    # The race filter sits above the windows, so it is not pushed into the
+    # runner ⋈ race join (which would turn it into a second, inner pass).
+    cond = with_overall.where(F.col("has_race")).select(
         *JOCKEY_KEYS, *CONDITION_KEYS,
         *metric_columns(COURSE_METRICS),
         roi_hundredths().alias("_roi_h"),
         win_rate_hundredths().alias("_win_h"),
+        F.col("_best.n").alias("all_total_races"),
+        roi_hundredths(F.col("_best.odds"), F.col("_best.n")).alias("_all_roi_h"),
+        win_rate_hundredths(F.col("_best.wins"), F.col("_best.n")).alias("_all_win_h"),
     )
-    overall = roll_up(totals, JOCKEY_KEYS).select(
-        "jockey_id",
-        F.col("jockey_name").alias("_all_name"),
-        F.col(N).alias("all_total_races"),
-        roi_hundredths().alias("_all_roi_h"),
-        win_rate_hundredths().alias("_all_win_h"),
-    )
-    candidates = (distinct_req
-                  .join(cond, ["jockey_id", "keibajo_code", "track_type", "distance_category"])
-                  .join(overall, "jockey_id"))
+    candidates = distinct_req.join(
+        cond, ["jockey_id", "keibajo_code", "track_type", "distance_category"])
     answer = F.struct(
         F.col("jockey_name"),
         *[F.col(m) for m in COURSE_METRICS],
@@ -211,8 +224,7 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
         ratio2(F.col("_roi_h"), F.col("_all_roi_h")).alias("course_aptitude_index"),
         ratio2(F.col("_win_h"), F.col("_all_win_h")).alias("win_rate_ratio"),
     )
-    preference = F.struct(-F.col("total_races"), F.col("jockey_name"),
-                          -F.col("all_total_races"), F.col("_all_name"))
+    preference = F.struct(-F.col("total_races"), F.col("jockey_name"))
     best = (candidates.groupBy(*keys)
             .agg(F.min_by(answer, preference).alias("_a"))
             .select(*keys, F.lit(True).alias("_found"), "_a.*"))
