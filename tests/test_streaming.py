@@ -1,0 +1,53 @@
+"""The streaming report equals the batch report once all batches are in."""
+
+from __future__ import annotations
+
+import os
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from furlong.operators import reports
+from furlong.operators.reports import JOCKEY_COURSE_METRICS, SIRE_TRACK_METRICS
+from furlong.sources.fixtures import fixture_tables
+from furlong.streaming.incremental import runner_stream, start_report, streaming_report
+
+
+def _rows(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_streaming_report_matches_batch(spark, scratch):
+    t = fixture_tables(spark, SF_SMALL)
+    inbox = os.path.join(scratch, "runner-inbox")
+    # results arrive in two drops: before 1998, then the rest
+    t.runners.where(F.col("kaisai_nen") < "1998").write.parquet(f"{inbox}/part=1")
+    races = t.races.cache()
+    horses = t.horses.cache()
+
+    keys = ["jockey_id", "jockey_name", "course_name", "track_type", "distance_category"]
+    report = streaming_report(runner_stream(spark, f"{inbox}/*"), races, keys,
+                              JOCKEY_COURSE_METRICS, since_year=1995, min_races=5)
+    sire_keys = ["sire_id", "sire_name", "track_type", "track_condition"]
+    sire_report = streaming_report(runner_stream(spark, f"{inbox}/*"), races, sire_keys,
+                                   SIRE_TRACK_METRICS, horses=horses, since_year=2000,
+                                   min_races=20, exclude_unknown_sire=True)
+    q = start_report(report, "jockey_course_stream",
+                     checkpoint_location=os.path.join(scratch, "ckpt-jockey"))
+    q2 = start_report(sire_report, "sire_stream",
+                      checkpoint_location=os.path.join(scratch, "ckpt-sire"))
+    try:
+        q.processAllAvailable()
+        first = spark.table("jockey_course_stream").count()
+        t.runners.where(F.col("kaisai_nen") >= "1998").write.parquet(f"{inbox}/part=2")
+        q.processAllAvailable()
+        q2.processAllAvailable()
+        got = _rows(spark.table("jockey_course_stream"))
+        got_sire = _rows(spark.table("sire_stream"))
+    finally:
+        q.stop()
+        q2.stop()
+    want = _rows(reports.jockey_course_roi(t, since_year=1995, min_races=5))
+    assert first > 0 and got == want
+    assert got_sire == _rows(reports.sire_track_condition_roi(t))
