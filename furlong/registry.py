@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.operators import lookups, pedigree, reports
+from furlong.operators import extras, lookups, pedigree, reports
 from furlong.operators.runners import rated_runners
 from furlong.sources import oracle_sql as sql
 from furlong.sources import requests as req
@@ -68,6 +68,14 @@ def _q9(spark: SparkSession, d: str) -> DataFrame:
     return pedigree.flatten_tree(pedigree.pedigree_tree(t, req.runner_horses(t)))
 
 
+def _d1(spark: SparkSession, d: str) -> DataFrame:
+    return extras.broodmare_sire_track_roi(fixture_tables(spark, d))
+
+
+def _d2(spark: SparkSession, d: str) -> DataFrame:
+    return extras.horse_course_roi(fixture_tables(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "sire_track_condition_roi": _q1,
     "jockey_course_roi": _q2,
@@ -79,6 +87,9 @@ QUERIES: dict[str, Query] = {
     "pedigree_rows": _q8,
     "pedigree_tree": _q9,
     "rated_runners": _q10,
+    # extensions: documented by the source project, defined here
+    "broodmare_sire_track_roi": _d1,
+    "horse_course_roi": _d2,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -92,4 +103,6 @@ ORACLE: dict[str, Callable[[], str]] = {
     "pedigree_rows": sql.pedigree_rows,
     "pedigree_tree": sql.pedigree_tree,
     "rated_runners": sql.rated_runners,
+    "broodmare_sire_track_roi": sql.broodmare_sire_track_roi,
+    "horse_course_roi": sql.horse_course_roi,
 }

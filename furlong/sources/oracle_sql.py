@@ -410,3 +410,28 @@ LEFT JOIN (
   FROM pedigree
   GROUP BY root_id
 ) t ON t.root_id = ro.root_id"""
+
+
+# --- extensions --------------------------------------------------------------
+
+def broodmare_sire_track_roi(since_year: int = 2000, min_races: int = 20) -> str:
+    bms = """
+bms AS (
+  SELECT f.ketto_toroku_bango AS hid, d.ketto_joho_01a AS bms_id,
+    trim(d.ketto_joho_01b) AS bms_name
+  FROM jvd_um f JOIN jvd_um d ON d.ketto_toroku_bango = f.ketto_joho_02a
+)"""
+    return _with(_rated(False), bms) + "\n" + _report(
+        "rated JOIN bms ON bms.hid = rated.horse_id",
+        ["bms_id", "bms_name", "track_type", "track_condition"],
+        ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds",
+         "avg_popularity", "longshot_wins"),
+        f"kaisai_nen >= '{since_year}' AND bms_id <> '0000000000'", min_races)
+
+
+def horse_course_roi(since_year: int = 2000, min_races: int = 1) -> str:
+    return _with(_rated(False)) + "\n" + _report(
+        "rated", ["horse_id", "course_name"],
+        ("total_races", "wins", "top3_finishes", "win_rate", "top3_rate", "roi_percentage",
+         "avg_win_odds"),
+        f"kaisai_nen >= '{since_year}'", min_races)
