@@ -90,30 +90,29 @@ def win_rate_hundredths(wins: Column | None = None, n: Column | None = None) ->
     return hundredths(_c(WINS) if wins is None else wins, _c(N) if n is None else n, 100)
 
 
-def _metric_exprs() -> dict[str, Column]:
-    return {
-        "total_races": _c(N),
-        "wins": _c(WINS),
-        "top3_finishes": _c(TOP3_N),
-        "win_rate": from_hundredths(win_rate_hundredths()),
-        "top3_rate": percent2(_c(TOP3_N), _c(N)),
-        "roi_percentage": from_hundredths(roi_hundredths()),
-        "avg_win_odds": mean2(_c(ODDS_SUM), _c(ODDS_N), ODDS_UNITS),
-        "avg_popularity": mean2(_c(POP_SUM), _c(POP_N)),
-        "middle_odds_wins": _c(MIDDLE_WINS),
-        "longshot_wins": _c(LONG_WINS),
-        "non_favorite_wins": _c(NONFAV_WINS),
-    }
+_METRICS = {
+    "total_races": lambda: _c(N),
+    "wins": lambda: _c(WINS),
+    "top3_finishes": lambda: _c(TOP3_N),
+    "win_rate": lambda: from_hundredths(win_rate_hundredths()),
+    "top3_rate": lambda: percent2(_c(TOP3_N), _c(N)),
+    "roi_percentage": lambda: from_hundredths(roi_hundredths()),
+    "avg_win_odds": lambda: mean2(_c(ODDS_SUM), _c(ODDS_N), ODDS_UNITS),
+    "avg_popularity": lambda: mean2(_c(POP_SUM), _c(POP_N)),
+    "middle_odds_wins": lambda: _c(MIDDLE_WINS),
+    "longshot_wins": lambda: _c(LONG_WINS),
+    "non_favorite_wins": lambda: _c(NONFAV_WINS),
+}
+assert tuple(_METRICS) == METRIC_NAMES
 
 
 def metric_columns(names: Iterable[str]) -> list[Column]:
     """Output columns for the named metrics, read from the totals."""
     names = list(names)
-    unknown = [n for n in names if n not in METRIC_NAMES]
+    unknown = [n for n in names if n not in _METRICS]
     if unknown:
         raise ValueError(f"unknown metrics {unknown}; known: {list(METRIC_NAMES)}")
-    exprs = _metric_exprs()
-    return [exprs[n].alias(n) for n in names]
+    return [_METRICS[n]().alias(n) for n in names]
 
 
 def ratio2(num_hundredths: Column, den_hundredths: Column) -> Column:

@@ -24,6 +24,9 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Python call-site capture for error messages walks the stack on every
+    # Column call; plans here are built from many expressions.
+    "spark.python.sql.dataFrameQueryContext.enabled": "false",
 }
 
 

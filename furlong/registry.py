@@ -18,7 +18,7 @@ from furlong.operators import extras, lookups, pedigree, reports
 from furlong.operators.runners import rated_runners
 from furlong.sources import oracle_sql as sql
 from furlong.sources import requests as req
-from furlong.sources.fixtures import fixture_tables
+from furlong.sources.fixtures import staged_fixture_tables as fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 

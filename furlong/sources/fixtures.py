@@ -14,6 +14,8 @@ The same mapping is written as SQL in :mod:`furlong.sources.oracle_sql`.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,19 +107,73 @@ SOURCE_SCHEMAS = {
 }
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
-    return spread(spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet"),
-                  key)
+def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(SOURCE_SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+_DEFINED: dict[tuple[str, str], RaceTables] = {}
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:
-    """Races, runners and horses derived from ``sf_dir``'s parquet tables."""
-    orders = _read(spark, sf_dir, "orders", "o_orderkey")
-    lineitem = _read(spark, sf_dir, "lineitem", "l_orderkey")
-    part = _read(spark, sf_dir, "part", "p_partkey")
+    """Races, runners and horses derived from ``sf_dir``'s parquet tables.
+
+    The definitions (lazy DataFrames, no data) are built once per
+    application and directory, like views registered at session start;
+    every query still reads and derives the tables in full."""
+    try:
+        key = (spark.sparkContext.applicationId, sf_dir)
+    except Exception:  # no SparkContext access (remote session)
+        return _define(spark, sf_dir)
+    if key not in _DEFINED:
+        _DEFINED[key] = _define(spark, sf_dir)
+    return _DEFINED[key]
+
+
+def _define(spark: SparkSession, sf_dir: str) -> RaceTables:
+    # Only the line items (runners, the large side) are spread: orders and
+    # parts become the small sides of broadcast joins, where an extra
+    # shuffle costs more than it saves.
+    orders = _read(spark, sf_dir, "orders")
+    lineitem = spread(_read(spark, sf_dir, "lineitem"), "l_orderkey")
+    part = _read(spark, sf_dir, "part")
     races_k = _races_with_order_key(orders)
     return RaceTables(
         races=races_k.select(*RACES_SCHEMA.fieldNames()),
         runners=_runners(lineitem, races_k).select(*RUNNERS_SCHEMA.fieldNames()),
         horses=_horses(part).select(*HORSES_SCHEMA.fieldNames()),
     )
+
+
+_STAGED: dict[tuple[str, str], RaceTables] = {}
+
+
+def shared_dir(spark: SparkSession) -> str | None:
+    """The cluster's shared checkpoint folder, if the session names one."""
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    except Exception:
+        return None
+
+
+def staged_fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:
+    """The derived tables written once per application as year-partitioned
+    parquet under the shared checkpoint folder (the production layout: many
+    files, year partitions, files clustered by race key), then read back.
+
+    Queries then scan stored tables with partition pruning and pushdown,
+    the way they run on a real race database, instead of re-deriving the
+    tables from single-row-group benchmark files in every query.  Without a
+    shared folder the tables are derived on the fly."""
+    from furlong.sources.tables import read_race_tables, write_race_tables
+
+    base = shared_dir(spark)
+    if not base:
+        return fixture_tables(spark, sf_dir)
+    app = spark.sparkContext.applicationId
+    key = (app, sf_dir)
+    if key not in _STAGED:
+        tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
+        path = f"{base.rstrip('/')}/furlong-fixtures/{app}/{tag}"
+        write_race_tables(fixture_tables(spark, sf_dir), path, mode="overwrite")
+        _STAGED[key] = read_race_tables(spark, path)
+    return _STAGED[key]
