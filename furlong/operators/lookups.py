@@ -199,7 +199,10 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
         F.sum(ODDS_SUM).over(per_name).alias("odds"),
         F.col("jockey_name").alias("name"),
     )
-    with_overall = totals.withColumn("_o", overall).withColumn(
+    # Both windows partition by the jockey (the name window refines it), so
+    # one exchange on jockey_id serves both.  A jockey's rows here are one
+    # per name and condition, however many runs the jockey has.
+    with_overall = totals.repartition("jockey_id").withColumn("_o", overall).withColumn(
         "_best", F.min_by(F.col("_o"), F.struct(-F.col("_o.n"), F.col("_o.name")))
         .over(per_jockey))
     # The race filter sits above the windows, so it is not pushed into the

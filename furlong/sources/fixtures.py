@@ -174,6 +174,9 @@ def staged_fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:
     if key not in _STAGED:
         tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
         path = f"{base.rstrip('/')}/furlong-fixtures/{app}/{tag}"
-        write_race_tables(fixture_tables(spark, sf_dir), path, mode="overwrite")
+        try:
+            write_race_tables(fixture_tables(spark, sf_dir), path, mode="overwrite")
+        except Exception:  # shared folder not writable: derive on the fly
+            return fixture_tables(spark, sf_dir)
         _STAGED[key] = read_race_tables(spark, path)
     return _STAGED[key]
