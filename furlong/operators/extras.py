@@ -5,20 +5,25 @@ Their definitions are ours, built from the same parts as the reports:
 * broodmare-sire ROI: the sire of the horse's dam, × track type × going;
 * horse × course ROI: each horse's record at each course.
 
-The closing-time rank ROI, the previous-race disadvantage ROI and the
-stamina index are documented without a formula or without the input
-columns they need, so they are not built.
+* closing-time rank ROI: rank of each runner's closing time within its
+  race, then ROI per rank — the time column is named by the caller (the
+  race tables here do not carry one);
+* next-run ROI after a flagged run: the flag of each horse's previous run
+  (a caller-supplied column, e.g. "raced against the pace and lost
+  heavily"), then ROI of the following run per flag value.
+
+The stamina index has no formula anywhere, so it is not built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.functions.filters import known_parent
 from furlong.operators.roi import roi_by
 from furlong.operators.runners import rated_runners
-from furlong.schema import RaceTables
+from furlong.schema import RACE_KEY, RaceTables
 
 BROODMARE_SIRE_METRICS = (
     "total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds",
@@ -58,3 +63,34 @@ def horse_course_roi(t: RaceTables, since_year: int = 2000, min_races: int = 1,
     """ROI of each horse at each course."""
     rated = rated_runners(t, since_year, bad_values=bad_values)
     return roi_by(rated, ("horse_id", "course_name"), HORSE_COURSE_METRICS, min_races)
+
+
+CLOSING_METRICS = ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds")
+
+
+def closing_rank_roi(t: RaceTables, time_col: str, since_year: int = 2000,
+                     min_races: int = 1, time_type: str = "decimal(8,1)") -> DataFrame:
+    """ROI per closing-time rank: runners of a race are ranked by the
+    runner column ``time_col`` (fastest first, ties share a rank; runners
+    without a time get none).  The window is one race, so it is bounded by
+    the field size."""
+    rated = rated_runners(t, since_year, carry=(time_col,))
+    time = F.col(time_col).cast(time_type)
+    in_race = Window.partitionBy(*RACE_KEY).orderBy(time.asc_nulls_last())
+    ranked = rated.withColumn(
+        "closing_rank", F.when(time.isNotNull(), F.rank().over(in_race)).cast("int"))
+    return roi_by(ranked.where(F.col("closing_rank").isNotNull()), ("closing_rank",),
+                  CLOSING_METRICS, min_races, [F.col("closing_rank")])
+
+
+def next_run_roi(t: RaceTables, flag_col: str, since_year: int | None = None,
+                 min_races: int = 1) -> DataFrame:
+    """ROI of each horse's next run, grouped by the value of the runner
+    column ``flag_col`` on the run before it (NULL for a first run).  Runs
+    are ordered by race date and race key within a horse, so the window is
+    one horse's career."""
+    rated = rated_runners(t, since_year, carry=(flag_col,))
+    career = Window.partitionBy("horse_id").orderBy(*[F.col(k) for k in RACE_KEY])
+    with_prev = rated.withColumn("previous_flag", F.lag(F.col(flag_col)).over(career))
+    return roi_by(with_prev, ("previous_flag",), CLOSING_METRICS, min_races,
+                  [F.col("previous_flag")])

@@ -47,6 +47,7 @@ def rated_runners(
     exclude_unknown_sire: bool = False,
     bad_values: str = "fail",
     keep_raceless: bool = False,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rated runner rows with their race classes (Q10).
 
@@ -54,7 +55,8 @@ def rated_runners(
     rated runner (Spark's ANSI cast); ``'null'`` turns them into NULL.
     ``with_sire`` adds the horse's sire (runners of unknown horses drop).
     ``keep_raceless`` keeps runners whose race row is missing (left join)
-    and adds ``has_race``; their race classes are meaningless.
+    and adds ``has_race``; their race classes are meaningless.  ``carry``
+    names further runner columns to pass through unchanged.
     """
     if keep_raceless and since_year is not None:
         raise ValueError("keep_raceless needs all years (the year is a race column)")
@@ -110,5 +112,6 @@ def rated_runners(
         popularity.alias("popularity"),
         *sire_cols,
         *extra,
+        *[F.col(c) for c in carry],
     )
 

@@ -292,3 +292,48 @@ def test_pedigree_tree_shallow(tables, spark):
         assert (tree.sire.id, tree.sire.name, tree.sire.sire, tree.sire.dam) == \
             ("S", "Sire", None, None)
         assert (tree.dam.id, tree.dam.name) == ("D", "Dam")
+
+
+# --- documented-only extensions with caller-named columns ----------------------
+
+def _with_column(t, name, values):
+    from furlong.schema import RaceTables
+    rows = t.runners.collect()
+    spark = t.runners.sparkSession
+    schema = t.runners.schema.add(name, "string")
+    return RaceTables(t.races, spark.createDataFrame(
+        [tuple(r) + (v,) for r, v in zip(rows, values)], schema), t.horses)
+
+
+def test_closing_rank_roi(tables):
+    from furlong.operators import extras
+    # race 01: closers 33.5 (won, odds 4.0), 34.0, 34.0; race 02: 35.0 (won, 10.0), 36.1, no time
+    runners = [
+        {"race_bango": "01", "kakutei_chakujun": "01", "tansho_odds": "0040"},
+        {"race_bango": "01", "kakutei_chakujun": "02"},
+        {"race_bango": "01", "kakutei_chakujun": "03"},
+        {"race_bango": "02", "kakutei_chakujun": "01", "tansho_odds": "0100"},
+        {"race_bango": "02", "kakutei_chakujun": "02"},
+        {"race_bango": "02", "kakutei_chakujun": "03"},
+    ]
+    t = tables(races=[{"race_bango": "01"}, {"race_bango": "02"}], runners=runners)
+    t = _with_column(t, "kohan_3f", ["33.5", "34.0", "34.0", "35.0", "36.1", None])
+    got = {r.closing_rank: (r.total_races, r.wins, r.roi_percentage)
+           for r in extras.closing_rank_roi(t, "kohan_3f").collect()}
+    assert got == {1: (2, 2, 700.0), 2: (3, 0, 0.0)}
+
+
+def test_next_run_roi(tables):
+    from furlong.operators import extras
+    runners = [
+        {"ketto_toroku_bango": "H1", "kaisai_tsukihi": "0101", "kakutei_chakujun": "09"},
+        {"ketto_toroku_bango": "H1", "kaisai_tsukihi": "0201", "kakutei_chakujun": "01",
+         "tansho_odds": "0120"},
+        {"ketto_toroku_bango": "H2", "kaisai_tsukihi": "0101", "kakutei_chakujun": "02"},
+        {"ketto_toroku_bango": "H2", "kaisai_tsukihi": "0201", "kakutei_chakujun": "05"},
+    ]
+    races = [{"kaisai_tsukihi": "0101"}, {"kaisai_tsukihi": "0201"}]
+    t = _with_column(tables(races=races, runners=runners), "bad_trip", ["Y", "N", "N", "N"])
+    got = {r.previous_flag: (r.total_races, r.wins, r.roi_percentage)
+           for r in extras.next_run_roi(t, "bad_trip").collect()}
+    assert got == {None: (2, 0, 0.0), "Y": (1, 1, 1200.0), "N": (1, 0, 0.0)}
