@@ -26,8 +26,6 @@ from furlong.schema import RaceTables
 MAX_DEPTH = 3
 SIRE_SIDE = "1"
 DAM_SIDE = "2"
-ROW_COLUMNS = ("root_id", "horse_id", "horse_name", "sire_id", "sire_name", "dam_id",
-               "dam_name", "generation", "position")
 
 
 def _horse_parents(t: RaceTables) -> DataFrame:

@@ -27,6 +27,11 @@ def _tree(text: str) -> str:
     return tree.split("== Initial Plan ==")[0]
 
 
+def final_tree(df: DataFrame) -> str:
+    """The operator tree of ``df``'s plan (the final plan once executed)."""
+    return _tree(plan_text(df))
+
+
 def _tree_ids(text: str) -> set[str]:
     return set(re.findall(r"\((\d+)\)", _tree(text)))
 

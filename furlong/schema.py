@@ -47,8 +47,6 @@ HORSES_SCHEMA = _text_schema(
     "ketto_joho_02b",
 )
 
-SCHEMAS = {"races": RACES_SCHEMA, "runners": RUNNERS_SCHEMA, "horses": HORSES_SCHEMA}
-
 
 @dataclass(frozen=True)
 class RaceTables:

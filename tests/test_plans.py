@@ -72,3 +72,30 @@ def test_jockey_feature_scans_runners_once(spark, stored):
     df.collect()  # inspect the final adaptive plan
     runner_scans = [s for s in scans(df) if "jvd_se" in s.get("Location", "")]
     assert len(runner_scans) == 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark, scratch):
+    from furlong.plans.inspect import final_tree
+    from furlong.sources.tables import catalog_race_tables, save_race_tables
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS furlong_test")
+    save_race_tables(fixture_tables(spark, SF_SMALL), "furlong_test", buckets=4,
+                     location=os.path.join(scratch, "bucketed"), mode="overwrite")
+    t = catalog_race_tables(spark, "furlong_test")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    prev_aqe = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reports.jockey_course_roi(t, min_races=1)
+        rows = Counter(map(tuple, df.collect()))
+        tree = final_tree(df)
+        # sort-merge join fed straight by the two bucketed scans: the only
+        # exchanges are the aggregate's and the final sort's
+        assert "SortMergeJoin" in tree
+        assert operator_count(df, "Exchange") == 2, tree
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
+    assert rows == Counter(map(tuple, reports.jockey_course_roi(
+        fixture_tables(spark, SF_SMALL), min_races=1).collect()))
