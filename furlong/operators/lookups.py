@@ -23,6 +23,7 @@ from furlong.functions.metrics import (
     N, ODDS_SUM, WINS, metric_columns, ratio2, roi_hundredths, win_rate_hundredths,
 )
 from furlong.functions.rounding import exact_ratio, from_hundredths
+from furlong.operators.ranking import row_number_within
 from furlong.operators.roi import roi_totals
 from furlong.operators.runners import rated_runners
 from furlong.schema import RaceTables
@@ -47,19 +48,26 @@ def sire_track_totals(t: RaceTables, since_year: int | None = None,
     return roi_totals(rated, SIRE_KEYS)
 
 
+# Rank groups: track type (3 classes) × going (5 classes) × qualifying flag.
+RANK_GROUPS = 3 * 5 * 2
+
+
 def with_roi_rank(totals: DataFrame, min_races: int = RANK_MIN_RACES) -> DataFrame:
     """Add ``roi_rank``: position by unrounded ROI (ties by sire id) among
     the sires with at least ``min_races`` runs on the same track type and
     going; 0 for sires below the minimum.
 
-    One window pass: the qualifying flag is part of the window partition,
-    so qualifying and non-qualifying sires are numbered separately.  The
-    window input is the aggregate (one row per sire and class).
+    The qualifying flag is part of the rank group, so qualifying and
+    non-qualifying sires are numbered in one pass over the aggregate (one
+    row per sire and class).  The number of sires grows with the data, so
+    the numbering is spread over many tasks (:mod:`furlong.operators.ranking`).
     """
-    qualifies = F.col(N) >= F.lit(min_races)
-    w = Window.partitionBy("track_type", "track_condition", qualifies).orderBy(*_by_exact_roi())
-    return totals.withColumn(
-        "roi_rank", F.when(qualifies, F.row_number().over(w)).otherwise(0).cast("long"))
+    flagged = totals.withColumn("_qualifies", F.col(N) >= F.lit(min_races))
+    ranked = row_number_within(flagged, ["track_type", "track_condition", "_qualifies"],
+                               _by_exact_roi(), "roi_rank", max_groups=RANK_GROUPS)
+    return ranked.withColumn(
+        "roi_rank", F.when(F.col("_qualifies"), F.col("roi_rank")).otherwise(F.lit(0).cast("long"))
+    ).drop("_qualifies")
 
 
 def sire_track_roi_rank(t: RaceTables, min_races: int = RANK_MIN_RACES,
@@ -68,11 +76,12 @@ def sire_track_roi_rank(t: RaceTables, min_races: int = RANK_MIN_RACES,
     """Every sire's ROI rank within each track type × going (Q7)."""
     totals = sire_track_totals(t, since_year, exclude_unknown_sire)
     qualifying = totals.where(F.col(N) >= F.lit(min_races))
-    w = Window.partitionBy("track_type", "track_condition").orderBy(*_by_exact_roi())
-    return qualifying.select(
+    ranked = row_number_within(qualifying, ["track_type", "track_condition"],
+                               _by_exact_roi(), "roi_rank", max_groups=RANK_GROUPS)
+    return ranked.select(
         *SIRE_KEYS,
         *metric_columns(["total_races", "roi_percentage"]),
-        F.row_number().over(w).cast("long").alias("roi_rank"),
+        "roi_rank",
     )
 
 

@@ -1,0 +1,76 @@
+"""Row numbers within a few large groups, computed by many tasks.
+
+``row_number() over (partition by g order by k)`` puts every row of a group
+in one task.  That is fine when groups are small, but a rank "within each
+track type × going" has about fifteen groups, each as large as the number of
+sires, which grows with the data.  Here the rows are instead
+range-partitioned on (g, k) over many tasks and numbered where they land:
+
+1. ``repartitionByRange`` + ``sortWithinPartitions`` on (g, k) spreads the
+   rows over ``partitions`` tasks in global order; ``monotonically_increasing_id``
+   records (task, position in task).  The result is checkpointed to the
+   shared checkpoint folder, so every later use reads the same placement
+   (range bounds come from a sample and must not be re-drawn) and executor
+   loss does not recompute it.
+2. Per (g, task): row count and first position: at most
+   ``partitions × groups`` rows.  A running sum over the tasks of each group
+   gives the rows of the group held by earlier tasks.
+3. Row number = rows in earlier tasks + position in task − first position
+   of the group in the task + 1.
+
+The per-(group, task) table is broadcast only when ``partitions × groups``
+(a bound on its row count) is under :data:`BROADCAST_ROWS`; otherwise the
+join is left to adaptive execution.  Without a checkpoint folder the plain
+window is used (exact, one task per group).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from furlong.plans.session import shared_checkpoint_dir
+
+BROADCAST_ROWS = 1_000_000
+_POS_BITS = 33  # monotonically_increasing_id: task index above bit 33
+
+
+def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
+                      name: str, max_groups: int | None = None,
+                      partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` = ``row_number() over (partition by groups order
+    by order)`` as a long.  ``order`` must be a total order within a group
+    (as a deterministic ``row_number`` needs anyway).  ``max_groups`` bounds
+    the number of distinct group values (enables the broadcast)."""
+    spark = df.sparkSession
+    if not shared_checkpoint_dir(spark):
+        w = Window.partitionBy(*groups).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(g).asc_nulls_first() for g in groups] + list(order)
+    placed = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
+              .withColumn("_rn_id", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
+    placed = placed.select(
+        "*",
+        F.shiftright("_rn_id", _POS_BITS).alias("_rn_task"),
+        F.col("_rn_id").bitwiseAND((1 << _POS_BITS) - 1).alias("_rn_pos"),
+    ).drop("_rn_id")
+    keys = [*groups, "_rn_task"]
+    runs = (placed.groupBy(*[F.col(k).alias(f"_rn_{i}") for i, k in enumerate(keys)])
+            .agg(F.count(F.lit(1)).alias("_rn_n"), F.min("_rn_pos").alias("_rn_first")))
+    group_cols = [f"_rn_{i}" for i in range(len(groups))]
+    task_col = f"_rn_{len(groups)}"
+    runs = runs.withColumn(
+        "_rn_before",
+        F.coalesce(F.sum("_rn_n").over(
+            Window.partitionBy(*group_cols).orderBy(task_col).rowsBetween(
+                Window.unboundedPreceding, -1)), F.lit(0).cast("long")))
+    if max_groups is not None and max_groups * n <= BROADCAST_ROWS:
+        runs = F.broadcast(runs)
+    cond = [placed[k].eqNullSafe(runs[f"_rn_{i}"]) for i, k in enumerate(keys)]
+    joined = placed.join(runs, cond, "inner")
+    number = (F.col("_rn_before") + F.col("_rn_pos") - F.col("_rn_first") + 1).cast("long")
+    return joined.select(*[F.col(c) for c in df.columns], number.alias(name))

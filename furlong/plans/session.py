@@ -45,6 +45,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def shared_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``, or
+    one already set on the context), also set on the context so that
+    ``DataFrame.checkpoint`` writes there; None when the session names none."""
+    try:
+        current = (spark.conf.get("spark.checkpoint.dir", None)
+                   or spark.sparkContext.getCheckpointDir())
+        if current and not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(current)
+    except Exception:  # no SparkContext access (remote session)
+        return None
+    return current or None
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``);
     ``fallback`` is set only when the session names none (tests)."""

@@ -19,6 +19,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from furlong.plans.session import shared_checkpoint_dir
 from furlong.schema import HORSES_SCHEMA, RACES_SCHEMA, RUNNERS_SCHEMA, RaceTables
 
 
@@ -149,10 +150,7 @@ _STAGED: dict[tuple[str, str], RaceTables] = {}
 
 def shared_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, if the session names one."""
-    try:
-        return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    except Exception:
-        return None
+    return shared_checkpoint_dir(spark)
 
 
 def staged_fixture_tables(spark: SparkSession, sf_dir: str) -> RaceTables:

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from furlong.operators import lookups, reports
-from furlong.plans.inspect import operator_count, python_nodes, scans
+from furlong.plans.inspect import final_tree, operator_count, python_nodes, scans
 from furlong.sources import requests as R
 from furlong.sources.fixtures import fixture_tables
 from furlong.sources.tables import read_race_tables, write_race_tables
@@ -62,9 +62,22 @@ def _local(spark, df):
 def test_sire_feature_aggregates_runners_once(spark, stored):
     df = lookups.horse_sire_track_roi_feature(stored, _local(spark, R.horse_requests(stored)))
     df.collect()  # inspect the final adaptive plan
+    # The sire aggregate was computed once, by the rank's checkpoint job;
+    # the answer plan reads the checkpoint and scans no runner file.
     runner_scans = [s for s in scans(df) if "jvd_se" in s.get("Location", "")]
-    assert len(runner_scans) == 1
+    assert len(runner_scans) == 0
+    assert operator_count(df, "Window") == 1  # on the per-(class, task) counts only
+
+
+def test_rank_does_not_shuffle_the_sires(spark, stored):
+    df = lookups.sire_track_roi_rank(stored)
+    df.collect()
+    tree = final_tree(df)
+    # rows come straight from the checkpointed range placement into a
+    # broadcast join with the small per-task counts
+    assert "BroadcastHashJoin" in tree
     assert operator_count(df, "Window") == 1
+    assert operator_count(df, "Exchange") == 2, tree  # both on the counts side
 
 
 def test_jockey_feature_scans_runners_once(spark, stored):
@@ -75,7 +88,6 @@ def test_jockey_feature_scans_runners_once(spark, stored):
 
 
 def test_bucketed_tables_join_without_shuffle(spark, scratch):
-    from furlong.plans.inspect import final_tree
     from furlong.sources.tables import catalog_race_tables, save_race_tables
 
     spark.sql("CREATE DATABASE IF NOT EXISTS furlong_test")
