@@ -6,11 +6,12 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from furlong.plans.inspect import final_tree, scans  # noqa: E402
-from furlong.plans.session import local_session  # noqa: E402
+from furlong.plans.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from furlong.registry import QUERIES  # noqa: E402
 
 
@@ -18,6 +19,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     out = sys.argv[1] if len(sys.argv) > 1 else "PLANS.md"
     spark = local_session(8, shuffle_partitions=16, app_name="furlong-plans")
+    # shared checkpoint folder if the session names one, else a scratch one
+    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="furlong-plans-ckpt-"))
     parts = [
         "# Physical plans\n",
         f"Final adaptive plans after execution, `{sf_dir}`, local[8], 16 shuffle "
