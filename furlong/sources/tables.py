@@ -35,15 +35,17 @@ def read_race_tables(spark: SparkSession, base: str, fmt: str = "parquet") -> Ra
 def write_race_tables(t: RaceTables, base: str, fmt: str = "parquet",
                       mode: str = "errorifexists") -> None:
     """Write the tables under ``base``; races and runners partitioned by
-    race year.  Rows are range-partitioned on the race key before the write:
-    each task writes one or two year directories (no small-file explosion),
-    a year holding a large share of the rows is split over many tasks
-    instead of landing in one, and files are sorted by race key, so their
-    min/max statistics let readers skip row groups."""
+    race year.  Rows are rebalanced on the year before the write: with
+    adaptive execution each writer task gets one year's rows cut to the
+    advisory partition size (a year holding a large share of the rows is
+    split over many tasks), so each task writes one file of about that
+    size into one year directory, however large the input.  Files are
+    sorted by race key, so their min/max statistics let readers skip row
+    groups."""
     for role, name in TABLE_NAMES.items():
         df = getattr(t.select_known(), role)
-        writer_df = (df.repartitionByRange(*RACE_KEY).sortWithinPartitions(*RACE_KEY)
-                     if role in _PARTITIONED else df)
+        writer_df = (df.hint("rebalance", YEAR_PARTITION).sortWithinPartitions(*RACE_KEY)
+                     if role in _PARTITIONED else df.hint("rebalance"))
         writer = writer_df.write.format(fmt).mode(mode)
         if role in _PARTITIONED:
             writer = writer.partitionBy(YEAR_PARTITION)
