@@ -20,7 +20,6 @@ driver or lost executors resume from the last committed batch.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from furlong.operators.roi import finish, roi_totals
 from furlong.operators.runners import rated_runners
+from furlong.plans.session import shared_checkpoint_dir
 from furlong.schema import HORSES_SCHEMA, RUNNERS_SCHEMA, RaceTables
 
 
@@ -62,17 +62,21 @@ def streaming_report(
 
 
 def _checkpoint_location(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    # Fixed per query name: starting the report again (new driver, same
+    # name) resumes from its last committed batch and state.
+    base = shared_checkpoint_dir(spark)
     if not base:
         raise ValueError("no checkpoint location: pass one or set spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/furlong-stream-{name}-{uuid.uuid4().hex[:8]}"
+    return f"{base.rstrip('/')}/furlong-stream/{name}"
 
 
 def start_report(report: DataFrame, name: str, sink: str = "memory",
                  checkpoint_location: str | None = None,
                  output_mode: str = "complete", **options: str) -> StreamingQuery:
     """Start ``report``; ``output_mode='update'`` emits only changed groups
-    (for an upserting sink), ``'complete'`` the whole report each batch."""
+    (for an upserting sink), ``'complete'`` the whole report each batch.
+    The checkpoint defaults to ``<spark.checkpoint.dir>/furlong-stream/<name>``,
+    so a report started again under the same name resumes."""
     spark = report.sparkSession
     location = checkpoint_location or _checkpoint_location(spark, name)
     writer = (report.writeStream.format(sink).queryName(name).outputMode(output_mode)
