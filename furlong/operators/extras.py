@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from furlong.functions.filters import known_parent
+from furlong.operators.ranking import lag_within
 from furlong.operators.roi import roi_by
 from furlong.operators.runners import rated_runners
 from furlong.schema import RACE_KEY, RaceTables
@@ -87,10 +88,11 @@ def next_run_roi(t: RaceTables, flag_col: str, since_year: int | None = None,
                  min_races: int = 1) -> DataFrame:
     """ROI of each horse's next run, grouped by the value of the runner
     column ``flag_col`` on the run before it (NULL for a first run).  Runs
-    are ordered by race date and race key within a horse, so the window is
-    one horse's career."""
+    are ordered by race date and race key within a horse."""
     rated = rated_runners(t, since_year, carry=(flag_col,))
-    career = Window.partitionBy("horse_id").orderBy(*[F.col(k) for k in RACE_KEY])
-    with_prev = rated.withColumn("previous_flag", F.lag(F.col(flag_col)).over(career))
+    # A horse id may be hot (an unknown-horse code in real data), so the
+    # career is cut over range partitions instead of one window per horse.
+    with_prev = lag_within(rated, ["horse_id"], [F.col(k).asc_nulls_first() for k in RACE_KEY],
+                           flag_col, "previous_flag")
     return roi_by(with_prev, ("previous_flag",), CLOSING_METRICS, min_races,
                   [F.col("previous_flag")])

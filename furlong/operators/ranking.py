@@ -37,27 +37,35 @@ BROADCAST_ROWS = 1_000_000
 _POS_BITS = 33  # monotonically_increasing_id: task index above bit 33
 
 
-def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
-                      name: str, max_groups: int | None = None,
-                      partitions: int | None = None) -> DataFrame:
-    """``df`` with ``name`` = ``row_number() over (partition by groups order
-    by order)`` as a long.  ``order`` must be a total order within a group
-    (as a deterministic ``row_number`` needs anyway).  ``max_groups`` bounds
-    the number of distinct group values (enables the broadcast)."""
+def _placed(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
+            partitions: int | None) -> tuple[DataFrame, int]:
+    """``df`` range-placed on (groups, order) over ``partitions`` tasks and
+    checkpointed, with ``_rn_task`` (task index, in global order) and
+    ``_rn_pos`` (position in the task, increasing)."""
     spark = df.sparkSession
-    if not shared_checkpoint_dir(spark):
-        w = Window.partitionBy(*groups).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("long"))
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(g).asc_nulls_first() for g in groups] + list(order)
     placed = (df.repartitionByRange(n, *sort).sortWithinPartitions(*sort)
               .withColumn("_rn_id", F.monotonically_increasing_id())
               .checkpoint(eager=True))
-    placed = placed.select(
+    return placed.select(
         "*",
         F.shiftright("_rn_id", _POS_BITS).alias("_rn_task"),
         F.col("_rn_id").bitwiseAND((1 << _POS_BITS) - 1).alias("_rn_pos"),
-    ).drop("_rn_id")
+    ).drop("_rn_id"), n
+
+
+def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
+                      name: str, max_groups: int | None = None,
+                      partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` = ``row_number() over (partition by groups order
+    by order)`` as a long.  ``order`` must be a total order within a group
+    (as a deterministic ``row_number`` needs anyway).  ``max_groups`` bounds
+    the number of distinct group values (enables the broadcast)."""
+    if not shared_checkpoint_dir(df.sparkSession):
+        w = Window.partitionBy(*groups).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(w).cast("long"))
+    placed, n = _placed(df, groups, order, partitions)
     keys = [*groups, "_rn_task"]
     runs = (placed.groupBy(*[F.col(k).alias(f"_rn_{i}") for i, k in enumerate(keys)])
             .agg(F.count(F.lit(1)).alias("_rn_n"), F.min("_rn_pos").alias("_rn_first")))
@@ -74,3 +82,46 @@ def row_number_within(df: DataFrame, groups: Sequence[str], order: Sequence[Colu
     joined = placed.join(runs, cond, "inner")
     number = (F.col("_rn_before") + F.col("_rn_pos") - F.col("_rn_first") + 1).cast("long")
     return joined.select(*[F.col(c) for c in df.columns], number.alias(name))
+
+
+def lag_within(df: DataFrame, groups: Sequence[str], order: Sequence[Column],
+               value: str, name: str, partitions: int | None = None) -> DataFrame:
+    """``df`` with ``name`` = ``lag(value) over (partition by groups order by
+    order)``, for groups of any size (``order`` a total order in a group).
+
+    After the range placement, a group is cut into chunks, one per task it
+    spans.  Inside a chunk the lag is a window over (group, task), whose
+    size is bounded by a task's share of the rows.  The first row of a
+    task continues the group of the previous non-empty task when that
+    task's last row has the same group: a table of one row per task (first
+    group, last group and value) carries it over; it is broadcast when
+    ``partitions`` (its row bound) is under :data:`BROADCAST_ROWS`."""
+    if not shared_checkpoint_dir(df.sparkSession):
+        w = Window.partitionBy(*groups).orderBy(*order)
+        return df.withColumn(name, F.lag(F.col(value)).over(w))
+    placed, n = _placed(df, groups, order, partitions)
+    chunk = Window.partitionBy(*groups, "_rn_task").orderBy("_rn_pos")
+    in_chunk = placed.select(
+        "*",
+        F.lag(F.col(value)).over(chunk).alias("_lg_in"),
+        (F.row_number().over(chunk) == 1).alias("_lg_head"),
+    )
+    group = F.struct(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)])
+    tasks = placed.groupBy(F.col("_rn_task").alias("_lg_task")).agg(
+        F.min_by(group, "_rn_pos").alias("_lg_first"),
+        F.max_by(F.struct(group.alias("g"), F.col(value).alias("v")), "_rn_pos").alias("_lg_last"),
+    )
+    # one row per task: a single window partition of at most ``n`` rows
+    prev = F.lag("_lg_last").over(Window.orderBy("_lg_task"))
+    tasks = tasks.select(
+        "_lg_task", "_lg_first",
+        F.when(prev.isNotNull() & prev["g"].eqNullSafe(F.col("_lg_first")), prev["v"])
+        .alias("_lg_carry"),
+    )
+    if n <= BROADCAST_ROWS:
+        tasks = F.broadcast(tasks)
+    joined = in_chunk.join(tasks, in_chunk["_rn_task"] == tasks["_lg_task"])
+    # a task's first row continues the previous task's last group, if equal
+    continues = F.col("_lg_head") & group.eqNullSafe(F.col("_lg_first"))
+    lagged = F.when(continues, F.col("_lg_carry")).otherwise(F.col("_lg_in"))
+    return joined.select(*[F.col(c) for c in df.columns], lagged.alias(name))
