@@ -19,7 +19,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
-    # Broadcast decisions are taken at runtime from measured sizes only.
+    # Runtime broadcast conversion from measured shuffle sizes (the static
+    # planner uses spark.sql.autoBroadcastJoinThreshold on estimates).
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
