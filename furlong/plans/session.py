@@ -22,6 +22,10 @@ SCALE_CONF = {
     # Runtime broadcast conversion from measured shuffle sizes (the static
     # planner uses spark.sql.autoBroadcastJoinThreshold on estimates).
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Checkpoints written by operators.ranking are deleted once their
+    # DataFrame is garbage-collected, so a long application does not
+    # accumulate them in the shared folder.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
