@@ -45,10 +45,18 @@ def clamp_depth(depth: int) -> int:
 
 def pedigree_rows(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
     """Ancestor rows of every ``horses.horse_id`` to ``depth`` generations."""
+    return _expand(t, horses, depth, keep_unknown=False)
+
+
+def _expand(t: RaceTables, horses: DataFrame, depth: int, keep_unknown: bool) -> DataFrame:
+    """Pedigree rows; with ``keep_unknown`` a requested id missing from the
+    horse table keeps one generation-1 row with a NULL ``horse_id``, so the
+    tree needs no second pass over the requests."""
     depth = clamp_depth(depth)
     parents = _horse_parents(t)
     roots = horses.select(F.col("horse_id").alias("root_id"))
-    level = roots.join(parents, F.col("root_id") == F.col("_id"), "inner").select(
+    level = roots.join(parents, F.col("root_id") == F.col("_id"),
+                       "left" if keep_unknown else "inner").select(
         "root_id",
         F.col("_id").alias("horse_id"),
         F.col("_name").alias("horse_name"),
@@ -105,11 +113,12 @@ def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> D
     is replaced by the parent's node where that row exists.  The horse
     itself always has stubs.  Absent slots are NULL, and so is the tree of
     an unknown horse.  Rows are grouped per horse (at most seven), so the
-    assembly is a bounded per-key aggregate.
+    assembly is a bounded per-key aggregate; requests are read once (an
+    unknown horse is carried by a left join in the first generation).
     """
     depth = clamp_depth(depth)
     roots = horses.select(F.col("horse_id")).distinct()
-    rows = pedigree_rows(t, roots, depth)
+    rows = _expand(t, roots, depth, keep_unknown=True)
     node = F.struct("horse_id", "horse_name", "sire_id", "sire_name", "dam_id", "dam_name")
     slots = rows.groupBy("root_id").agg(*[
         F.max(F.when(F.col("position") == pos, node)).alias(f"n{pos}") for pos in POSITIONS
@@ -139,8 +148,8 @@ def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> D
         parent("sire").alias("sire"),
         parent("dam").alias("dam"),
     )
-    trees = slots.select("root_id", tree.alias("tree"))
-    return roots.select(F.col("horse_id").alias("root_id")).join(trees, "root_id", "left")
+    # an unknown horse has only its request row (NULL horse id): NULL tree
+    return slots.select("root_id", F.when(F.col("n1.horse_id").isNotNull(), tree).alias("tree"))
 
 
 def flatten_tree(trees: DataFrame) -> DataFrame:

@@ -111,3 +111,11 @@ def test_bucketed_tables_join_without_shuffle(spark, scratch):
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", prev_aqe)
     assert rows == Counter(map(tuple, reports.jockey_course_roi(
         fixture_tables(spark, SF_SMALL), min_races=1).collect()))
+
+
+def test_pedigree_tree_reads_requests_once(spark, stored):
+    from furlong.operators import pedigree
+    df = pedigree.pedigree_tree(stored, R.runner_horses(stored))
+    df.collect()
+    runner_scans = [s for s in scans(df) if "jvd_se" in s.get("Location", "")]
+    assert len(runner_scans) == 1
