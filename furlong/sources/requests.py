@@ -51,15 +51,23 @@ def jockey_requests(t: RaceTables) -> DataFrame:
 
 
 def horse_requests(t: RaceTables) -> DataFrame:
+    # One pass over the runners: every runner asks for the never-seen pair,
+    # and, when its race is known, for its own track type and going.
+    races = t.races.withColumn("_has_race", F.lit(True))
+    runs = t.runners.join(races, list(RACE_KEY), "left")
     track, shiba, dirt = (F.col("track_code"), F.col("babajotai_code_shiba"),
                           F.col("babajotai_code_dirt"))
-    seen = _runs(t).select(F.col("ketto_toroku_bango").alias("horse_id"),
-                           B.track_type(track).alias("track_type"),
-                           B.track_condition(track, shiba, dirt).alias("track_condition"))
-    unseen = t.runners.select(F.col("ketto_toroku_bango").alias("horse_id"),
-                              F.lit(B.OTHER_TRACK).alias("track_type"),
-                              F.lit(B.GOING_NAMES["1"]).alias("track_condition"))
-    return seen.unionByName(unseen).distinct()
+    pairs = F.array(
+        F.struct(F.lit(B.OTHER_TRACK).alias("track_type"),
+                 F.lit(B.GOING_NAMES["1"]).alias("track_condition")),
+        F.when(F.col("_has_race"), F.struct(
+            B.track_type(track).alias("track_type"),
+            B.track_condition(track, shiba, dirt).alias("track_condition"))),
+    )
+    return (runs.select(F.col("ketto_toroku_bango").alias("horse_id"), F.explode(pairs).alias("p"))
+            .where(F.col("p").isNotNull())
+            .select("horse_id", "p.track_type", "p.track_condition")
+            .distinct())
 
 
 def registered_horses(t: RaceTables) -> DataFrame:
