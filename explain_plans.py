@@ -36,10 +36,43 @@ def main() -> None:
             keep = {k: s[k] for k in ("PartitionFilters", "PushedFilters", "ReadSchema") if k in s}
             lines.append(f"* `{table}`: " + "; ".join(f"{k} {v}" for k, v in keep.items()))
         parts.append("\n".join(lines) + "\n")
+    parts.append(_at_scale(spark, sf_dir))
     with open(out, "w") as f:
         f.write("".join(parts))
     spark.stop()
 
 
+def _at_scale(spark, sf_dir: str) -> str:
+    """The reports and the rank as they plan when no table is small enough
+    to broadcast (the target scale), over the bucketed catalog layout."""
+    from furlong.operators import lookups, reports
+    from furlong.sources.fixtures import fixture_tables
+    from furlong.sources.tables import catalog_race_tables, save_race_tables
+
+    base = spark.sparkContext.getCheckpointDir()
+    spark.sql("CREATE DATABASE IF NOT EXISTS furlong_plans")
+    save_race_tables(fixture_tables(spark, sf_dir), "furlong_plans", buckets=16,
+                     location=f"{base}/furlong-plans-bucketed", mode="overwrite")
+    t = catalog_race_tables(spark, "furlong_plans")
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    prev = {k: spark.conf.get(k) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    parts = ["\n# At scale: no broadcast, bucketed tables\n\n"
+             "Both broadcast thresholds set to -1 and the tables saved with "
+             "`save_race_tables` (bucketed on the race key): the runner ⋈ race join "
+             "reads matching buckets with no exchange; the rank numbers sires over "
+             "range partitions.\n"]
+    try:
+        for name, df in (("jockey_course_roi", reports.jockey_course_roi(t)),
+                         ("sire_track_roi_rank", lookups.sire_track_roi_rank(t))):
+            df.collect()
+            parts.append(f"\n## {name}\n\n```\n{final_tree(df).strip()}\n```\n")
+    finally:
+        for k, v in prev.items():
+            spark.conf.set(k, v)
+    return "".join(parts)
+
+
 if __name__ == "__main__":
     main()
