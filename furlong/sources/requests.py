@@ -30,12 +30,14 @@ def _runs(t: RaceTables) -> DataFrame:
 
 
 def jockey_requests(t: RaceTables) -> DataFrame:
+    # Variants are exploded per runner and deduplicated once (one shuffle,
+    # combined map-side).
     conditions = _runs(t).select(
         F.col("kishu_code").alias("jockey_id"),
         "keibajo_code",
         B.track_type(F.col("track_code")).alias("track_type"),
         B.distance_category(F.col("kyori").cast("int")).alias("distance_category"),
-    ).distinct()
+    )
     by_name = B.course_name(F.col("keibajo_code"))
     variants = F.array(
         F.struct(F.col("jockey_id").alias("j"), by_name.alias("c")),
