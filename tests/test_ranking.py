@@ -66,3 +66,18 @@ def test_lag_matches_window(spark, seed, n, parts):
     want = df.withColumn("prev", F.lag("flag").over(w))
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_without_checkpoint_folder_falls_back_to_windows(spark, monkeypatch):
+    from furlong.operators import ranking
+    monkeypatch.setattr(ranking, "shared_checkpoint_dir", lambda s: None)
+    df = spark.createDataFrame(_career_rows(6, 200), "horse string, day string, flag string")
+    order = [F.col("day").asc()]
+    rn = ranking.row_number_within(df, ["horse"], order, "rn", max_groups=8)
+    lg = ranking.lag_within(df, ["horse"], order, "flag", "prev")
+    assert "Window" in final_tree(rn) and "Window" in final_tree(lg)
+    w = Window.partitionBy("horse").orderBy("day")
+    assert sorted(map(tuple, rn.collect()), key=str) == sorted(
+        map(tuple, df.withColumn("rn", F.row_number().over(w).cast("long")).collect()), key=str)
+    assert sorted(map(tuple, lg.collect()), key=str) == sorted(
+        map(tuple, df.withColumn("prev", F.lag("flag").over(w)).collect()), key=str)
