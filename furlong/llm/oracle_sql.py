@@ -43,3 +43,48 @@ SELECT doc_id, size, source_size, target,
                      THEN 1 ELSE 0 END)::BIGINT * size AS taken
 FROM p
 """
+
+_CONTROLS = ["[INST]", "[/INST]", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[ROLE]", "[/ROLE]", "[/TURN]"]
+
+
+def _escaped_length(c: str) -> str:
+    """Length of a text with a backslash before each control string, and before
+    each backslash that another special character or the end follows."""
+    controls = " + ".join(f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in _CONTROLS)
+    runs = f"len(regexp_extract_all({c}, '\\\\+'))"
+    doubled = f"(length({c}) - length(replace({c}, '\\', ''))) - {runs}"
+    before_special = f"len(regexp_extract_all({c}, '\\\\+(?:[<\\[]|$)'))"
+    return f"(length({c}) + ({controls}) + ({doubled}) + ({before_special}))"
+
+
+OP1 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (
+  SELECT *, {_escaped_length('text')} AS body, {_escaped_length('role')} AS name,
+         CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 7 WHEN 'system' THEN 15 ELSE 20 END AS tags
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+                                  ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+       sum(tags + body + CASE WHEN tags = 20 THEN name ELSE 0 END)::BIGINT AS formatted_chars,
+       count(CASE WHEN body > length(text) THEN 1 END)::BIGINT AS escaped_turns
+FROM s GROUP BY conv_id
+"""
+
+OP2 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first_id FROM q)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND first_id IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
+FROM f
+"""
