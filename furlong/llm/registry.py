@@ -7,9 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from furlong.llm import bpe, chat, mixing, quality_rules, warc
+from furlong.llm import bpe, chat, mixing, quality_classifier, quality_rules, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
+from furlong.llm.labels import fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,17 +41,32 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read(spark, d, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    docs, held_out = read(spark, d, "documents"), fold("doc_id", 5) == 0
+    model = toxicity.train(docs, read(spark, d, "labels"), ~held_out)
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_mixing(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(read(spark, d, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
+    docs, held_out = read(spark, d, "documents"), fold("doc_id", 3) == 1
+    model = quality_classifier.train(docs, read(spark, d, "labels"), ~held_out)
+    return quality_classifier.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_warc": op2_warc,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE: dict[str, str] = {
