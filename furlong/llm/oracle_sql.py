@@ -88,3 +88,22 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first_id IS DISTINCT FROM page_id THEN first_id END AS refers_to
 FROM f
 """
+
+OP7 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND list_count(e) = len(e)
+    AND len(list_filter(e, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r(node, reach) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.node, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT node, min(reach) AS component_id FROM r GROUP BY node)
+SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id)::BIGINT AS n_links, c.component_id,
+       v.vec_id = c.component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from furlong.llm import bpe, chat, mixing, quality_classifier, quality_rules, toxicity, warc
+from furlong.llm import bpe, chat, embedding_join, mixing, quality_classifier, quality_rules, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
 from furlong.llm.labels import fold
@@ -41,6 +41,10 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read(spark, d, "documents"))
 
 
+def op7_embedding_join(spark: SparkSession, d: str) -> DataFrame:
+    return embedding_join.near_duplicates(read(spark, d, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, d: str) -> DataFrame:
     docs, held_out = read(spark, d, "documents"), fold("doc_id", 5) == 0
     model = toxicity.train(docs, read(spark, d, "labels"), ~held_out)
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
@@ -72,5 +77,6 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": sql.OP1,
     "op2_warc": sql.OP2,
+    "op7_embedding_join": sql.OP7,
     "op9_mixing": sql.OP9,
 }
