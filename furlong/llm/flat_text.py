@@ -49,14 +49,14 @@ def _spans(batch: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
-def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK) -> Iterator[Chunk]:
+def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK, whole: bool = False) -> Iterator[Chunk]:
     """The texts of a batch in chunks of about ``size`` bytes (more only where
-    a text has no white space)."""
+    a text has no white space, or ``whole``: no text is cut)."""
     if not len(batch):
         return
     data, offsets = _spans(batch)
     begin, end, rows = [], [], []
-    if not (np.diff(offsets) > size).any():
+    if whole or not (np.diff(offsets) > size).any():
         begin, end, rows = offsets[:-1], offsets[1:], np.arange(len(batch))
     else:
         for r in range(len(batch)):

@@ -107,3 +107,25 @@ SELECT v.vec_id, (SELECT count(*) FROM l WHERE l.a = v.vec_id)::BIGINT AS n_link
        v.vec_id = c.component_id AS kept
 FROM v JOIN c ON c.node = v.vec_id
 """
+
+OP6 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{_WORDS}') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(
+                            range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM d),
+k AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM s WHERE len(s) > 0 GROUP BY s),
+t AS (SELECT rep, n, unnest(s) AS t FROM k),
+l AS (
+  SELECT a.rep AS a, b.rep AS b FROM t a JOIN t b ON a.t = b.t AND a.rep <> b.rep
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+r(node, reach) AS (
+  SELECT rep, rep FROM k UNION SELECT r.node, l.b FROM r JOIN l ON r.reach = l.a),
+c AS (SELECT node, min(reach) AS first FROM r GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(c.first, s.doc_id) AS component_id
+FROM s LEFT JOIN k ON k.s = s.s LEFT JOIN c ON c.node = k.rep
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from furlong.llm import bpe, chat, embedding_join, mixing, quality_classifier, quality_rules, toxicity, warc
+from furlong.llm import bpe, chat, embedding_join, jaccard_join, mixing, quality_classifier, quality_rules, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
 from furlong.llm.labels import fold
@@ -41,6 +41,10 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read(spark, d, "documents"))
 
 
+def op6_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, d, "documents"), percent=90)
+
+
 def op7_embedding_join(spark: SparkSession, d: str) -> DataFrame:
     return embedding_join.near_duplicates(read(spark, d, "embeddings"))
 
@@ -68,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": sql.OP1,
     "op2_warc": sql.OP2,
+    "op6_jaccard_join": sql.OP6,
     "op7_embedding_join": sql.OP7,
     "op9_mixing": sql.OP9,
 }
