@@ -13,8 +13,9 @@ frequent tokens of one group: these are the index keys.  (Groups bound the
 pairs per document; they depend on the size band, so a document is indexed
 in its own band and the next.)
 
-Documents that share a key are verified exactly.  Clusters of candidates are
-verified in tiles against a size window; tasks return a spanning forest of
+Sets that share single tokens are paired where the number of shared ones
+can make up the overlap; the sets of a combination hang together.  Clusters
+of such candidates are verified exactly, in tiles against a size window; tasks return a spanning forest of
 the links, from which the components come.
 
 Scale: one pass over the texts makes the fingerprint of each set and its
@@ -108,8 +109,9 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
                        F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SKETCH)
 
 
-def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) -> np.ndarray:
-    """The index keys of one set."""
+def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Single-token keys and combination keys of one set, and the number of its
+    tokens behind its prefix (-1 if the single rare tokens did not suffice)."""
     need = may_lack(n, percent) + 1
     known = low[:int(np.searchsorted(low, KNOWN))]
     if len(frequent) and len(known):
@@ -118,33 +120,32 @@ def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) ->
     else:
         often = np.zeros(len(known), bool)
     rare, common, rest = known[~often], known[often], low[len(known):]
-    keys = [rare[:need].astype(np.uint64)]
     missing = need - len(rare)
-    if missing > 0:
-        band = int(np.floor(np.log(n) / -np.log(percent / 100)))
-        singles = 0
-        for b in (band, band + 1):
-            # groups of the band: about GROUP of its sets' frequent known tokens each
-            size = (100 / percent) ** b
-            groups = max(1, int(size * 3 / 16 / GROUP))
-            kind = (common >> 7) % groups
-            order = np.argsort(kind, kind="stable")
-            place = np.empty(len(common), np.int64)
-            place[order] = np.arange(len(common)) - np.searchsorted(kind[order], kind[order])
-            gain = np.cumsum(place > 0)  # all but the first of a group count
-            stop = int(np.searchsorted(gain, missing)) + 1
-            tokens, kind = common[:stop].astype(np.uint64), kind[:stop]
-            for g in np.unique(kind):
-                t = tokens[kind == g]
-                i, j = np.triu_indices(len(t), 1)
-                keys.append(mix64(mix64(t[i]) + t[j] * np.uint64(3) + np.uint64(b)))
-            singles = max(singles, missing - (int(gain[-1]) if len(gain) else 0))
-        keys.append(rest[:max(0, singles)].astype(np.uint64))
-    return np.unique(np.concatenate(keys) >> np.uint64(0)).astype(np.int64)
+    if missing <= 0:
+        return rare[:need], rare[:0], n - need
+    band = int(np.floor(np.log(n) / -np.log(percent / 100)))
+    keys, singles = [], 0
+    for b in (band, band + 1):
+        # groups of the band: about GROUP of its sets' known tokens each
+        groups = max(1, int((100 / percent) ** b * 3 / 16 / GROUP))
+        kind = (common >> 7) % groups
+        order = np.argsort(kind, kind="stable")
+        place = np.empty(len(common), np.int64)
+        place[order] = np.arange(len(common)) - np.searchsorted(kind[order], kind[order])
+        gain = np.cumsum(place > 0)  # all but the first of a group count
+        stop = int(np.searchsorted(gain, missing)) + 1
+        tokens, kind = common[:stop].astype(np.uint64), kind[:stop]
+        for g in np.unique(kind):
+            t = tokens[kind == g]
+            i, j = np.triu_indices(len(t), 1)
+            keys.append(mix64(mix64(t[i]) + t[j] * np.uint64(3) + np.uint64(b)))
+        singles = max(singles, missing - (int(gain[-1]) if len(gain) else 0))
+    keys.append(rest[:max(0, singles)].astype(np.uint64))
+    return rare, np.unique(np.concatenate(keys)).view(np.int64), -1
 
 
 def _keys(sketch: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
-    """``key, node``, one row per index key of each set."""
+    """``key, node, n, behind, single``, one row per index key of each set."""
     sent = sketch.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,13 +154,42 @@ def _keys(sketch: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
                 n, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-                keys = [prefix_keys(x.values.to_numpy(zero_copy_only=False), int(m), often, percent)
-                        for x, m in zip(b.column(2), n, strict=True)]
+                found = [prefix_keys(x.values.to_numpy(zero_copy_only=False), int(m), often, percent)
+                         for x, m in zip(b.column(2), n, strict=True)]
+                size = [len(x) + len(y) for x, y, _ in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(node, [len(x) for x in keys]))],
-                    names=["key", "node"])
-
-    return sketch.where("n > 1").select("n", "node", "low").mapInArrow(run, "key bigint, node bigint")
+                    [pa.array(np.concatenate([z for x, y, _ in found for z in (x, y)])),
+                     pa.array(np.repeat(node, size)), pa.array(np.repeat(n, size).astype(np.int32)),
+                     pa.array(np.repeat([x[2] for x in found], size).astype(np.int32)),
+                     pa.array(np.concatenate([np.arange(len(x) + len(y)) < len(x) for x, y, _ in found]))],
+                    names=["key", "node", "n", "behind", "single"])
+
+    return sketch.where("n > 1").select("n", "node", "low").mapInArrow(
+        run, "key bigint, node bigint, n int, behind int, single boolean")
+
+
+def _candidates(keys: DataFrame, percent: int) -> DataFrame:
+    """Links between sets that may be similar (``a, b``).
+
+    Sets that share single rare tokens (less than the frequency threshold, so
+    lists are short) are paired if their sizes fit and the shared tokens plus
+    the tokens behind the prefix can make up the wanted overlap: of the two,
+    the set whose prefix ends first has every shared token in both prefixes or
+    behind its own.  The sets of a combination key hang on the smallest one."""
+    shared = keys.groupBy(F.col("key").alias("_k"), F.col("single").alias("_s")).agg(
+        F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
+    listed = staged(keys.join(shared, (keys["key"] == shared["_k"]) & (keys["single"] == shared["_s"]))
+                    .select("key", "node", "n", "behind", "single", "_low").distinct(), "lists")
+    left = listed.where("single").select("key", "node", "n", "behind")
+    right = left.select(*[F.col(c).alias(f"{c}2") for c in left.columns])
+    pairs = left.join(right, (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2"))
+                      & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
+    pairs = pairs.groupBy(F.col("node").alias("a"), F.col("node2").alias("b"), "n", "n2", "behind", "behind2").agg(
+        F.count(F.lit(1)).alias("shared"))
+    able = (F.col("shared") + F.greatest("behind", "behind2")) * (100 + percent) >= percent * (F.col("n") + F.col("n2"))
+    pairs = pairs.where(able | ((F.col("behind") < 0) & (F.col("behind2") < 0))).select("a", "b")
+    star = listed.where("NOT single AND node != _low").select(F.col("node").alias("a"), F.col("_low").alias("b"))
+    return pairs.unionByName(star)
 
 
 def _verified(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -227,11 +257,7 @@ def links(docs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     often = tokens.where(F.col("df") >= max(FREQUENT, -(-total // MAX_FREQUENT))).select("t").collect()
     frequent = np.sort(np.array([r["t"] for r in often], np.int64))
     keys = staged(_keys(sketch, frequent, percent), "keys")
-    shared = keys.groupBy(F.col("key").alias("_k")).agg(
-        F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    # a key's sets hang on its smallest one: clusters of candidates
-    star = keys.join(shared, keys["key"] == shared["_k"]).select(
-        F.col("node").alias("a"), F.col("low").alias("b")).where("a != b").distinct()
+    star = _candidates(keys, percent)
     clusters = staged(components(star).withColumnRenamed("component", "cluster"), "clusters")
     ids = (sketch.where("doc_id IS NOT NULL").select("doc_id", "node").join(clusters, "node")
            .groupBy("node", "cluster").agg(F.min("doc_id").alias("doc_id")))
