@@ -129,3 +129,22 @@ c AS (SELECT node, min(reach) AS first FROM r GROUP BY node)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(c.first, s.doc_id) AS component_id
 FROM s LEFT JOIN k ON k.s = s.s LEFT JOIN c ON c.node = k.rep
 """
+
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w FROM documents),
+x AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13),
+v AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g FROM x),
+m AS (SELECT g, min(doc_id) AS first_id FROM v GROUP BY g),
+f AS (
+  SELECT DISTINCT v.doc_id, unnest(range(v.i, v.i + 13)) AS p FROM v JOIN m USING (g) WHERE m.first_id < v.doc_id),
+a AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+k AS (
+  SELECT a.doc_id, count(f.p)::BIGINT AS n_removed,
+         coalesce(string_agg(CASE WHEN f.p IS NULL THEN a.word END, ' ' ORDER BY a.p), '') AS kept
+  FROM a LEFT JOIN f ON f.doc_id = a.doc_id AND f.p = a.p GROUP BY a.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""

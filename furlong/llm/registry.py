@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from furlong.llm import bpe, chat, embedding_join, jaccard_join, mixing, quality_classifier, quality_rules, toxicity, warc
+from furlong.llm import bpe, chat, embedding_join, jaccard_join, mixing, quality_classifier, quality_rules, substring_dedup, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
 from furlong.llm.labels import fold
@@ -41,6 +42,12 @@ def op4_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.judge(read(spark, d, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    docs = read(spark, d, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op6_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
     return jaccard_join.near_duplicates(read(spark, d, "documents"), percent=90)
 
@@ -72,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc": op2_warc,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_embedding_join": op7_embedding_join,
     "op8_toxicity": op8_toxicity,
@@ -82,6 +90,7 @@ QUERIES: dict[str, Query] = {
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": sql.OP1,
     "op2_warc": sql.OP2,
+    "op5_substring_dedup": sql.OP5,
     "op6_jaccard_join": sql.OP6,
     "op7_embedding_join": sql.OP7,
     "op9_mixing": sql.OP9,
