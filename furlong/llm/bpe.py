@@ -24,6 +24,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,21 +125,27 @@ def decode_documents(encoded: DataFrame, rank_path: str, pattern: str) -> DataFr
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
-def round_trip(docs: DataFrame, rank_path: str, pattern: str) -> DataFrame:
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, with_ids: bool = False) -> DataFrame:
     """Encodes and decodes every text in one pass: ``n_tokens``, ``ids_sha256``
-    (decimal ids joined by one space) and ``decoded_sha256`` (decoded bytes)."""
+    (decimal ids joined by one space) and ``decoded_sha256`` (decoded bytes);
+    with ``ids`` themselves if asked for."""
     def row(enc, ids: pa.Array, texts: pa.Array) -> pa.RecordBatch:
-        n, sent, back = [], [], []
+        n, sent, back, all_ids = [], [], [], []
         for t in texts:
             tokens = encode(enc, t.as_py())
             n.append(len(tokens))
             sent.append(_ids_digest(tokens))
             back.append(hashlib.sha256(enc.decode_bytes(tokens)).hexdigest())
-        return pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sent, pa.string()), pa.array(back, pa.string())],
-            names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _mapped(docs, rank_path, pattern, DIGESTS, row)
+            if with_ids:
+                all_ids.append(np.array(tokens, np.int32))
+        out = [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sent, pa.string()), pa.array(back, pa.string())]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            out.append(pa.array(all_ids, pa.list_(pa.int32())))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(out, names=names)
+
+    return _mapped(docs, rank_path, pattern, DIGESTS + (", ids array<int>" if with_ids else ""), row)
 
 
 def _ids_digest(tokens: list[int], step: int = 100_000) -> str:

@@ -1,6 +1,6 @@
 """N-gram Jaccard join by token-combination prefixes.
 
-A document is the set of its distinct 3-word shingles (64-bit hashes,
+A document is the set of its distinct shingles (runs of words, 64-bit hashes,
 A-Z folded).  Tokens have one global order: rare ones first, then frequent
 ones, by hash within a class; tokens whose frequency was not counted come
 last.  A document's prefix is extended along that order until
@@ -25,7 +25,7 @@ tokens number at most ``MAX_FREQUENT`` by choice of the threshold, and so
 are broadcast.  A cluster of any size is cut into tiles of bounded size.
 
 Defined results: null and empty texts have no shingles and link with
-nothing; texts of one or two words have one shingle, the whole sequence;
+nothing; texts of fewer words than a shingle have one, the whole sequence;
 repeated rows link like any equal sets; rows without a doc_id link with
 nothing and have no component; an empty table gives an empty result; other
 columns are ignored.  A set's fingerprint and its tokens are 64-bit hashes.
@@ -34,6 +34,7 @@ columns are ignored.  A set's fingerprint and its tokens are 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -45,8 +46,6 @@ from furlong.llm.common import staged
 from furlong.llm.components import components
 from furlong.llm.flat_text import chunks, mix64, word_hashes
 
-WIDTH = 3
-KNOWN = int(2 ** 63 * 3 / 16)  # tokens below this have their frequency counted
 FREQUENT = 32  # documents from which a token is frequent, at least
 MAX_FREQUENT = 500_000
 GROUP = 4  # frequent tokens of a prefix that fall into one group, about
@@ -54,19 +53,37 @@ TILE_MIN, TILE_MAX, TILES = 128, 2048, 20
 BROADCAST_IDS = 1_000_000
 
 
-def shingle_sets(texts: pa.StringArray) -> Iterator[tuple[int, np.ndarray]]:
+@dataclass(frozen=True)
+class Rule:
+    """Words in a shingle, and the similarity in percent from which sets link."""
+
+    width: int = 3
+    percent: int = 90
+
+    @property
+    def known(self) -> int:
+        """Tokens below this hash have their frequency counted: somewhat more
+        than a prefix needs."""
+        return 2 ** 63 * (100 - self.percent) * 15 // 800
+
+    def may_lack(self, n: int) -> int:
+        """Tokens of a set of ``n`` that a similar set may lack."""
+        return n - -(-n * self.percent // 100)
+
+
+def shingle_sets(texts: pa.StringArray, width: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingles as 63-bit numbers) of every text."""
     for c in chunks(texts, lower=True, whole=True):
         h = word_hashes(c)
         s = np.zeros(len(h), np.uint64)
         three = np.uint64(3)
-        for k in range(WIDTH):
+        for k in range(width):
             s[:len(h) - k] = mix64(s[:len(h) - k] * three + h[k:])
         for part, row in enumerate(c.row):
             n, at = int(c.n_words[part]), int(c.first_word[part])
-            if n >= WIDTH:
-                yield int(row), np.unique(s[at:at + n - WIDTH + 1] >> np.uint64(1)).astype(np.int64)
-            elif n:  # the whole sequence, told apart from three words by its own start
+            if n >= width:
+                yield int(row), np.unique(s[at:at + n - width + 1] >> np.uint64(1)).astype(np.int64)
+            elif n:  # the whole sequence, told apart from full shingles by its own start
                 x = np.full(1, n, np.uint64)
                 for k in range(n):
                     x = mix64(x * three + h[at + k:at + k + 1] + np.uint64(1))
@@ -75,11 +92,6 @@ def shingle_sets(texts: pa.StringArray) -> Iterator[tuple[int, np.ndarray]]:
                 yield int(row), np.zeros(0, np.int64)
 
 
-def may_lack(n: int, percent: int) -> int:
-    """Tokens of a set of ``n`` that a set of the wanted similarity may lack."""
-    return n - -(-n * percent // 100)
-
-
 def _fingerprint(tokens: np.ndarray) -> int:
     x = np.add.reduce(mix64(tokens.astype(np.uint64) + np.uint64(0x5851F42D4C957F2D))) + np.uint64(len(tokens))
     return int((mix64(np.array([x]))[0] >> np.uint64(1)).astype(np.int64))
@@ -88,19 +100,19 @@ def _fingerprint(tokens: np.ndarray) -> int:
 SKETCH = "doc_id bigint, n bigint, node bigint, low array<bigint>"
 
 
-def sketches(docs: DataFrame, percent: int) -> DataFrame:
+def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
     """``doc_id``, ``n`` (shingles), ``node`` (fingerprint of the set; null
-    without shingles) and ``low``: all tokens below ``KNOWN`` and as many more
+    without shingles) and ``low``: all tokens below ``rule.known`` and as many more
     as a prefix can need, in order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(0)
             rows, n, node, low = [], [], [], []
-            for row, tokens in shingle_sets(b.column(1)):
+            for row, tokens in shingle_sets(b.column(1), rule.width):
                 rows.append(row)
                 n.append(len(tokens))
                 node.append(_fingerprint(tokens) if len(tokens) else None)
-                low.append(tokens[:int(np.searchsorted(tokens, KNOWN)) + may_lack(len(tokens), percent) + 1])
+                low.append(tokens[:int(np.searchsorted(tokens, rule.known)) + rule.may_lack(len(tokens)) + 1])
             yield pa.RecordBatch.from_arrays(
                 [ids.take(pa.array(rows, pa.int64())), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
                  pa.array(low, pa.list_(pa.int64()))], names=["doc_id", "n", "node", "low"])
@@ -109,11 +121,11 @@ def sketches(docs: DataFrame, percent: int) -> DataFrame:
                        F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, SKETCH)
 
 
-def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, int]:
     """Single-token keys and combination keys of one set, and the number of its
     tokens behind its prefix (-1 if the single rare tokens did not suffice)."""
-    need = may_lack(n, percent) + 1
-    known = low[:int(np.searchsorted(low, KNOWN))]
+    need = rule.may_lack(n) + 1
+    known = low[:int(np.searchsorted(low, rule.known))]
     if len(frequent) and len(known):
         at = np.minimum(np.searchsorted(frequent, known), len(frequent) - 1)
         often = frequent[at] == known
@@ -123,11 +135,11 @@ def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) ->
     missing = need - len(rare)
     if missing <= 0:
         return rare[:need], rare[:0], n - need
-    band = int(np.floor(np.log(n) / -np.log(percent / 100)))
+    band = int(np.floor(np.log(n) / -np.log(rule.percent / 100)))
     keys, singles = [], 0
     for b in (band, band + 1):
         # groups of the band: about GROUP of its sets' known tokens each
-        groups = max(1, int((100 / percent) ** b * 3 / 16 / GROUP))
+        groups = max(1, int((100 / rule.percent) ** b * rule.known / 2 ** 63 / GROUP))
         kind = (common >> 7) % groups
         order = np.argsort(kind, kind="stable")
         place = np.empty(len(common), np.int64)
@@ -144,7 +156,7 @@ def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, percent: int) ->
     return rare, np.unique(np.concatenate(keys)).view(np.int64), -1
 
 
-def _keys(sketch: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
+def _keys(sketch: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
     """``key, node, n, behind, single``, one row per index key of each set."""
     sent = sketch.sparkSession.sparkContext.broadcast(frequent)
 
@@ -154,7 +166,7 @@ def _keys(sketch: DataFrame, frequent: np.ndarray, percent: int) -> DataFrame:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
                 n, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-                found = [prefix_keys(x.values.to_numpy(zero_copy_only=False), int(m), often, percent)
+                found = [prefix_keys(x.values.to_numpy(zero_copy_only=False), int(m), often, rule)
                          for x, m in zip(b.column(2), n, strict=True)]
                 size = [len(x) + len(y) for x, y, _ in found]
                 yield pa.RecordBatch.from_arrays(
@@ -222,7 +234,7 @@ def _verified(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     """``node, n, tokens, cluster`` of the documents of ``ids`` (doc_id, node, cluster)."""
     small = ids.count() <= BROADCAST_IDS
     side = ids.withColumnRenamed("doc_id", "_id")
@@ -232,7 +244,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             node, cluster = b.column(0).to_numpy(), b.column(1).to_numpy()
-            found = [(r, t) for r, t in shingle_sets(b.column(2)) if len(t) and _fingerprint(t) == node[r]]
+            found = [(r, t) for r, t in shingle_sets(b.column(2), rule.width) if len(t) and _fingerprint(t) == node[r]]
             at = np.array([r for r, _ in found], np.int64)
             for k in range(0, len(found), 500):
                 part = found[k:k + 500]
@@ -247,21 +259,21 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return out.dropDuplicates(["node"])
 
 
-def links(docs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
+def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     """``node, component``: sets that are linked with another set."""
-    tokens = sketch.select(F.explode(F.filter("low", lambda x: x < KNOWN)).alias("t")).groupBy("t").agg(
+    tokens = sketch.select(F.explode(F.filter("low", lambda x: x < rule.known)).alias("t")).groupBy("t").agg(
         F.count(F.lit(1)).alias("df")).where(F.col("df") >= FREQUENT)
     tokens = staged(tokens, "tokens")
     # at most MAX_FREQUENT tokens can stand total / MAX_FREQUENT times or more
     total = tokens.agg(F.sum("df")).first()[0] or 0
     often = tokens.where(F.col("df") >= max(FREQUENT, -(-total // MAX_FREQUENT))).select("t").collect()
     frequent = np.sort(np.array([r["t"] for r in often], np.int64))
-    keys = staged(_keys(sketch, frequent, percent), "keys")
-    star = _candidates(keys, percent)
+    keys = staged(_keys(sketch, frequent, rule), "keys")
+    star = _candidates(keys, rule.percent)
     clusters = staged(components(star).withColumnRenamed("component", "cluster"), "clusters")
     ids = (sketch.where("doc_id IS NOT NULL").select("doc_id", "node").join(clusters, "node")
            .groupBy("node", "cluster").agg(F.min("doc_id").alias("doc_id")))
-    sets = staged(_sets(docs, staged(ids, "candidates")), "sets")
+    sets = staged(_sets(docs, staged(ids, "candidates"), rule), "sets")
     size = sets.groupBy(F.col("cluster").alias("_c")).agg(F.count(F.lit(1)).alias("m")).withColumn(
         "tiles", F.greatest(F.least(F.ceil(F.col("m") / TILE_MIN), F.lit(TILES)), F.ceil(F.col("m") / TILE_MAX)).cast("int"))
     cut = sets.join(size, sets["cluster"] == size["_c"]).withColumn(
@@ -272,16 +284,16 @@ def links(docs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
                        F.greatest("tile", "other").alias("hi"), (F.col("tile") > F.col("other")).alias("side"),
                        (F.col("tile") == F.col("other")).alias("same"))
     found = dealt.groupBy("cluster", "lo", "hi").applyInPandas(
-        lambda pdf: _verified(pdf, percent), "a bigint, b bigint")
+        lambda pdf: _verified(pdf, rule.percent), "a bigint, b bigint")
     return components(staged(found, "set-links"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 90) -> DataFrame:
+def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles`` and ``component_id``
     (smallest doc_id that links reach, itself included).  Two documents link
-    when ``100 * intersection >= percent * union``.  Runs jobs."""
-    sketch = staged(sketches(docs, percent), "sketches")
-    of = links(docs, sketch, percent)
+    when ``100 * intersection >= rule.percent * union``.  Runs jobs."""
+    sketch = staged(sketches(docs, rule), "sketches")
+    of = links(docs, sketch, rule)
     rows = sketch.select("doc_id", F.col("n").alias("n_shingles"), "node")
     rows = rows.join(of, "node", "left").withColumn("root", F.coalesce("component", "node"))
     first = (rows.where("root IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("root").alias("_r"))

@@ -158,8 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
 
 
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of ``keep`` with ``score`` (probability of label 1) and
-    ``predicted`` (1 if score >= 0.5)."""
+    """The columns of ``keep`` (which may hold the text) with ``score``
+    (probability of label 1) and ``predicted`` (1 if score >= 0.5)."""
     keep = tuple(k for k in keep if k not in ("score", "predicted"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -49,7 +49,7 @@ def op5_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op6_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
-    return jaccard_join.near_duplicates(read(spark, d, "documents"), percent=90)
+    return jaccard_join.near_duplicates(read(spark, d, "documents"), jaccard_join.Rule(width=3, percent=90))
 
 
 def op7_embedding_join(spark: SparkSession, d: str) -> DataFrame:
