@@ -92,9 +92,9 @@ def _bag(x: np.ndarray, at: np.ndarray, p: dict) -> dict:
     return {"h": h, "t": t, "g": g, "w": w, "z": z, "n": n, "score": sigmoid(z @ p["c"] + p["d"])}
 
 
-def _grads(x: np.ndarray, at: np.ndarray, y: np.ndarray, p: dict) -> dict:
+def _grads(x: np.ndarray, at: np.ndarray, y: np.ndarray, p: dict, weight: np.ndarray | float = 1.0) -> dict:
     f = _bag(x, at, p)
-    do = (f["score"] - y) / len(y)
+    do = weight * (f["score"] - y) / len(y)
     dz = do[:, None] * p["c"]
     dzr = np.repeat(dz, f["n"], 0)
     dw = (dzr * f["h"]).sum(1)
@@ -119,6 +119,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 25, batch: int = 64
     if not len(y) or y.min() == y.max():
         return p | {"c": np.zeros(HIDDEN)}
     adam = Adam(p, 0.01)
+    weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean()))  # both classes count alike
     for epoch in range(epochs):
         adam.rate = 0.01 * (1 - epoch / epochs) + 0.0005
         order = rng.permutation(len(y))
@@ -126,7 +127,7 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 25, batch: int = 64
             rows = order[k:k + batch]
             n = np.array([len(bags[r]) for r in rows])
             at = np.concatenate(([0], np.cumsum(n)[:-1]))
-            adam.step(_grads(np.concatenate([bags[r] for r in rows]).astype(np.float64), at, y[rows], p))
+            adam.step(_grads(np.concatenate([bags[r] for r in rows]).astype(np.float64), at, y[rows], p, weight[rows]))
     return p
 
 
