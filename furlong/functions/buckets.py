@@ -80,8 +80,11 @@ def _going_code(track_code: Column, shiba: Column, dirt: Column) -> Column:
 
 
 def condition_code(track_code: Column, shiba: Column, dirt: Column) -> Column:
-    """Raw going code of the surface raced on, '0' on other tracks."""
-    return F.coalesce(_going_code(track_code, shiba, dirt), F.lit(NO_GOING_CODE))
+    """Raw going code of the surface raced on (NULL stays NULL), '0' on other
+    tracks."""
+    s = _surface(track_code)
+    return (F.when(s == TURF_PREFIX, shiba).when(s == DIRT_PREFIX, dirt)
+            .otherwise(F.lit(NO_GOING_CODE)))
 
 
 def track_condition(track_code: Column, shiba: Column, dirt: Column) -> Column:

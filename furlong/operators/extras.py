@@ -20,8 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.functions.filters import known_parent
-from furlong.operators.ranking import lag_within
+from furlong.functions.filters import UNKNOWN_PARENT, known_parent
 from furlong.operators.roi import roi_by
 from furlong.operators.runners import rated_runners
 from furlong.schema import RACE_KEY, RaceTables
@@ -40,7 +39,7 @@ def broodmare_sires(t: RaceTables) -> DataFrame:
     """horse id → the sire of its dam (horse table joined to itself on the
     dam id; N:1, a dam has a bounded number of foals)."""
     foals = t.horses.select(F.col("ketto_toroku_bango").alias("_horse_id"),
-                            F.col("ketto_joho_02a").alias("_dam_id"))
+                            F.col("ketto_joho_02a").alias("_dam_id")).where(known_parent(F.col("_dam_id")))
     dams = t.horses.select(F.col("ketto_toroku_bango").alias("_dam_id"),
                            F.col("ketto_joho_01a").alias("bms_id"),
                            F.trim("ketto_joho_01b").alias("bms_name"))
@@ -56,7 +55,7 @@ def broodmare_sire_track_roi(t: RaceTables, since_year: int = 2000, min_races: i
     rated = rated.join(bms, rated["horse_id"] == bms["_horse_id"], "inner")
     keys = ("bms_id", "bms_name", "track_type", "track_condition")
     return roi_by(rated, keys, BROODMARE_SIRE_METRICS, min_races,
-                  [F.col("roi_percentage").desc()])
+                  [F.col("roi_percentage").desc(), *[F.col(k) for k in keys]])
 
 
 def horse_course_roi(t: RaceTables, since_year: int = 2000, min_races: int = 1,
@@ -70,29 +69,35 @@ CLOSING_METRICS = ("total_races", "wins", "win_rate", "roi_percentage", "avg_win
 
 
 def closing_rank_roi(t: RaceTables, time_col: str, since_year: int = 2000,
-                     min_races: int = 1, time_type: str = "decimal(8,1)") -> DataFrame:
-    """ROI per closing-time rank: runners of a race are ranked by the
-    runner column ``time_col`` (fastest first, ties share a rank; runners
-    without a time get none).  The window is one race, so it is bounded by
-    the field size."""
-    rated = rated_runners(t, since_year, carry=(time_col,))
-    time = F.col(time_col).cast(time_type)
+                     min_races: int = 1, time_type: str = "decimal(8,1)",
+                     bad_values: str = "fail") -> DataFrame:
+    """ROI per closing-time rank: all runners of a race, rated or not, are
+    ranked by the runner column ``time_col`` (fastest first, ties share a
+    rank; runners without a time get none); then the rated ones count.  The
+    window is one race, so it is bounded by the field size."""
+    time = F.col(time_col).try_cast(time_type)
     in_race = Window.partitionBy(*RACE_KEY).orderBy(time.asc_nulls_last())
-    ranked = rated.withColumn(
+    ranked = t.runners.withColumn(
         "closing_rank", F.when(time.isNotNull(), F.rank().over(in_race)).cast("int"))
-    return roi_by(ranked.where(F.col("closing_rank").isNotNull()), ("closing_rank",),
+    rated = rated_runners(RaceTables(t.races, ranked, t.horses), since_year, bad_values=bad_values,
+                          carry=("closing_rank",))
+    return roi_by(rated.where(F.col("closing_rank").isNotNull()), ("closing_rank",),
                   CLOSING_METRICS, min_races, [F.col("closing_rank")])
 
 
 def next_run_roi(t: RaceTables, flag_col: str, since_year: int | None = None,
-                 min_races: int = 1) -> DataFrame:
+                 min_races: int = 1, bad_values: str = "fail",
+                 placeholder: str = UNKNOWN_PARENT) -> DataFrame:
     """ROI of each horse's next run, grouped by the value of the runner
-    column ``flag_col`` on the run before it (NULL for a first run).  Runs
-    are ordered by race date and race key within a horse."""
-    rated = rated_runners(t, since_year, carry=(flag_col,))
-    # A horse id may be hot (an unknown-horse code in real data), so the
-    # career is cut over range partitions instead of one window per horse.
-    with_prev = lag_within(rated, ["horse_id"], [F.col(k).asc_nulls_first() for k in RACE_KEY],
-                           flag_col, "previous_flag")
-    return roi_by(with_prev, ("previous_flag",), CLOSING_METRICS, min_races,
-                  [F.col("previous_flag")])
+    column ``flag_col`` on the run before it, rated or not and in any year
+    (NULL for a first run).  Runs are ordered by race key within a horse (of
+    equal keys, by finish, flag, odds and rank).  The ``placeholder`` id of unknown horses
+    and NULL ids have no career and are left out; a horse's career is short,
+    so the window is bounded."""
+    order = [F.col(k).asc_nulls_first() for k in (*RACE_KEY, "kakutei_chakujun", flag_col, "tansho_odds", "tansho_ninkijun")]
+    career = Window.partitionBy("ketto_toroku_bango").orderBy(*order)
+    runs = t.runners.where(F.col("ketto_toroku_bango") != placeholder).withColumn(
+        "previous_flag", F.lag(F.col(flag_col)).over(career))
+    rated = rated_runners(RaceTables(t.races, runs, t.horses), since_year, bad_values=bad_values,
+                          carry=("previous_flag",))
+    return roi_by(rated, ("previous_flag",), CLOSING_METRICS, min_races, [F.col("previous_flag")])

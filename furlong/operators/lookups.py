@@ -4,11 +4,11 @@ A point lookup ("this jockey under this course condition", "this horse's
 sire on this going") becomes a join of a request table with an aggregate,
 so any number of requests costs one job:
 
-* the aggregate is computed once over all rated runners (two-phase hash
-  aggregate; its size is bounded by the number of distinct entity × class
-  combinations, not by the number of runners);
-* requests are joined to it with left joins; adaptive execution broadcasts
-  whichever side measures small, otherwise the join is sort-merge;
+* the request keys cut the scan first: runners are semi-joined with the
+  requested jockeys, races with the requested courses or classes, below the
+  runner-race join and the aggregate;
+* requests are joined to the aggregate with left joins; adaptive execution
+  broadcasts whichever side measures small, otherwise the join is sort-merge;
 * duplicate requests are answered once and joined back, so every request
   row gets exactly one answer row.
 """
@@ -18,14 +18,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from furlong.functions import buckets as B
 from furlong.functions.buckets import course_code
+from furlong.functions.filters import is_rated
 from furlong.functions.metrics import (
     N, ODDS_SUM, WINS, metric_columns, ratio2, roi_hundredths, win_rate_hundredths,
 )
 from furlong.functions.rounding import exact_ratio, from_hundredths
-from furlong.operators.ranking import row_number_within
 from furlong.operators.roi import roi_totals
-from furlong.operators.runners import rated_runners
+from furlong.operators.runners import rated_runners, runner_columns
 from furlong.schema import RaceTables
 
 SIRE_KEYS = ("sire_id", "track_type", "track_condition")
@@ -48,36 +49,40 @@ def sire_track_totals(t: RaceTables, since_year: int | None = None,
     return roi_totals(rated, SIRE_KEYS)
 
 
-# Rank groups: track type (3 classes) × going (5 classes) × qualifying flag.
-RANK_GROUPS = 3 * 5 * 2
+RANK_GROUP = ("track_type", "track_condition")
 
 
-def with_roi_rank(totals: DataFrame, min_races: int = RANK_MIN_RACES) -> DataFrame:
-    """Add ``roi_rank``: position by unrounded ROI (ties by sire id) among
-    the sires with at least ``min_races`` runs on the same track type and
-    going; 0 for sires below the minimum.
+def _roi_ranked(qualifying: DataFrame) -> DataFrame:
+    """``qualifying`` totals with ``roi_rank``: the row number by unrounded ROI
+    (ties by sire id) within each track type and going.
 
-    The qualifying flag is part of the rank group, so qualifying and
-    non-qualifying sires are numbered in one pass over the aggregate (one
-    row per sire and class).  The number of sires grows with the data, so
-    the numbering is spread over many tasks (:mod:`furlong.operators.ranking`).
-    """
-    flagged = totals.withColumn("_qualifies", F.col(N) >= F.lit(min_races))
-    ranked = row_number_within(flagged, ["track_type", "track_condition", "_qualifies"],
-                               _by_exact_roi(), "roi_rank", max_groups=RANK_GROUPS)
-    return ranked.withColumn(
-        "roi_rank", F.when(F.col("_qualifies"), F.col("roi_rank")).otherwise(F.lit(0).cast("long"))
-    ).drop("_qualifies")
+    There are about fifteen such groups, each as large as the number of sires.
+    So a group is cut into buckets that follow its order (whole percents of
+    ROI, then the first characters of the sire id): the sizes of the buckets
+    before give a bucket its offset, and rows are numbered within a bucket.
+    The bucket sizes are one more aggregate over the totals' exchange; only
+    they meet per group."""
+    bucket = [(-F.floor(roi_hundredths() / 100)).alias("_b_roi"), F.col("sire_id").isNull().alias("_b_null"),
+              F.coalesce(F.substring("sire_id", 1, 7), F.lit("")).alias("_b_id")]
+    rows = qualifying.select("*", *bucket)
+    keys = [*RANK_GROUP, "_b_roi", "_b_null", "_b_id"]
+    ahead = (Window.partitionBy(*RANK_GROUP).orderBy("_b_roi", "_b_null", "_b_id")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b_n")).withColumn(
+        "_b_before", F.coalesce(F.sum("_b_n").over(ahead), F.lit(0))).drop("_b_n")
+    inside = Window.partitionBy(*keys).orderBy(*_by_exact_roi())
+    return rows.join(sizes, keys).withColumn(
+        "roi_rank", (F.col("_b_before") + F.row_number().over(inside)).cast("long")).drop(
+        "_b_roi", "_b_null", "_b_id", "_b_before")
 
 
 def sire_track_roi_rank(t: RaceTables, min_races: int = RANK_MIN_RACES,
                         since_year: int | None = None,
-                        exclude_unknown_sire: bool = False) -> DataFrame:
+                        exclude_unknown_sire: bool = False,
+                        bad_values: str = "fail") -> DataFrame:
     """Every sire's ROI rank within each track type × going (Q7)."""
-    totals = sire_track_totals(t, since_year, exclude_unknown_sire)
-    qualifying = totals.where(F.col(N) >= F.lit(min_races))
-    ranked = row_number_within(qualifying, ["track_type", "track_condition"],
-                               _by_exact_roi(), "roi_rank", max_groups=RANK_GROUPS)
+    totals = sire_track_totals(t, since_year, exclude_unknown_sire, bad_values)
+    ranked = _roi_ranked(totals.where(F.col(N) >= F.lit(min_races)))
     return ranked.select(
         *SIRE_KEYS,
         *metric_columns(["total_races", "roi_percentage"]),
@@ -97,31 +102,49 @@ def horse_sires(t: RaceTables) -> DataFrame:
             .select("_horse_id", "_s.sire_id", "_s.sire_name"))
 
 
+def _in_requested_classes(t: RaceTables, requests: DataFrame) -> RaceTables:
+    """The races of the requested track type × going classes only."""
+    wanted = requests.select(F.col("track_type").alias("_type"), F.col("track_condition").alias("_going")).distinct()
+    track, shiba, dirt = F.col("track_code"), F.col("babajotai_code_shiba"), F.col("babajotai_code_dirt")
+    races = t.races.join(wanted, (B.track_type(track) == F.col("_type"))
+                         & (B.track_condition(track, shiba, dirt) == F.col("_going")), "left_semi")
+    return RaceTables(races, t.runners, t.horses)
+
+
 def horse_sire_track_roi_feature(
     t: RaceTables,
     requests: DataFrame,
     min_races: int = RANK_MIN_RACES,
     since_year: int | None = None,
     exclude_unknown_sire: bool = False,
+    bad_values: str = "fail",
 ) -> DataFrame:
     """Per request (horse_id, track_type, track_condition): the horse's sire,
     the sire's ROI / win rate / runs under that track and going, and the
     sire's ROI rank there (Q6).
 
     Unknown horse: NULL sire name and zeros.  Known horse, no runs of the
-    sire in that class: zeros.  Below ``min_races``: rank 0.  Totals and
-    rank come from one aggregate over the runners.
+    sire in that class: zeros.  Below ``min_races``: rank 0.  Only races of
+    requested classes are read into the totals; the rank in a class needs all
+    its sires, but only those that qualify.
     """
-    ranked = with_roi_rank(sire_track_totals(t, since_year, exclude_unknown_sire), min_races)
-    answers = ranked.select(
+    totals = sire_track_totals(_in_requested_classes(t, requests), since_year, exclude_unknown_sire, bad_values)
+    ranked = _roi_ranked(totals.where(F.col(N) >= F.lit(min_races))).select(
+        F.struct(*SIRE_KEYS).alias("_key"), "roi_rank")
+    answers = totals.select(
         *SIRE_KEYS,
         F.col(N).alias("_n"),
         *metric_columns(["roi_percentage", "win_rate"]),
-        "roi_rank",
-    )
+    ).withColumn("_key0", F.struct(*SIRE_KEYS))
+    answers = answers.join(ranked, F.col("_key0") == F.col("_key"), "left").drop("_key", "_key0")
     req = requests.join(horse_sires(t), requests["horse_id"] == F.col("_horse_id"), "left")
     req = req.drop("_horse_id")
-    joined = req.join(answers, list(SIRE_KEYS), "left")
+    # Requests without a sire have no answer: a key of their own spreads them
+    # over the join's tasks instead of one task for NULL.
+    lost = F.concat(F.lit("?"), F.col("horse_id"))
+    req = req.withColumn("_sire_key", F.coalesce(F.col("sire_id"), lost)).drop("sire_id")
+    joined = req.join(answers.withColumnRenamed("sire_id", "_sire_key"),
+                      ["_sire_key", "track_type", "track_condition"], "left")
     return joined.select(
         *[F.col(c) for c in requests.columns],
         F.col("sire_name"),
@@ -166,17 +189,14 @@ JOCKEY_KEYS = ("jockey_id", "jockey_name")
 CONDITION_KEYS = ("keibajo_code", "track_type", "distance_category")
 
 
-def jockey_condition_totals(t: RaceTables, bad_values: str = "fail") -> DataFrame:
-    """Totals per jockey id × name × (race known) × course code × track type
-    × distance class over every rated runner row, all years.
-
-    Rows whose race is missing are kept in their own groups
-    (``has_race`` false), so the jockey's overall record, which counts
-    every rated runner row whether or not its race is known, is a roll-up
-    of this one aggregate: the runner table is scanned once for both.
-    """
-    rated = rated_runners(t, bad_values=bad_values, keep_raceless=True)
-    return roi_totals(rated, [*JOCKEY_KEYS, "has_race", *CONDITION_KEYS])
+def _overall_records(runners: DataFrame, bad_values: str) -> DataFrame:
+    """The overall record of every jockey id: all rated runner rows, whether or
+    not their race is known (no race join), under the name with the most."""
+    rated = runners.where(is_rated(F.col("kakutei_chakujun"), F.col("tansho_odds"))).select(
+        *runner_columns(bad_values))
+    record = F.struct(F.col(N).alias("n"), F.col(WINS).alias("wins"), F.col(ODDS_SUM).alias("odds"))
+    return (roi_totals(rated, JOCKEY_KEYS).groupBy("jockey_id")
+            .agg(F.min_by(record, F.struct(-F.col(N), F.col("jockey_name"))).alias("_best")))
 
 
 def jockey_course_feature(t: RaceTables, requests: DataFrame,
@@ -194,39 +214,25 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
     distinct_req = requests.select(*keys).distinct().withColumn(
         "keibajo_code", course_code(F.col("course_name")))
 
-    totals = jockey_condition_totals(t, bad_values)
-    # The jockey's overall record under each name is a window sum over the
-    # same aggregate (no second pass over the runners).  The preference
-    # orders the conditioned side first, so picking the best conditioned
-    # row per request and the best overall name per jockey separately is
-    # the same as picking from all conditioned × overall name pairs.
-    per_name = Window.partitionBy(*JOCKEY_KEYS)
-    per_jockey = Window.partitionBy("jockey_id")
-    overall = F.struct(
-        F.sum(N).over(per_name).alias("n"),
-        F.sum(WINS).over(per_name).alias("wins"),
-        F.sum(ODDS_SUM).over(per_name).alias("odds"),
-        F.col("jockey_name").alias("name"),
-    )
-    # Both windows partition by the jockey (the name window refines it), so
-    # one exchange on jockey_id serves both.  A jockey's rows here are one
-    # per name and condition, however many runs the jockey has.
-    with_overall = totals.repartition("jockey_id").withColumn("_o", overall).withColumn(
-        "_best", F.min_by(F.col("_o"), F.struct(-F.col("_o.n"), F.col("_o.name")))
-        .over(per_jockey))
-    # The race filter sits above the windows, so it is not pushed into the
-    # runner ⋈ race join (which would turn it into a second, inner pass).
-    cond = with_overall.where(F.col("has_race")).select(
+    jockeys = distinct_req.select(F.col("jockey_id").alias("_jockey")).distinct()
+    courses = distinct_req.select(F.col("keibajo_code").alias("_course")).distinct()
+    runners = t.runners.join(jockeys, F.col("kishu_code") == F.col("_jockey"), "left_semi")
+    races = t.races.join(courses, F.col("keibajo_code") == F.col("_course"), "left_semi")
+    rated = rated_runners(RaceTables(races, runners, t.horses), bad_values=bad_values)
+    cond = roi_totals(rated, [*JOCKEY_KEYS, *CONDITION_KEYS]).select(
         *JOCKEY_KEYS, *CONDITION_KEYS,
         *metric_columns(COURSE_METRICS),
         roi_hundredths().alias("_roi_h"),
         win_rate_hundredths().alias("_win_h"),
+    )
+    overall = _overall_records(runners, bad_values).select(
+        "jockey_id",
         F.col("_best.n").alias("all_total_races"),
         roi_hundredths(F.col("_best.odds"), F.col("_best.n")).alias("_all_roi_h"),
         win_rate_hundredths(F.col("_best.wins"), F.col("_best.n")).alias("_all_win_h"),
     )
     candidates = distinct_req.join(
-        cond, ["jockey_id", "keibajo_code", "track_type", "distance_category"])
+        cond, ["jockey_id", "keibajo_code", "track_type", "distance_category"]).join(overall, "jockey_id")
     answer = F.struct(
         F.col("jockey_name"),
         *[F.col(m) for m in COURSE_METRICS],

@@ -7,16 +7,19 @@ row; a parent id missing from the horse table gets a row with its id and
 name (from the child) and NULL parents.  Depth is capped at 3, so there are
 at most 1 + 2 + 4 rows per horse.
 
-Plan: one left join per generation.  Both parents of every frontier row are
-exploded into one column first, so a generation costs a single join of the
-frontier with the horse table on the parent id.  A popular sire is a hot
-join key; adaptive execution splits an oversized join partition of the
-frontier side (skew join) and broadcasts the horse table when it measures
-small.  The loop runs at most twice, so lineage stays short.
+Plan: one left join per generation and no union.  Every row so far is
+carried through the next join beside the parents it has (three rows from a
+row of the last generation, one from an older row), so no generation is
+computed twice.  Carried rows have join keys of their own that match
+nothing, which spreads them over the tasks.  A popular sire is a hot join
+key; adaptive execution splits an oversized join partition of that side and
+broadcasts the horse table when it measures small.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,23 +43,30 @@ def _horse_parents(t: RaceTables) -> DataFrame:
 
 
 def clamp_depth(depth: int) -> int:
+    """At most three generations, as in the source; more are warned about."""
+    if depth > MAX_DEPTH:
+        warnings.warn(f"pedigree depth {depth} is over {MAX_DEPTH}; using {MAX_DEPTH}", stacklevel=3)
     return min(depth, MAX_DEPTH)
 
 
 def pedigree_rows(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """Ancestor rows of every ``horses.horse_id`` to ``depth`` generations."""
-    return _expand(t, horses, depth, keep_unknown=False)
+    """Ancestor rows of every ``horses.horse_id`` to ``depth`` generations, by
+    horse, generation and position.  A depth over three is warned about and
+    taken as three."""
+    return _expand(t, horses, clamp_depth(depth), keep_unknown=False).orderBy("root_id", "generation", "position")
+
+
+_OWN = ("horse_id", "horse_name", "sire_id", "sire_name", "dam_id", "dam_name")
 
 
 def _expand(t: RaceTables, horses: DataFrame, depth: int, keep_unknown: bool) -> DataFrame:
     """Pedigree rows; with ``keep_unknown`` a requested id missing from the
     horse table keeps one generation-1 row with a NULL ``horse_id``, so the
     tree needs no second pass over the requests."""
-    depth = clamp_depth(depth)
     parents = _horse_parents(t)
     roots = horses.select(F.col("horse_id").alias("root_id"))
-    level = roots.join(parents, F.col("root_id") == F.col("_id"),
-                       "left" if keep_unknown else "inner").select(
+    rows = roots.join(parents, F.col("root_id") == F.col("_id"),
+                      "left" if keep_unknown else "inner").select(
         "root_id",
         F.col("_id").alias("horse_id"),
         F.col("_name").alias("horse_name"),
@@ -64,30 +74,30 @@ def _expand(t: RaceTables, horses: DataFrame, depth: int, keep_unknown: bool) ->
         F.lit(1).alias("generation"),
         F.lit(SIRE_SIDE).alias("position"),
     )
-    out = level
+    known = parents.select("_id", *[F.col(c).alias(f"_{c}") for c in _OWN[2:]])
     for generation in range(2, depth + 1):
-        step = (level
-                .select("root_id", "position", F.explode(F.array(
-                    F.struct(F.lit(SIRE_SIDE).alias("side"), F.col("sire_id").alias("pid"),
-                             F.col("sire_name").alias("pname")),
-                    F.struct(F.lit(DAM_SIDE).alias("side"), F.col("dam_id").alias("pid"),
-                             F.col("dam_name").alias("pname")),
-                )).alias("p"))
-                .where(known_parent(F.col("p.pid"))))
-        level = step.join(parents, F.col("p.pid") == F.col("_id"), "left").select(
-            "root_id",
-            F.col("p.pid").alias("horse_id"),
-            F.col("p.pname").alias("horse_name"),
-            "sire_id", "sire_name", "dam_id", "dam_name",
-            F.lit(generation).alias("generation"),
-            F.concat(F.col("position"), F.col("p.side")).alias("position"),
-        )
-        out = out.unionByName(level)
-    return out
-
-
-# Node positions of a depth-3 tree: the horse, its parents, grandparents.
-POSITIONS = ("1", "11", "12", "111", "112", "121", "122")
+        def child(side: str, parent: str) -> Column:
+            return F.struct(F.lit(side).alias("side"), F.col(f"{parent}_id").alias("pid"),
+                            F.col(f"{parent}_name").alias("pname"))
+
+        carried = F.struct(F.lit(None).cast("string").alias("side"),
+                           F.concat(F.lit("="), F.col("root_id"), F.col("position")).alias("pid"),
+                           F.lit(None).cast("string").alias("pname"))
+        last = F.col("generation") == generation - 1
+        step = rows.withColumn("p", F.explode(F.when(
+            last, F.array(carried, child(SIRE_SIDE, "sire"), child(DAM_SIDE, "dam"))).otherwise(F.array(carried))))
+        step = step.where(F.col("p.side").isNull() | known_parent(F.col("p.pid")))
+        met = step.join(known, F.col("p.pid") == F.col("_id"), "left")
+        new = F.col("p.side").isNotNull()
+        fresh = {"horse_id": F.col("p.pid"), "horse_name": F.col("p.pname"),
+                 **{c: F.col(f"_{c}") for c in _OWN[2:]},
+                 "generation": F.lit(generation), "position": F.concat("position", "p.side")}
+        rows = met.select("root_id", *[F.when(new, x).otherwise(F.col(c)).alias(c) for c, x in fresh.items()])
+    return rows
+
+
+# Node positions that the tree needs rows of: the horse and its parents.
+POSITIONS = ("1", "11", "12")
 _SIDE_CODE = {"sire": SIRE_SIDE, "dam": DAM_SIDE}
 
 
@@ -108,39 +118,32 @@ def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> D
     struct {id, name, sire {id, name, sire {id, name}, dam {..}}, dam {..}}
     (Q9).
 
-    A node's parent slots hold a stub (the id and name recorded on the
-    node's own row) while the node's generation is below ``depth``; a stub
-    is replaced by the parent's node where that row exists.  The horse
-    itself always has stubs.  Absent slots are NULL, and so is the tree of
-    an unknown horse.  Rows are grouped per horse (at most seven), so the
-    assembly is a bounded per-key aggregate; requests are read once (an
-    unknown horse is carried by a left join in the first generation).
+    A node's parent slots hold the id and name recorded on the node's own row;
+    these are also the id and name of the parent's own node, so the last
+    generation needs no rows.  Slots of the parents' parents are there from
+    depth 3 on.  Absent slots are NULL, and so is the tree of an unknown
+    horse.  Of several rows of one horse the smallest counts (as in the sire
+    lookup).  Rows are grouped per horse (at most three), so the assembly is a
+    bounded per-key aggregate; requests are read once (an unknown horse is
+    carried by a left join in the first generation).  A depth over three is
+    warned about and taken as three.
     """
     depth = clamp_depth(depth)
     roots = horses.select(F.col("horse_id")).distinct()
-    rows = _expand(t, roots, depth, keep_unknown=True)
-    node = F.struct("horse_id", "horse_name", "sire_id", "sire_name", "dam_id", "dam_name")
+    rows = _expand(t, roots, max(1, depth - 1), keep_unknown=True)
+    node = F.struct(*_OWN)
     slots = rows.groupBy("root_id").agg(*[
-        F.max(F.when(F.col("position") == pos, node)).alias(f"n{pos}") for pos in POSITIONS
+        F.min(F.when(F.col("position") == pos, node)).alias(f"n{pos}") for pos in POSITIONS
     ])
 
-    def present(pos: str) -> Column:
-        return F.col(f"n{pos}").isNotNull()
-
-    def stub(pos: str, side: str) -> tuple[Column, Column]:
+    def recorded(pos: str, side: str) -> tuple[Column, Column]:
         return F.col(f"n{pos}.{side}_id"), F.col(f"n{pos}.{side}_name")
 
-    def grandparent(pos: str, side: str) -> Column:
-        child = pos + _SIDE_CODE[side]
-        as_node = _leaf(F.col(f"n{child}.horse_id"), F.col(f"n{child}.horse_name"))
-        return F.when(present(child), as_node).otherwise(_leaf(*stub(pos, side)))
-
     def parent(side: str) -> Column:
         pos = SIRE_SIDE + _SIDE_CODE[side]
-        below = [grandparent(pos, s) if depth > 2 else _null_leaf() for s in ("sire", "dam")]
-        as_node = _mid(F.col(f"n{pos}.horse_id"), F.col(f"n{pos}.horse_name"), *below)
-        return F.when(present(pos), as_node).otherwise(
-            _mid(*stub(SIRE_SIDE, side), _null_leaf(), _null_leaf()))
+        below = [F.when(F.col(f"n{pos}").isNotNull(), _leaf(*recorded(pos, s))) if depth > 2 else _null_leaf()
+                 for s in ("sire", "dam")]
+        return _mid(*recorded(SIRE_SIDE, side), *below)
 
     tree = F.struct(
         F.col("n1.horse_id").alias("id"),

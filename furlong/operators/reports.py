@@ -10,8 +10,10 @@ from furlong.operators.runners import rated_runners
 from furlong.schema import RaceTables
 
 
-def _by_roi() -> list:
-    return [F.col("roi_percentage").desc()]
+def _by_roi(keys: tuple[str, ...]) -> list:
+    """Highest ROI first; equal ROIs (many groups have none) by group key, so
+    the order is total and a range sort can split them."""
+    return [F.col("roi_percentage").desc(), *[F.col(k) for k in keys]]
 
 
 SIRE_TRACK_METRICS = (
@@ -41,7 +43,7 @@ def sire_track_condition_roi(
     rated = rated_runners(t, since_year, with_sire=True, exclude_unknown_sire=True,
                           bad_values=bad_values)
     keys = ("sire_id", "sire_name", "track_type", "track_condition")
-    return roi_by(rated, keys, SIRE_TRACK_METRICS, min_races, _by_roi())
+    return roi_by(rated, keys, SIRE_TRACK_METRICS, min_races, _by_roi(keys))
 
 
 def jockey_course_roi(
@@ -50,19 +52,20 @@ def jockey_course_roi(
     """ROI per jockey × course × track type × distance class (Q2)."""
     rated = rated_runners(t, since_year, bad_values=bad_values)
     keys = ("jockey_id", "jockey_name", "course_name", "track_type", "distance_category")
-    return roi_by(rated, keys, JOCKEY_COURSE_METRICS, min_races, _by_roi())
+    return roi_by(rated, keys, JOCKEY_COURSE_METRICS, min_races, _by_roi(keys))
 
 
 def jockey_popularity_roi(
     t: RaceTables, since_year: int = 2000, min_races: int = 20, bad_values: str = "fail"
 ) -> DataFrame:
     """ROI per jockey × betting-rank class (Q3); runners without a rank are
-    left out."""
-    rated = rated_runners(t, since_year, bad_values=bad_values).where(
-        F.col("popularity").isNotNull())
+    left out (one that is not a number, with ``bad_values='null'``, is not:
+    the source tests the raw text)."""
+    rated = rated_runners(t, since_year, bad_values=bad_values, carry=("tansho_ninkijun",)).where(
+        F.col("tansho_ninkijun").isNotNull())
     keys = ("jockey_id", "jockey_name", "popularity_category")
     return roi_by(rated, keys, JOCKEY_POPULARITY_METRICS, min_races,
-                  [F.col("popularity_category"), F.col("roi_percentage").desc()])
+                  [F.col("popularity_category"), *_by_roi(keys)])
 
 
 def jockey_surface_condition_roi(
@@ -72,4 +75,4 @@ def jockey_surface_condition_roi(
     rated = rated_runners(t, since_year, bad_values=bad_values).withColumnRenamed(
         "track_condition", "surface_condition")
     keys = ("jockey_id", "jockey_name", "track_type", "surface_condition")
-    return roi_by(rated, keys, JOCKEY_SURFACE_METRICS, min_races, _by_roi())
+    return roi_by(rated, keys, JOCKEY_SURFACE_METRICS, min_races, _by_roi(keys))

@@ -32,12 +32,42 @@ def _ten() -> Column:
     return F.lit(Decimal("10.0"))
 
 
+#: Odds text with a digit beyond the hundredths, which ODDS_TYPE cannot keep.
+_TOO_FINE = r"\.[0-9]{2}[0-9]*[1-9]"
+
+
 def _caster(bad_values: str):
+    """``(text, type) -> value``.  Text that is not such a number raises
+    ('fail') or gives NULL ('null'), whatever the session's ANSI setting."""
     if bad_values not in BAD_VALUES:
         raise ValueError(f"bad_values must be one of {BAD_VALUES}")
-    if bad_values == "null":
-        return lambda c, t: c.try_cast(t)
-    return lambda c, t: c.cast(t)
+
+    def cast(text: Column, kind: str) -> Column:
+        value = text.try_cast(kind)
+        if kind == ODDS_TYPE:
+            value = F.when(~text.rlike(_TOO_FINE), value)
+        if bad_values == "null":
+            return value
+        bad = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
+        return F.when(text.isNotNull() & value.isNull(), bad).otherwise(value)
+
+    return cast
+
+
+def runner_columns(bad_values: str = "fail") -> list[Column]:
+    """The runner-side columns of rated runners (need no race)."""
+    cast = _caster(bad_values)
+    odds = cast(F.col("tansho_odds"), ODDS_TYPE)
+    return [
+        F.col("ketto_toroku_bango").alias("horse_id"),
+        F.col("kishu_code").alias("jockey_id"),
+        F.trim("kishumei_ryakusho").alias("jockey_name"),
+        F.col("kakutei_chakujun").alias("finish_pos"),
+        (odds / _ten()).alias("win_odds"),
+        # Same odds as an exact long in thousandths (what the metrics sum).
+        (odds * F.lit(Decimal(100))).cast("long").alias("odds_milli"),
+        cast(F.col("tansho_ninkijun"), "int").alias("popularity"),
+    ]
 
 
 def rated_runners(
@@ -46,20 +76,16 @@ def rated_runners(
     with_sire: bool = False,
     exclude_unknown_sire: bool = False,
     bad_values: str = "fail",
-    keep_raceless: bool = False,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rated runner rows with their race classes (Q10).
 
-    ``bad_values='fail'`` raises on non-numeric odds / rank / distance of a
-    rated runner (Spark's ANSI cast); ``'null'`` turns them into NULL.
-    ``with_sire`` adds the horse's sire (runners of unknown horses drop).
-    ``keep_raceless`` keeps runners whose race row is missing (left join)
-    and adds ``has_race``; their race classes are meaningless.  ``carry``
-    names further runner columns to pass through unchanged.
+    ``bad_values='fail'`` raises on text of a rated runner that is not a
+    number (odds, rank, distance) or has odds finer than hundredths;
+    ``'null'`` turns it into NULL.  ``with_sire`` adds the horse's sire
+    (runners of unknown horses drop).  ``carry`` names further runner columns
+    to pass through unchanged.
     """
-    if keep_raceless and since_year is not None:
-        raise ValueError("keep_raceless needs all years (the year is a race column)")
     cast = _caster(bad_values)
     runners = t.runners.where(is_rated(F.col("kakutei_chakujun"), F.col("tansho_odds")))
     races = t.races
@@ -67,11 +93,8 @@ def rated_runners(
     if yf is not None:
         runners = runners.where(yf)
         races = races.where(yf)
-    extra: list[Column] = []
-    if keep_raceless:
-        races = races.withColumn("_race", F.lit(True))
-        extra.append(F.col("_race").isNotNull().alias("has_race"))
-    df = runners.join(races, list(RACE_KEY), "left" if keep_raceless else "inner")
+    df = runners.join(races, list(RACE_KEY), "inner")
+
     sire_cols: list[Column] = []
     if with_sire:
         horses = t.horses.select(
@@ -90,28 +113,24 @@ def rated_runners(
     # ran in.
     on_rated_row = F.col("tansho_odds").isNotNull()
     distance = F.when(on_rated_row, cast(F.col("kyori"), "int"))
-    popularity = cast(F.col("tansho_ninkijun"), "int")
-    odds = cast(F.col("tansho_odds"), ODDS_TYPE)
+    horse, jockey, name, finish, win_odds, odds_milli, popularity = runner_columns(bad_values)
     track = F.col("track_code")
     shiba, dirt = F.col("babajotai_code_shiba"), F.col("babajotai_code_dirt")
     return df.select(
         *[F.col(k) for k in RACE_KEY],
-        F.col("ketto_toroku_bango").alias("horse_id"),
-        F.col("kishu_code").alias("jockey_id"),
-        F.trim("kishumei_ryakusho").alias("jockey_name"),
+        horse,
+        jockey,
+        name,
         B.course_name(F.col("keibajo_code")).alias("course_name"),
         B.track_type(track).alias("track_type"),
         B.condition_code(track, shiba, dirt).alias("condition_code"),
         B.track_condition(track, shiba, dirt).alias("track_condition"),
         B.distance_category(distance).alias("distance_category"),
-        B.popularity_category(popularity).alias("popularity_category"),
-        F.col("kakutei_chakujun").alias("finish_pos"),
-        (odds / _ten()).alias("win_odds"),
-        # Same odds as an exact long in thousandths (what the metrics sum).
-        (odds * F.lit(Decimal(100))).cast("long").alias("odds_milli"),
-        popularity.alias("popularity"),
+        B.popularity_category(cast(F.col("tansho_ninkijun"), "int")).alias("popularity_category"),
+        finish,
+        win_odds,
+        odds_milli,
+        popularity,
         *sire_cols,
-        *extra,
         *[F.col(c) for c in carry],
     )
-

@@ -22,9 +22,8 @@ SCALE_CONF = {
     # Runtime broadcast conversion from measured shuffle sizes (the static
     # planner uses spark.sql.autoBroadcastJoinThreshold on estimates).
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    # Checkpoints written by operators.ranking are deleted once their
-    # DataFrame is garbage-collected, so a long application does not
-    # accumulate them in the shared folder.
+    # Checkpoints are deleted once their DataFrame is garbage-collected, so a
+    # long application does not accumulate them in the shared folder.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -54,13 +53,10 @@ def shared_checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``, or
     one already set on the context), also set on the context so that
     ``DataFrame.checkpoint`` writes there; None when the session names none."""
-    try:
-        current = (spark.conf.get("spark.checkpoint.dir", None)
-                   or spark.sparkContext.getCheckpointDir())
-        if current and not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-    except Exception:  # no SparkContext access (remote session)
-        return None
+    current = (spark.conf.get("spark.checkpoint.dir", None)
+               or spark.sparkContext.getCheckpointDir())
+    if current and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current or None
 
 

@@ -18,7 +18,7 @@ from furlong.operators import extras, lookups, pedigree, reports
 from furlong.operators.runners import rated_runners
 from furlong.sources import oracle_sql as sql
 from furlong.sources import requests as req
-from furlong.sources.fixtures import staged_fixture_tables as fixture_tables
+from furlong.sources.fixtures import fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -72,6 +72,14 @@ def _d1(spark: SparkSession, d: str) -> DataFrame:
     return extras.broodmare_sire_track_roi(fixture_tables(spark, d))
 
 
+def _d3(spark: SparkSession, d: str) -> DataFrame:
+    return extras.closing_rank_roi(fixture_tables(spark, d), "closing_time")
+
+
+def _d4(spark: SparkSession, d: str) -> DataFrame:
+    return extras.next_run_roi(fixture_tables(spark, d), "run_flag")
+
+
 def _d2(spark: SparkSession, d: str) -> DataFrame:
     return extras.horse_course_roi(fixture_tables(spark, d))
 
@@ -90,6 +98,8 @@ QUERIES: dict[str, Query] = {
     # extensions: documented by the source project, defined here
     "broodmare_sire_track_roi": _d1,
     "horse_course_roi": _d2,
+    "closing_rank_roi": _d3,
+    "next_run_roi": _d4,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -105,4 +115,6 @@ ORACLE: dict[str, Callable[[], str]] = {
     "rated_runners": sql.rated_runners,
     "broodmare_sire_track_roi": sql.broodmare_sire_track_roi,
     "horse_course_roi": sql.horse_course_roi,
+    "closing_rank_roi": sql.closing_rank_roi,
+    "next_run_roi": sql.next_run_roi,
 }

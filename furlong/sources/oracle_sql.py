@@ -15,53 +15,67 @@ from furlong.functions.buckets import (
     OTHER_TRACK, SHORT, TURF, UNKNOWN_GOING,
 )
 
-FIXTURES = """
-jvd_ra AS (
-  SELECT
+
+
+def _pad(text: str, n: int) -> str:
+    """Zero-padded; longer text stays whole (``lpad`` alone would cut it)."""
+    return f"CASE WHEN length({text}) < {n} THEN lpad({text}, {n}, '0') ELSE {text} END"
+
+
+FIXTURES = f"""
+all_ra AS (
+  SELECT o_orderkey,
     CAST(year(o_orderdate) AS VARCHAR) AS kaisai_nen,
-    lpad(CAST(month(o_orderdate) * 100 + day(o_orderdate) AS VARCHAR), 4, '0') AS kaisai_tsukihi,
-    lpad(CAST(o_custkey % 12 + 1 AS VARCHAR), 2, '0') AS keibajo_code,
-    lpad(CAST(o_orderkey AS VARCHAR), 8, '0') AS race_bango,
+    {_pad("CAST(month(o_orderdate) * 100 + day(o_orderdate) AS VARCHAR)", 4)} AS kaisai_tsukihi,
+    {_pad("CAST(o_custkey % 12 + 1 AS VARCHAR)", 2)} AS keibajo_code,
+    {_pad("CAST(o_orderkey AS VARCHAR)", 8)} AS race_bango,
     CASE o_orderkey % 5 WHEN 0 THEN '11' WHEN 1 THEN '17' WHEN 2 THEN '23'
                         WHEN 3 THEN '24' ELSE '51' END AS track_code,
-    CAST(o_custkey % 5 AS VARCHAR) AS babajotai_code_shiba,
-    CAST((o_custkey + 2) % 5 AS VARCHAR) AS babajotai_code_dirt,
+    CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_custkey % 5 AS VARCHAR) END AS babajotai_code_shiba,
+    CASE WHEN o_orderkey % 19 <> 0 THEN CAST((o_custkey + 2) % 5 AS VARCHAR) END AS babajotai_code_dirt,
     CASE WHEN o_orderkey % 29 = 0 THEN NULL
-         ELSE lpad(CAST(1000 + 100 * (o_orderkey % 27) AS VARCHAR), 4, '0') END AS kyori
+         ELSE {_pad("CAST(1000 + 100 * (o_orderkey % 27) AS VARCHAR)", 4)} END AS kyori
   FROM orders
 ),
+jvd_ra AS (
+  SELECT a.* EXCLUDE (o_orderkey) FROM all_ra a WHERE o_orderkey % 97 <> 0
+  UNION ALL
+  SELECT a.* EXCLUDE (o_orderkey) FROM all_ra a WHERE o_orderkey % 97 <> 0 AND o_orderkey % 101 = 0
+),
 jvd_se_src AS (
   SELECT r.kaisai_nen, r.kaisai_tsukihi, r.keibajo_code, r.race_bango,
-    l.l_partkey, l.l_suppkey,
+    l.l_partkey, l.l_suppkey, l.l_quantity, l.l_returnflag,
     (l.l_orderkey * 31 + l.l_linenumber * 17 + l.l_partkey) % 24 AS h,
     l.l_orderkey * 13 + l.l_linenumber * 101 + l.l_partkey * 7 + l.l_suppkey AS g
   FROM lineitem l
-  JOIN jvd_ra r ON r.race_bango = lpad(CAST(l.l_orderkey AS VARCHAR), 8, '0')
+  JOIN all_ra r ON r.o_orderkey = l.l_orderkey
 ),
 jvd_se AS (
   SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango,
-    lpad(CAST(l_partkey + 1 AS VARCHAR), 10, '0') AS ketto_toroku_bango,
-    lpad(CAST(l_suppkey % 8 AS VARCHAR), 5, '0') AS kishu_code,
+    {_pad("CAST(l_partkey + 1 AS VARCHAR)", 10)} AS ketto_toroku_bango,
+    {_pad("CAST(l_suppkey % 8 AS VARCHAR)", 5)} AS kishu_code,
     CASE WHEN l_suppkey % 8 = 7 AND kaisai_nen >= '2001' THEN ' JOCKEY 7B '
          ELSE ' JOCKEY ' || CAST(l_suppkey % 8 AS VARCHAR) || '  ' END AS kishumei_ryakusho,
-    CASE WHEN h <= 17 THEN lpad(CAST(h + 1 AS VARCHAR), 2, '0')
+    CASE WHEN h <= 17 THEN {_pad("CAST(h + 1 AS VARCHAR)", 2)}
          WHEN h = 18 THEN '1' WHEN h = 19 THEN '00' WHEN h = 20 THEN '99'
          WHEN h = 21 THEN 'DNF' WHEN h = 22 THEN '' ELSE NULL END AS kakutei_chakujun,
     CASE WHEN g % 31 = 0 THEN NULL
-         ELSE lpad(CAST(10 + g % 990 AS VARCHAR), 4, '0') END AS tansho_odds,
+         ELSE {_pad("CAST(10 + g % 990 AS VARCHAR)", 4)} END AS tansho_odds,
     CASE WHEN g % 37 = 0 THEN NULL
-         ELSE lpad(CAST(g % 19 AS VARCHAR), 2, '0') END AS tansho_ninkijun
+         ELSE {_pad("CAST(g % 19 AS VARCHAR)", 2)} END AS tansho_ninkijun,
+    CASE WHEN g % 41 <> 0 THEN CAST(330 + CAST(l_quantity AS BIGINT) AS VARCHAR) END AS closing_time,
+    l_returnflag AS run_flag
   FROM jvd_se_src
 ),
 jvd_um AS (
   SELECT
-    lpad(CAST(p_partkey + 1 AS VARCHAR), 10, '0') AS ketto_toroku_bango,
+    {_pad("CAST(p_partkey + 1 AS VARCHAR)", 10)} AS ketto_toroku_bango,
     p_name || '  ' AS bamei,
-    lpad(CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS VARCHAR), 10, '0') AS ketto_joho_01a,
+    {_pad("CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS VARCHAR)", 10)} AS ketto_joho_01a,
     'SIRE ' || CAST(CAST(floor(p_partkey / 40) AS BIGINT) AS VARCHAR) || ' ' AS ketto_joho_01b,
     CASE WHEN p_partkey % 11 = 0 THEN NULL
-         WHEN p_partkey % 13 = 0 THEN lpad(CAST(9000000000 + p_partkey AS VARCHAR), 10, '0')
-         ELSE lpad(CAST(CAST(floor(p_partkey / 7) AS BIGINT) AS VARCHAR), 10, '0') END AS ketto_joho_02a,
+         WHEN p_partkey % 13 = 0 THEN {_pad("CAST(9000000000 + p_partkey AS VARCHAR)", 10)}
+         ELSE {_pad("CAST(CAST(floor(p_partkey / 7) AS BIGINT) AS VARCHAR)", 10)} END AS ketto_joho_02a,
     'DAM ' || CAST(CAST(floor(p_partkey / 7) AS BIGINT) AS VARCHAR) AS ketto_joho_02b
   FROM part
   WHERE p_partkey % 50 <> 49
@@ -80,7 +94,8 @@ _TRACK = (f"CASE WHEN {_SURF} = '1' THEN {_q(TURF)} WHEN {_SURF} = '2' THEN {_q(
           f"ELSE {_q(OTHER_TRACK)} END")
 _GOING_CODE = (f"CASE WHEN {_SURF} = '1' THEN r.babajotai_code_shiba "
                f"WHEN {_SURF} = '2' THEN r.babajotai_code_dirt END")
-_CONDITION_CODE = f"coalesce({_GOING_CODE}, '0')"
+_CONDITION_CODE = (f"CASE WHEN {_SURF} = '1' THEN r.babajotai_code_shiba "
+                   f"WHEN {_SURF} = '2' THEN r.babajotai_code_dirt ELSE '0' END")
 _GOING = ("CASE " + _GOING_CODE + " "
           + " ".join(f"WHEN {_q(k)} THEN {_q(v)}" for k, v in GOING_NAMES.items())
           + f" ELSE {_q(UNKNOWN_GOING)} END")
@@ -234,7 +249,7 @@ tot AS (
 rk AS (
   SELECT sire_id, track_type, track_condition,
     ROW_NUMBER() OVER (PARTITION BY track_type, track_condition
-                       ORDER BY s10 / n DESC, sire_id ASC NULLS LAST) AS rnk
+                       ORDER BY CAST(s10 AS DECIMAL(18, 0)) * 1000000000000 // n DESC, sire_id ASC NULLS LAST) AS rnk
   FROM tot
   WHERE n >= 20
 )"""
@@ -435,3 +450,36 @@ def horse_course_roi(since_year: int = 2000, min_races: int = 1) -> str:
         ("total_races", "wins", "top3_finishes", "win_rate", "top3_rate", "roi_percentage",
          "avg_win_odds"),
         f"kaisai_nen >= '{since_year}'", min_races)
+
+
+def closing_rank_roi(since_year: int = 2000, min_races: int = 1) -> str:
+    ranked = """
+jvd_se_ranked AS (
+  SELECT *, CASE WHEN closing_time IS NOT NULL THEN
+      rank() OVER (PARTITION BY kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango
+                   ORDER BY CAST(closing_time AS INTEGER) NULLS LAST) END AS closing_rank
+  FROM jvd_se
+)"""
+    rated = _rated(False).replace("FROM jvd_se s", "FROM jvd_se_ranked s").replace(
+        "AS popularity\n", "AS popularity, CAST(s.closing_rank AS INTEGER) AS closing_rank\n")
+    return _with(ranked, rated) + "\n" + _report(
+        "rated", ["closing_rank"], ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds"),
+        f"kaisai_nen >= '{since_year}' AND closing_rank IS NOT NULL", min_races)
+
+
+def next_run_roi(min_races: int = 1) -> str:
+    runs = """
+jvd_se_runs AS (
+  SELECT *, lag(run_flag) OVER (
+      PARTITION BY ketto_toroku_bango
+      ORDER BY kaisai_nen NULLS FIRST, kaisai_tsukihi NULLS FIRST, keibajo_code NULLS FIRST,
+               race_bango NULLS FIRST, kakutei_chakujun NULLS FIRST, run_flag NULLS FIRST,
+               tansho_odds NULLS FIRST, tansho_ninkijun NULLS FIRST) AS previous_flag
+  FROM jvd_se
+  WHERE ketto_toroku_bango <> '0000000000'
+)"""
+    rated = _rated(False).replace("FROM jvd_se s", "FROM jvd_se_runs s").replace(
+        "AS popularity\n", "AS popularity, s.previous_flag\n")
+    return _with(runs, rated) + "\n" + _report(
+        "rated", ["previous_flag"], ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds"),
+        "TRUE", min_races)

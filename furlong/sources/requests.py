@@ -38,7 +38,7 @@ def jockey_requests(t: RaceTables) -> DataFrame:
         F.col("kishu_code").alias("jockey_id"),
         "keibajo_code",
         B.track_type(F.col("track_code")).alias("track_type"),
-        B.distance_category(F.col("kyori").cast("int")).alias("distance_category"),
+        B.distance_category(F.col("kyori").try_cast("int")).alias("distance_category"),
     ).distinct()
     by_name = B.course_name(F.col("keibajo_code"))
     variants = F.array(

@@ -4,9 +4,8 @@
   and a partition column stays text).
 * Races and runners are written partitioned by ``kaisai_nen`` (race year),
   so the reports' year filter prunes whole directories on both tables.
-* A JDBC source (the race database itself) is supported through Spark's
-  JDBC reader; partitioned reads need a numeric/date column, which the
-  caller names (all race columns are text, so none is assumed).
+* A JDBC source (the race database itself) is read through Spark's JDBC
+  reader in partitions that the caller's predicates cut.
 """
 
 from __future__ import annotations
@@ -53,18 +52,40 @@ def write_race_tables(t: RaceTables, base: str, fmt: str = "parquet",
 
 
 def read_race_tables_jdbc(spark: SparkSession, url: str, properties: dict[str, str],
+                          predicates: dict[str, list[str]],
                           tables: dict[str, str] | None = None) -> RaceTables:
     """Read the tables from a database over JDBC (driver jar on the
-    classpath).  Column selection and the year filter are pushed to the
-    database by Spark's JDBC source."""
+    classpath).  ``predicates`` gives, per role (``races``, ``runners``,
+    ``horses``), the SQL conditions that cut the table into partitions, one
+    connection and task each (see :func:`year_predicates`); together they must
+    cover every row once.  All race columns are text, so bounds on a numeric
+    column cannot be assumed.  The runner table is never read in one piece.
+    Column selection and the year filter are pushed to the database by
+    Spark's JDBC source."""
+    unknown = set(predicates) - set(TABLE_NAMES)
+    if unknown:
+        raise ValueError(f"unknown tables {sorted(unknown)}; known: {sorted(TABLE_NAMES)}")
+    if len(predicates.get("runners", ())) < 2:
+        raise ValueError("the runner table needs at least two predicates (for example one per year)")
     names = {**TABLE_NAMES, **(tables or {})}
     frames = {}
     for role, name in names.items():
-        df = spark.read.jdbc(url, name, properties=properties)
+        cut = predicates.get(role)
+        df = (spark.read.jdbc(url, name, predicates=list(cut), properties=properties) if cut
+              else spark.read.jdbc(url, name, properties=properties))
         frames[role] = df.select(*_SCHEMAS[role].fieldNames())
     return RaceTables(**frames)
 
 
+def year_predicates(first: int, last: int, column: str = YEAR_PARTITION) -> list[str]:
+    """Conditions that cut a table by race year: one per year from ``first`` to
+    ``last``, one for all years before, one for all after, one for NULL."""
+    if last < first:
+        raise ValueError("the last year is before the first")
+    return [f"{column} < '{first}'", *[f"{column} = '{y}'" for y in range(first, last + 1)],
+            f"{column} > '{last}'", f"{column} IS NULL"]
+
+
 # Bucketed catalog layout.  Races and runners are bucketed and sorted on the
 # whole race key, so the runner ⋈ race join of every report reads matching
 # buckets and runs as a sort-merge join with no exchange on either side.
