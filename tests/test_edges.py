@@ -95,7 +95,7 @@ def test_course_track_going(spark):
         ("東京", B.OTHER_TRACK, B.UNKNOWN_GOING, "0"),
         ("札幌", B.OTHER_TRACK, B.UNKNOWN_GOING, "0"),
         ("函館", B.TURF, B.UNKNOWN_GOING, "0"),
-        ("福島", B.TURF, B.UNKNOWN_GOING, "0"),
+        ("福島", B.TURF, B.UNKNOWN_GOING, None),
     ]
 
 
@@ -337,3 +337,75 @@ def test_next_run_roi(tables):
     got = {r.previous_flag: (r.total_races, r.wins, r.roi_percentage)
            for r in extras.next_run_roi(t, "bad_trip").collect()}
     assert got == {None: (2, 0, 0.0), "Y": (1, 1, 1200.0), "N": (1, 0, 0.0)}
+
+
+# --- what the round's review found ----------------------------------------------
+
+def test_long_keys_stay_whole(spark):
+    from furlong.sources.fixtures import _pad
+    df = spark.createDataFrame([(7,), (100000001,), (100000009,), (12345678901,)], "k bigint")
+    assert [r[0] for r in df.select(_pad(F.col("k"), 8)).collect()] == \
+        ["00000007", "100000001", "100000009", "12345678901"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_bad_numbers_raise_with_and_without_ansi(spark, tables, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for bad in ({"tansho_odds": "----"}, {"tansho_odds": "10.555"}, {"tansho_ninkijun": "**"}):
+            t = tables(runners=[bad])
+            with pytest.raises(Exception, match="not a"):
+                rated_runners(t).collect()
+            assert rated_runners(t, bad_values="null").count() == 1
+        assert rated_runners(tables(runners=[{"tansho_odds": "10.50"}])).first()["odds_milli"] == 1050
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_unreadable_popularity_counts_in_the_popularity_report(tables):
+    from furlong.operators import reports
+    t = tables(runners=[{"tansho_ninkijun": "**"}, {"tansho_ninkijun": None}])
+    got = reports.jockey_popularity_roi(t, min_races=1, bad_values="null").collect()
+    assert [(r["popularity_category"], r["total_races"]) for r in got] == [(B.LONGSHOT, 1)]
+
+
+def test_overall_record_ignores_races(spark, tables):
+    """Two of three runs in a race stored twice, one in no race: overall 3."""
+    from furlong.operators import lookups
+    t = tables(races=[{"race_bango": "01"}, {"race_bango": "01"}],
+               runners=[{"race_bango": "01"}, {"race_bango": "01", "ketto_toroku_bango": "H2"}, {"race_bango": "77"}])
+    req = spark.createDataFrame([("J1", "05", B.TURF, B.MIDDLE)],
+                                "jockey_id string, course_name string, track_type string, distance_category string")
+    row = lookups.jockey_course_feature(t, req).first()
+    assert (row["total_races"], row["all_total_races"]) == (4, 3)
+
+
+def test_closing_rank_counts_the_whole_field(spark, tables):
+    """The fastest runner has no odds: the second fastest keeps rank 2."""
+    from furlong.operators import extras
+    from furlong.schema import RaceTables
+    t = tables(runners=[{"ketto_toroku_bango": "A", "tansho_odds": None}, {"ketto_toroku_bango": "B"},
+                        {"ketto_toroku_bango": "C"}])
+    times = F.when(F.col("ketto_toroku_bango") == "A", "33.1").when(F.col("ketto_toroku_bango") == "B", "33.9").otherwise("34.5")
+    t = RaceTables(t.races, t.runners.withColumn("t", times), t.horses)
+    assert [(r["closing_rank"], r["total_races"]) for r in extras.closing_rank_roi(t, "t").collect()] == [(2, 1), (3, 1)]
+
+
+def test_next_run_looks_back_over_unrated_runs_and_years(tables):
+    from furlong.operators import extras
+    from furlong.schema import RaceTables
+    t = tables(races=[{"kaisai_nen": y} for y in ("2003", "2004", "2005")],
+               runners=[{"kaisai_nen": "2003", "kishu_code": "flag"}, {"kaisai_nen": "2004", "kakutei_chakujun": "99"},
+                        {"kaisai_nen": "2005"}, {"kaisai_nen": "2005", "ketto_toroku_bango": "0000000000"}])
+    t = RaceTables(t.races, t.runners.withColumn("f", F.col("kishu_code")), t.horses)
+    got = extras.next_run_roi(t, "f").collect()
+    assert {(r["previous_flag"], r["total_races"]) for r in got} == {(None, 1), ("J1", 1)}
+    late = extras.next_run_roi(t, "f", since_year=2004).collect()
+    assert {(r["previous_flag"], r["total_races"]) for r in late} == {("J1", 1)}
+
+
+def test_pedigree_depth_over_three_warns(spark, tables):
+    from furlong.operators import pedigree
+    with pytest.warns(UserWarning, match="over 3"):
+        pedigree.pedigree_rows(tables(), spark.createDataFrame([("H1",)], "horse_id string"), depth=4)

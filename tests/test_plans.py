@@ -7,10 +7,10 @@ from collections import Counter
 
 import pytest
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from furlong.operators import lookups, reports
-from furlong.plans.inspect import final_tree, operator_count, python_nodes, scans
+from furlong.plans.inspect import final_tree, operator_count, plan_text, python_nodes, scans
+from furlong.registry import QUERIES
 from furlong.sources import requests as R
 from furlong.sources.fixtures import fixture_tables
 from furlong.sources.tables import read_race_tables, write_race_tables
@@ -23,14 +23,15 @@ def stored(spark, scratch):
     return read_race_tables(spark, base)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_python_in_plans(spark, name):
-    assert python_nodes(entry.queries()[name](spark, SF_SMALL)) == []
+    assert python_nodes(QUERIES[name](spark, SF_SMALL)) == []
 
 
 def test_partitioned_tables_round_trip(spark, stored):
     t = fixture_tables(spark, SF_SMALL)
     assert stored.runners.schema["kaisai_nen"].dataType.simpleString() == "string"
+    t = t.select_known()
     assert Counter(map(tuple, stored.runners.collect())) == Counter(map(tuple, t.runners.collect()))
     assert stored.races.count() == t.races.count()
 
@@ -62,29 +63,71 @@ def _local(spark, df):
 def test_sire_feature_aggregates_runners_once(spark, stored):
     df = lookups.horse_sire_track_roi_feature(stored, _local(spark, R.horse_requests(stored)))
     df.collect()  # inspect the final adaptive plan
-    # The sire aggregate was computed once, by the rank's checkpoint job;
-    # the answer plan reads the checkpoint and scans no runner file.
+    # totals, ranks and bucket sizes share one pass over the runners
     runner_scans = [s for s in scans(df) if "jvd_se" in s.get("Location", "")]
-    assert len(runner_scans) == 0
-    assert operator_count(df, "Window") == 1  # on the per-(class, task) counts only
+    assert len(runner_scans) == 1
+    tree = final_tree(df)
+    assert "LeftSemi" in tree  # only races of requested classes
 
 
-def test_rank_does_not_shuffle_the_sires(spark, stored):
+def test_rank_numbers_within_buckets(spark, stored):
     df = lookups.sire_track_roi_rank(stored)
     df.collect()
-    tree = final_tree(df)
-    # rows come straight from the checkpointed range placement into a
-    # broadcast join with the small per-task counts
-    assert "BroadcastHashJoin" in tree
-    assert operator_count(df, "Window") == 1
-    assert operator_count(df, "Exchange") == 2, tree  # both on the counts side
+    assert len([s for s in scans(df) if "jvd_se" in s.get("Location", "")]) == 1
+    # no window over a whole class: one numbers rows inside a bucket, one adds
+    # up the buckets' sizes
+    windows = [line for line in plan_text(df, "extended").splitlines() if "row_number()" in line and "Window" in line]
+    assert windows and all("_b_roi" in w and "_b_id" in w for w in windows)
 
 
-def test_jockey_feature_scans_runners_once(spark, stored):
-    df = lookups.jockey_course_feature(stored, _local(spark, R.jockey_requests(stored)))
+def test_jockey_feature_is_cut_by_its_requests(spark, stored):
+    one = _local(spark, R.jockey_requests(stored).limit(1))
+    df = lookups.jockey_course_feature(stored, one)
     df.collect()  # inspect the final adaptive plan
-    runner_scans = [s for s in scans(df) if "jvd_se" in s.get("Location", "")]
-    assert len(runner_scans) == 1
+    tree = final_tree(df)
+    assert "LeftSemi" in tree and "Window" not in tree
+    # the overall record and the conditioned one read the runners, one each;
+    # only the latter reads races
+    assert len([s for s in scans(df) if "jvd_se" in s.get("Location", "")]) <= 2
+    assert len([s for s in scans(df) if "jvd_ra" in s.get("Location", "")]) == 1
+
+
+def _joins_written(df):
+    """Joins of the analysed plan: as many as the operator asks for."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+
+
+def test_pedigree_has_one_join_per_generation(spark, stored):
+    from furlong.operators import pedigree
+    horses = R.registered_horses(stored)
+    assert _joins_written(pedigree.pedigree_rows(stored, horses)) == 3
+    assert _joins_written(pedigree.pedigree_tree(stored, horses)) == 2
+
+
+def test_pedigree_rows_are_ordered(spark, stored):
+    from furlong.operators import pedigree
+    rows = [(r["root_id"], r["generation"], r["position"])
+            for r in pedigree.pedigree_rows(stored, R.registered_horses(stored)).collect()]
+    assert rows == sorted(rows)
+
+
+def test_reports_are_totally_ordered(stored):
+    got = [(-r["roi_percentage"], r["sire_id"], r["sire_name"], r["track_type"], r["track_condition"])
+           for r in reports.sire_track_condition_roi(stored, min_races=1).collect()]
+    assert got == sorted(got)
+
+
+def test_jdbc_reads_runners_in_parts(spark):
+    from furlong.sources.tables import read_race_tables_jdbc, year_predicates
+    parts = year_predicates(1998, 2000)
+    assert parts == ["kaisai_nen < '1998'", "kaisai_nen = '1998'", "kaisai_nen = '1999'", "kaisai_nen = '2000'",
+                     "kaisai_nen > '2000'", "kaisai_nen IS NULL"]
+    with pytest.raises(ValueError):
+        read_race_tables_jdbc(spark, "jdbc:none", {}, {})
+    with pytest.raises(ValueError):
+        read_race_tables_jdbc(spark, "jdbc:none", {}, {"runners": ["1 = 1"]})
+    with pytest.raises(ValueError):
+        read_race_tables_jdbc(spark, "jdbc:none", {}, {"runners": parts, "riders": parts})
 
 
 def test_bucketed_tables_join_without_shuffle(spark, scratch):
