@@ -37,7 +37,9 @@ from furlong.llm.components import components
 BLOCK = 16
 TILE = 8192
 STRIP = 256  # rows of a tile compared at once
-SLACK = 1e-9
+SLACK = 1e-9  # of a block's budget, so that rounding loses no pair in all blocks
+ROUNDING = 1e-5  # of single precision
+PAIRS = 50_000  # candidates verified at once
 
 
 def usable(embedding: str) -> Column:
@@ -61,9 +63,9 @@ def unit(raw: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _celled(vectors: DataFrame, budget: float) -> DataFrame:
+def _celled(vectors: DataFrame, budget: float, kind: type) -> DataFrame:
     """One row per vector and block: ``gid, weight, dim, block, cell, vec``
-    (components as bytes of doubles)."""
+    (components as bytes of numbers of ``kind``, the precision they came in)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns = {}
         for b in batches:
@@ -78,7 +80,7 @@ def _celled(vectors: DataFrame, budget: float) -> DataFrame:
                 if dim not in turns:
                     turns[dim] = rotation(int(dim))
                 x = unit(raw) @ turns[dim]
-                vec = pa.array([r.tobytes() for r in raw], pa.binary())
+                vec = pa.array([r.tobytes() for r in raw.astype(kind)], pa.binary())
                 for k, s in enumerate(blocks(int(dim))):
                     wide = np.sqrt(budget * (s.stop - s.start) / dim)
                     cell = np.floor(x[:, s.start] / wide).astype(np.int64)
@@ -113,7 +115,7 @@ def forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[
     return [(a, b) for a, b in out if a != b]
 
 
-def _compared(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
+def _compared(pdf: pd.DataFrame, cosine: float, kind: type) -> pd.DataFrame:
     """Links between the two sides of one tile pair: rows ``a`` (vector) with
     ``n`` (links, counting weights) and rows ``a``, ``b`` of the forest."""
     dim, block = int(pdf["dim"].iloc[0]), int(pdf["block"].iloc[0])
@@ -122,37 +124,37 @@ def _compared(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     sides = []
     for side in (0,) if same else (0, 1):
         part = pdf[pdf["side"] == side]
-        raw = np.frombuffer(b"".join(part["vec"]), np.float64).reshape(-1, dim)
+        raw = np.frombuffer(b"".join(part["vec"]), kind).reshape(-1, dim)
         x = unit(raw)
         sides.append((part["gid"].to_numpy(), part["weight"].to_numpy(), x, x @ rotation(dim)))
     if same:
         sides *= 2
     (ga, wa, ua, xa), (gb, wb, ub, xb) = sides
     near = np.zeros((len(ga), len(gb)), bool)
-    spans = blocks(dim)
-
-    def within(rows: np.ndarray, k: int) -> np.ndarray:
-        s = spans[k]
-        a, b = xa[rows, s], xb[:, s]
-        d = (a * a).sum(1)[:, None] + (b * b).sum(1) - 2 * (a @ b.T)
-        return d <= budget * (s.stop - s.start) / dim + SLACK
-
+    limits = [budget * (s.stop - s.start) / dim + SLACK for s in blocks(dim)]
+    own = blocks(dim)[block]
+    # |a - b|^2 <= limit, as one product of vectors with two more components, in
+    # single precision with room for its rounding: candidates
+    a, b = xa[:, own], xb[:, own]
+    one_a, one_b = np.ones((len(a), 1)), np.ones((len(b), 1))
+    left = np.hstack([a, -(a * a).sum(1, keepdims=True) / 2, one_a]).astype(np.float32)
+    right = np.hstack([b, one_b, -(b * b).sum(1, keepdims=True) / 2]).astype(np.float32).T.copy()
+    floor = np.float32(-limits[block] / 2 - ROUNDING)
     for k in range(0, len(ga), STRIP):
-        rows = np.arange(k, min(k + STRIP, len(ga)))
-        found = within(rows, block)
-        hit = found.any(1)
-        rows, found = rows[hit], found[hit]
-        if not len(rows):
-            continue
-        found &= ua[rows] @ ub.T >= cosine
-        if same:
-            found[np.arange(len(rows)), rows] = False
-        hit = found.any(1)
-        rows, found = rows[hit], found[hit]
-        for earlier in range(block):
-            if len(rows):
-                found &= ~within(rows, earlier)
-        near[rows] = found
+        i, j = np.nonzero(left[k:k + STRIP] @ right >= floor)
+        i += k
+        for c in range(0, len(i), PAIRS):
+            p, q = i[c:c + PAIRS], j[c:c + PAIRS]
+            # exactly: linked, within this block's budget, and in no earlier one's
+            fine = np.einsum("ij,ij->i", ua[p], ub[q]) >= cosine
+            if same:
+                fine &= p != q
+            p, q = p[fine], q[fine]
+            for n, s in enumerate(blocks(dim)[:block + 1]):
+                gap = xa[p, s] - xb[q, s]
+                keep = (np.einsum("ij,ij->i", gap, gap) <= limits[n]) == (n == block)
+                p, q = p[keep], q[keep]
+            near[p, q] = True
     na, nb = near @ wb, wa @ near
     counts = [(ga, na)] if same else [(ga, na), (gb, nb)]
     gid = np.concatenate([g[n > 0] for g, n in counts])
@@ -171,7 +173,8 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id
     rows = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("vector"))
     good = rows.where(usable("vector") & F.col("vec_id").isNotNull())
     reps = staged(good.groupBy("vector").agg(F.min("vec_id").alias("gid"), F.count(F.lit(1)).alias("weight")), "vectors")
-    celled = staged(_celled(reps, 2 - 2 * cosine), "cells")
+    kind = np.float32 if dict(rows.dtypes)["vector"] == "array<float>" else np.float64
+    celled = staged(_celled(reps, 2 - 2 * cosine, kind), "cells")
     # at most 2 / cell width cells per block: unit vectors; so this table is small
     sizes = celled.groupBy("dim", "block", "cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("tiles"))
     sizes = staged(sizes.coalesce(1), "cell-sizes")
@@ -193,7 +196,7 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id
     cut = celled.join(sizes, ["dim", "block", "cell"]).withColumn(
         "tile", F.pmod(F.xxhash64("gid"), F.col("tiles")).cast("int")).drop("tiles")
     dealt = cut.join(sides, ["dim", "block", "cell", "tile"])
-    found = staged(dealt.groupBy("pair").applyInPandas(lambda pdf: _compared(pdf, cosine), "a bigint, b bigint, n bigint"),
+    found = staged(dealt.groupBy("pair").applyInPandas(lambda pdf: _compared(pdf, cosine, kind), "a bigint, b bigint, n bigint"),
                    "vector-links")
     counts = found.where("n > 0").groupBy(F.col("a").alias("gid")).agg(F.sum("n").alias("_n"))
     comps = components(found.where("n < 0").select("a", "b"))
