@@ -48,9 +48,13 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts the
     lineage, so that later stages survive lost executors without
     recomputing what came before.  This is an action."""
-    path = shared_folder(df.sparkSession, what)
+    spark = df.sparkSession
+    path = shared_folder(spark, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    # The shuffle files behind the written table are of no more use.  Spark
+    # deletes them once the driver's JVM has collected the finished plan.
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
