@@ -1,6 +1,6 @@
-"""Write PLANS.md: the executed (final, adaptive) physical plan tree of every
-registered query over the staged tables of ``$BENCH_SF_DIR``, with the
-scans' pruning and pushdown, for review of plan shapes."""
+"""Write PLANS.md: the physical plan tree of every registered race query over
+the tables derived from ``$BENCH_SF_DIR``, with the scans' pruning and
+pushdown, for review of plan shapes."""
 
 from __future__ import annotations
 
@@ -23,12 +23,11 @@ def main() -> None:
     ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="furlong-plans-ckpt-"))
     parts = [
         "# Physical plans\n",
-        f"Final adaptive plans after execution, `{sf_dir}`, local[8], 16 shuffle "
-        "partitions, tables staged year-partitioned (generated by `explain_plans.py`).\n",
+        f"Plans before execution (adaptive execution may still change join kinds), `{sf_dir}`, local[8], 16 shuffle "
+        "partitions, tables derived from the benchmark's (generated by `explain_plans.py`).\n",
     ]
     for name, build in QUERIES.items():
         df = build(spark, sf_dir)
-        df.collect()  # executes this DataFrame's own plan, so explain shows the final one
         parts.append(f"\n## {name}\n\n```\n{final_tree(df).strip()}\n```\n")
         lines = []
         for s in scans(df):
@@ -61,12 +60,11 @@ def _at_scale(spark, sf_dir: str) -> str:
     parts = ["\n# At scale: no broadcast, bucketed tables\n\n"
              "Both broadcast thresholds set to -1 and the tables saved with "
              "`save_race_tables` (bucketed on the race key): the runner ⋈ race join "
-             "reads matching buckets with no exchange; the rank numbers sires over "
-             "range partitions.\n"]
+             "reads matching buckets with no exchange; the rank numbers sires "
+             "within buckets.\n"]
     try:
         for name, df in (("jockey_course_roi", reports.jockey_course_roi(t)),
                          ("sire_track_roi_rank", lookups.sire_track_roi_rank(t))):
-            df.collect()
             parts.append(f"\n## {name}\n\n```\n{final_tree(df).strip()}\n```\n")
     finally:
         for k, v in prev.items():
