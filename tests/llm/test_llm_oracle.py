@@ -14,6 +14,9 @@ SF = "/root/testdata/sf0.001"
 def test_query_equals_sql(spark, name):
     r = compare(spark, duck(SF), name, QUERIES[name], ORACLE[name], SF)
     assert r["columns_match"] and r["values_match"], r
+    kinds = {"bigint": "int", "int": "int", "integer": "int", "double": "float", "string": "str", "varchar": "str"}
+    for column, (a, b) in r["types"].items():
+        assert kinds.get(a.lower(), a) == kinds.get(b.lower(), b.lower()), (column, a, b)
 
 
 def test_one_query_per_operator():
