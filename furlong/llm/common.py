@@ -13,6 +13,9 @@ from furlong.plans.session import shared_checkpoint_dir
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_RUN = "[ \\x09-\\x0D]+"
 
+#: Spark setting: delete a query's shuffle files when it ends.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
@@ -50,10 +53,13 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     recomputing what came before.  This is an action."""
     spark = df.sparkSession
     path = shared_folder(spark, what)
-    df.write.parquet(path)
-    # The shuffle files behind the written table are of no more use.  Spark
-    # deletes them once the driver's JVM has collected the finished plan.
-    spark.sparkContext._jvm.System.gc()
+    # the shuffle files behind the written table are of no more use
+    before = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -64,7 +64,7 @@ class Rule:
     def known(self) -> int:
         """Tokens below this hash have their frequency counted: somewhat more
         than a prefix needs."""
-        return 2 ** 63 * (100 - self.percent) * 15 // 800
+        return 2 ** 63 * min((100 - self.percent) * 15, 240) // 800
 
     def may_lack(self, n: int) -> int:
         """Tokens of a set of ``n`` that a similar set may lack."""
