@@ -14,6 +14,18 @@ from furlong.operators.reports import (
     jockey_surface_condition_roi,
     sire_track_condition_roi,
 )
+from furlong.operators.lookups import (
+    horse_sire_track_roi_feature,
+    jockey_course_feature,
+    sire_track_roi_rank,
+)
+from furlong.operators.pedigree import flatten_tree, pedigree_rows, pedigree_tree
+from furlong.operators.extras import (
+    broodmare_sire_track_roi,
+    closing_rank_roi,
+    horse_course_roi,
+    next_run_roi,
+)
 
 __all__ = [
     "RaceTables",
@@ -24,4 +36,14 @@ __all__ = [
     "jockey_course_roi",
     "jockey_popularity_roi",
     "jockey_surface_condition_roi",
+    "jockey_course_feature",
+    "horse_sire_track_roi_feature",
+    "sire_track_roi_rank",
+    "pedigree_rows",
+    "pedigree_tree",
+    "flatten_tree",
+    "broodmare_sire_track_roi",
+    "horse_course_roi",
+    "closing_rank_roi",
+    "next_run_roi",
 ]

@@ -409,3 +409,14 @@ def test_pedigree_depth_over_three_warns(spark, tables):
     from furlong.operators import pedigree
     with pytest.warns(UserWarning, match="over 3"):
         pedigree.pedigree_rows(tables(), spark.createDataFrame([("H1",)], "horse_id string"), depth=4)
+
+
+def test_labels_are_pinned():
+    """The SQL oracle shares the label constants, so they are checked here."""
+    assert list(B.COURSE_NAMES.items()) == [
+        ("01", "札幌"), ("02", "函館"), ("03", "福島"), ("04", "新潟"), ("05", "東京"), ("06", "中山"),
+        ("07", "中京"), ("08", "京都"), ("09", "阪神"), ("10", "小倉")]
+    assert (B.TURF, B.DIRT, B.OTHER_TRACK) == ("芝", "ダート", "その他")
+    assert B.GOING_NAMES == {"1": "良", "2": "稍重", "3": "重", "4": "不良"} and B.UNKNOWN_GOING == "不明"
+    assert (B.SHORT, B.MIDDLE, B.LONG) == ("短距離", "中距離", "長距離")
+    assert (B.FAVOURITE, B.MIDFIELD, B.LONGSHOT) == ("人気（1-3位）", "中穴（4-8位）", "大穴（9位-）")
