@@ -274,10 +274,12 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     shards = max(4 * parts, -(-total * (WINDOW + 4) // SHARD))
     at = plain.withColumn("row", row_key()).join(
         hits.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).select("doc_id", "row", "text", "hits")
-    distinct = _segments(at, True).groupBy("key", "sid", "words").agg(F.min("doc_id").alias("lo"),
-                                                                     F.max("doc_id").alias("hi"))
-    reports = (distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-               .groupBy("shard").applyInPandas(_indexed, "key bigint, sid bigint, low array<bigint>"))
+    # Written between the steps, so that the shuffles of one (texts, segments,
+    # shards) are gone before the next begins.
+    distinct = staged(_segments(at, True).groupBy("key", "sid", "words").agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "segments")
+    reports = staged(distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+                     .groupBy("shard").applyInPandas(_indexed, "key bigint, sid bigint, low array<bigint>"), "reports")
     reports = reports.select(F.col("key").alias("_k"), F.col("sid").alias("_s"), "low")
     held = _segments(at, False)
     met = held.join(reports, (held["key"] == reports["_k"]) & (held["sid"] == reports["_s"]))
