@@ -166,14 +166,14 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = np.full(b.num_rows, 0.5)
-            held: dict[int, list] = {}  # the parts of a text too long for one chunk
+            held: dict[int, list] = {}  # first and last rows of the chunks: only they can have more parts
             for c in chunks(b.column(b.num_columns - 1)):
                 x, part = passages(c)
-                at = np.searchsorted(part, np.arange(len(c.row)))
+                at = np.searchsorted(part, np.arange(len(c.row) + 1))
                 if len(c.row) > 1:
-                    out[c.row] = _bag(x, at, model)["score"]
-                else:
-                    held.setdefault(int(c.row[0]), []).append(x)
+                    out[c.row] = _bag(x, at[:-1], model)["score"]
+                for k in {0, len(c.row) - 1}:
+                    held.setdefault(int(c.row[k]), []).append(x[at[k]:at[k + 1]].copy())
             for r, xs in held.items():
                 out[r] = _bag(np.concatenate(xs), np.array([0]), model)["score"][0]
             out = np.round(out, 9)

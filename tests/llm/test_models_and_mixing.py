@@ -151,6 +151,27 @@ def test_classifier_without_labels(spark, module):
     assert {(r["score"], r["predicted"]) for r in module.score(docs, model).collect()} == {(0.5, 1)}
 
 
+def test_long_text_scores_alike_beside_other_rows(spark):
+    """All parts of a text over 1 MiB count, whatever rows share its chunks."""
+    rng = np.random.default_rng(0)
+    shape = {"W": (quality_classifier.FEATURES, 24), "b": (24,), "V": (24, 12), "bv": (12,), "U": (24, 12), "bu": (12,),
+             "a": (12,), "c": (24,), "d": (1,)}
+    model = {k: rng.normal(size=s) for k, s in shape.items()}
+    plain, loud = "some plain words of text ", "WHY?! #### 0000 !!!! "
+    long = plain * (900_000 // len(plain)) + loud * (700_000 // len(loud))
+    exact = "x" * (1 << 20) + " " + loud * 9  # its first part ends a chunk that an empty row begins
+
+    def scores(rows):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+        return {r["doc_id"]: r["score"] for r in quality_classifier.score(df, model).collect()}
+
+    for text in (long, exact):
+        alone = scores([(1, text)])[1]
+        for rows in ([(1, text), (2, "short")], [(0, ""), (1, text)], [(0, "a b"), (1, text), (2, ""), (3, plain)]):
+            assert scores(rows)[1] == alone
+    assert scores([(1, long)])[1] != scores([(1, long[1 << 20:])])[1]
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in toxicity.new_model(rng).items()}
