@@ -9,7 +9,9 @@ task leaves no half-written archive and any Hadoop file system will do.
 
 Reader: checks every record (gzip CRC, lengths, block and payload digests).
 After a failed check it goes to the next valid gzip member or version line
-and goes on; what lies between is logged as a quarantined byte gap.  A
+and goes on; what lies between is logged as a quarantined byte gap.  Inside a
+member it searches likewise, also in what could be inflated of a damaged one
+(there, only records with a block digest count).  A
 record whose frame is whole but whose digest is wrong is skipped as a whole,
 so text inside its payload cannot pass for a record.
 
@@ -139,55 +141,100 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     return {"fields": fields, "payload": payload}, end
 
 
-def _member_at(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and the offset behind it."""
-    d, out = zlib.decompressobj(31), []
+def _inflated(data: bytes, at: int, step: int = 1 << 16) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at ``at``, as far as it can be inflated,
+    the offset behind what was read for it, and what is wrong with the member."""
+    begin, d, out = at, zlib.decompressobj(31), []
     try:
         while not d.eof and at < len(data):
             out.append(d.decompress(data[at:at + step]))
             at += step
     except zlib.error as e:
-        raise Broken(f"gzip: {e}") from None
-    if not d.eof:
-        raise Broken("gzip: member does not end")
-    return b"".join(out), min(at, len(data)) - len(d.unused_data)
+        # once more, the last step byte by byte, for what comes before the error
+        d = zlib.decompressobj(31)
+        for k in range(begin, at, step):
+            d.decompress(data[k:k + step])
+        try:
+            while at < len(data):
+                out.append(d.decompress(data[at:at + 1]))
+                at += 1
+        except zlib.error:
+            pass
+        return b"".join(out), at, f"gzip: {e}"
+    return b"".join(out), min(at, len(data)) - len(d.unused_data), None if d.eof else "gzip: member does not end"
+
+
+def _inner(content: bytes, sound: bool) -> list[tuple[str, int, int, dict | str]]:
+    """Like :func:`salvage`, of the content of one member.  If the member is
+    not ``sound``, only a block digest can vouch for a record."""
+    out, at, gap, why = [], 0, None, ""
+    while at < len(content):
+        try:
+            rec, end = parse_record(content, at)
+            if not sound and "warc-block-digest" not in rec["fields"]:
+                raise Broken("no block digest in a damaged member", end)
+        except Broken as e:
+            if gap is None:
+                gap, why = at, str(e)
+            at = content.find(_VERSION, at + 1 if e.end is None else e.end)
+            at = len(content) if at < 0 else at
+            continue
+        if gap is not None:
+            out.append(("gap", gap, at, why))
+            gap = None
+        out.append(("record", at, end, rec))
+        at = end
+    if gap is not None:
+        out.append(("gap", gap, len(content), why))
+    return out
 
 
 def salvage(data: bytes) -> Iterator[tuple[str, int, int, dict | str]]:
     """("record", start, end, record) and ("gap", start, end, reason) over a
-    whole archive, gzip members and plain records in any mixture."""
+    whole archive, gzip members and plain records in any mixture.  Offsets are
+    those of the archive (for a record in a member, the member's); the reason
+    of a gap inside a member has the offsets in its content."""
     at, gap, why = 0, None, ""
+    seen, until = set(), 0  # block digests of records from a damaged member, and its end
     while at < len(data):
-        try:
-            found = []
-            if data.startswith(_MAGIC, at):
-                inner, end = _member_at(data, at)
-                k = 0
-                while k < len(inner):
-                    rec, k = parse_record(inner, k)
-                    found.append(rec)
-            else:
+        fault, after = None, at + 1
+        if data.startswith(_MAGIC, at):
+            content, end, fault = _inflated(data, at)
+            found = _inner(content, fault is None)
+            good = [x for kind, _, _, x in found if kind == "record"]
+            holes = [f"{x} (bytes {a} to {b} of the member's content)" for kind, a, b, x in found if kind == "gap"]
+            if fault is not None and good:
+                seen, until = {rec["fields"]["warc-block-digest"] for rec in good}, end
+                fault = "; ".join([f"{fault}, behind byte {len(content)} of the member's content", *holes])
+            elif fault is None:
+                after = end
+                if holes and not good:
+                    fault = found[0][3]
+        else:
+            good, holes = [], []
+            try:
                 rec, end = parse_record(data, at)
-                found.append(rec)
-        except Broken as e:
-            if gap is None:
-                gap, why = at, str(e)
-            # a whole member, or a whole frame, is skipped; else search
-            after = at + 1
-            if data.startswith(_MAGIC, at):
-                if not str(e).startswith("gzip"):
-                    after = _member_at(data, at)[1]
-            elif e.end is not None:
-                after = e.end
-            spots = [x for x in (data.find(_MAGIC, after), data.find(_VERSION, after)) if x >= 0]
-            at = min(spots, default=len(data))
-            continue
-        if gap is not None:
+                if at < until and rec["fields"].get("warc-block-digest") in seen:
+                    at = end  # stored uncompressed in the damaged member, and read there
+                    continue
+                good = [rec]
+            except Broken as e:
+                fault, after = str(e), after if e.end is None else e.end
+        if gap is not None and (fault is None or good):
             yield "gap", gap, at, why
             gap = None
-        for rec in found:
+        for rec in good:
             yield "record", at, end, rec
-        at = end
+        if fault is None:
+            for x in holes:
+                yield "gap", at, end, x
+            at = end
+            continue
+        if gap is None:
+            gap, why = at, fault
+        # a whole member, or a whole frame, is skipped; else search
+        spots = [x for x in (data.find(_MAGIC, after), data.find(_VERSION, after)) if x >= 0]
+        at = min(spots, default=len(data))
     if gap is not None:
         yield "gap", gap, len(data), why
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import os
+import zlib
 
 import public_tokenizers
 import pytest
@@ -102,6 +103,41 @@ def test_warc_salvage():
     assert list(warc.salvage(b"")) == []
 
 
+def test_warc_salvage_inside_members():
+    """A damaged member of several records loses only what is damaged."""
+    texts = [f"page {k} " + hashlib.sha512(str(k).encode()).hexdigest() * 20 for k in range(20)]
+    records = [warc.record(k, "u", t, hashlib.sha256(t.encode()).hexdigest(), 0, None) for k, t in enumerate(texts)]
+    ids = lambda out: [int(x[3]["fields"]["warc-record-id"][10:-1]) for x in out if x[0] == "record"]
+    gaps = lambda out: [x[1:] for x in out if x[0] == "gap"]
+    first, last = warc.member(records[0]), warc.member(records[19])
+    bad = bytearray(b"".join(records[1:19]))
+    at = sum(map(len, records[1:5]))
+    for spot in (at + 2, at + len(records[5]) // 2):  # the version line, the payload
+        hurt = bytearray(bad)
+        hurt[spot] ^= 0x55
+        out = list(warc.salvage(first + warc.member(bytes(hurt)) + last))
+        assert ids(out) == [k for k in range(20) if k != 5]
+        (start, end, why), = gaps(out)
+        assert (start, end) == (len(first), len(first) + len(warc.member(bytes(hurt))))
+        assert f"bytes {at} to {at + len(records[5])} " in why
+    for level in (0, 6):  # stored blocks show their version lines in the archive, too
+        c = zlib.compressobj(level, zlib.DEFLATED, 31)
+        whole = c.compress(bytes(bad)) + c.flush()
+        crc = bytearray(whole)
+        crc[-6] ^= 0x55
+        out = list(warc.salvage(first + bytes(crc) + last))
+        assert ids(out) == list(range(20)) and len(gaps(out)) == 1 and "gzip" in gaps(out)[0][2]
+        torn = whole[:len(whole) * 2 // 3]
+        out = list(warc.salvage(first + torn + last))
+        assert ids(out)[:11] == list(range(11)) and ids(out)[-1] == 19 and len(ids(out)) == len(set(ids(out)))
+        assert [x[0] for x in gaps(out)] == [len(first)]
+    bare = b"WARC/1.1\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"  # nothing vouches for it if the member is damaged
+    crc = bytearray(warc.member(bare + records[1]))
+    crc[-6] ^= 0x55
+    out = list(warc.salvage(bytes(crc)))
+    assert ids(out) == [1] and "no block digest" in gaps(out)[0][2]
+
+
 def test_bpe_against_the_library(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     enc = bpe.encoder(open(path, "rb").read(), public_tokenizers.PATTERN)
