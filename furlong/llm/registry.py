@@ -28,7 +28,7 @@ def op1_chat_formatting(spark: SparkSession, d: str) -> DataFrame:
 def op2_warc(spark: SparkSession, d: str) -> DataFrame:
     path = shared_folder(spark, "warc")
     warc.write_archives(read(spark, d, "pages"), path)
-    return warc.read_archives(spark, path).where("gap IS NULL").select(
+    return warc.whole(warc.read_archives(spark, path)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -112,8 +112,8 @@ def parse_record(data: bytes, at: int) -> tuple[dict, int]:
     """The record whose version line starts at ``at`` and the offset behind it."""
     if not data.startswith(_VERSION, at):
         raise Broken("no version line")
-    stop = data.find(_END, at, at + (1 << 20))
-    if stop < 0:
+    stop = data.find(_END, at)
+    if stop < 0 or data.find(b"\n" + _VERSION, at, stop) >= 0:
         raise Broken("header does not end")
     fields = {}
     for line in data[at:stop].split(b"\r\n")[1:]:
@@ -287,3 +287,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
     files = spark.read.format("binaryFile").load(path)
     return files.select("path", "content").mapInArrow(run, READ)
+
+
+def whole(records: DataFrame) -> DataFrame:
+    """The rows of :func:`read_archives`; a gap among them is an error."""
+    said = F.concat_ws(" ", F.lit("damaged archive:"), "file", "start", "end", "gap")
+    return records.where(F.when(F.col("gap").isNull(), F.lit(True)).otherwise(F.raise_error(said).cast("boolean")))

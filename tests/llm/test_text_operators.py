@@ -138,6 +138,24 @@ def test_warc_salvage_inside_members():
     assert ids(out) == [1] and "no block digest" in gaps(out)[0][2]
 
 
+def test_warc_long_urls_and_gaps(spark, tmp_path):
+    """A header of any length is read; a gap in the query's own archives is an error."""
+    path = f"file://{tmp_path}/w"
+    rows = [(1, "http://x/" + " " * 400_000, "<p>a</p>"), (2, "http://x/WARC/1.1" + "y" * 1_500_000, "<p>b</p>"), (3, "u", "c")]
+    warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string"), path)
+    got = warc.whole(warc.read_archives(spark, path)).select("page_id", "url", "payload_bytes").collect()
+    assert sorted(tuple(r) for r in got) == [(1, "http://x/" + "%20" * 400_000, 8), (2, rows[1][1], 8), (3, "u", 1)]
+    part, = [f for f in (tmp_path / "w").iterdir() if f.name.startswith("part") and f.stat().st_size > 100][-1:]
+    (tmp_path / "hurt").mkdir()
+    (tmp_path / "hurt" / "x.warc.gz").write_bytes(part.read_bytes()[:-60])
+    with pytest.raises(Exception, match="damaged archive"):
+        warc.whole(warc.read_archives(spark, f"file://{tmp_path}/hurt")).select("page_id").collect()
+    two = warc.record(1, "u", "a" * 99, hashlib.sha256(b"a" * 99).hexdigest(), 99, None)
+    head = two.index(b"\r\n\r\n")  # a header without its end does not take the next one's
+    out = list(warc.salvage(two[:head] + b"\r\n" + two))
+    assert [x[0] for x in out] == ["gap", "record"]
+
+
 def test_bpe_against_the_library(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     enc = bpe.encoder(open(path, "rb").read(), public_tokenizers.PATTERN)
