@@ -49,9 +49,27 @@ def _spans(batch: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
-def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK, whole: bool = False) -> Iterator[Chunk]:
+def _back(data: np.ndarray, begin: int, at: int, n: int) -> int:
+    """Where the last ``n`` words before ``at`` begin (not before ``begin``)."""
+    if not n:
+        return at
+    step = 4096
+    while True:
+        low = max(begin, at - step)
+        solid = ~_SPACE[data[low:at]]
+        first = np.flatnonzero(solid[1:] & ~solid[:-1]) + 1
+        if len(first) >= n:
+            return low + int(first[-n])
+        if low == begin:
+            return begin
+        step *= 4
+
+
+def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK, whole: bool = False,
+           overlap: int = 0) -> Iterator[Chunk]:
     """The texts of a batch in chunks of about ``size`` bytes (more only where
-    a text has no white space, or ``whole``: no text is cut)."""
+    a text has no white space, or ``whole``: no text is cut).  A part that
+    goes on from a cut begins with the ``overlap`` words before the cut."""
     if not len(batch):
         return
     data, offsets = _spans(batch)
@@ -61,15 +79,17 @@ def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK, whole:
     else:
         for r in range(len(batch)):
             at, stop = int(offsets[r]), int(offsets[r + 1])
+            head = at
             while stop - at > size:
                 cut = np.flatnonzero(_SPACE[data[at + size:min(at + 2 * size, stop)]])
                 if not len(cut):
                     break
-                begin.append(at)
+                begin.append(head)
                 at += size + int(cut[0])
                 end.append(at)
                 rows.append(r)
-            begin.append(at)
+                head = _back(data, int(offsets[r]), at, overlap)
+            begin.append(head)
             end.append(stop)
             rows.append(r)
         begin, end, rows = (np.array(x, np.int64) for x in (begin, end, rows))
@@ -81,7 +101,7 @@ def chunks(batch: pa.StringArray, lower: bool = False, size: int = CHUNK, whole:
 
 
 def _chunk(data: np.ndarray, begin: np.ndarray, end: np.ndarray, rows: np.ndarray, lower: bool) -> Chunk:
-    part = data[begin[0]:end[-1]]  # parts lie one after another
+    part = data[begin[0]:end[-1]]  # parts lie one after another; no two of one text are in a chunk
     if lower:
         part = _LOWER[part]
     length = end - begin

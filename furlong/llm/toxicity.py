@@ -1,7 +1,9 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling.
 
 A text is scored in overlapping windows of ``WINDOW`` words, ``STRIDE``
-apart, over its whole length; the text's score is that of its worst window.
+apart, over its whole length (a part of a long text begins with the last
+``WINDOW - 1`` words before it), so that a passage of up to ``WINDOW - STRIDE
++ 1`` words lies whole in one window; the score is that of the worst window.
 Every word enters as a word embedding (hashed, case-folded) joined to a
 character embedding (mean of its hashed character trigrams).  Both
 directions run over the window; attention pools their states.
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from furlong.llm.flat_text import Adam, Chunk, chunks, sigmoid, word_hashes
 from furlong.llm.labels import training_sample
 
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 16
 WORD_ROWS, GRAM_ROWS = 8192, 8192
 WORD_DIM, GRAM_DIM, HIDDEN, POOL = 8, 8, 8, 8
 BLOCK = 4096  # windows that go through the network at once
@@ -248,7 +250,7 @@ def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) ->
         p = sent.value
         for b in batches:
             out = np.full(b.num_rows, -np.inf)
-            for c in chunks(b.column(b.num_columns - 1), lower=True):
+            for c in chunks(b.column(b.num_columns - 1), lower=True, overlap=WINDOW - 1):
                 logit, part = chunk_logits(p, c)
                 np.maximum.at(out, c.row[part], logit)
             out = np.round(sigmoid(out), 9)

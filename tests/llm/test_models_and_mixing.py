@@ -125,6 +125,24 @@ def test_flat_text_chunks():
         assert len(set(by.values())) == len(by)
 
 
+def test_toxicity_windows_cover_every_passage():
+    """A passage of up to half a window lies whole in a window, also across a cut."""
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (0, 1, 31, 32, 33, 300)] + ["  a " + "b" * 90 + "  c" * 200, None]
+    for size in (1, 64, 300, 1 << 20):
+        seen = {}
+        for c in chunks(pa.array(texts), size=size, overlap=toxicity.WINDOW - 1):
+            assert len(set(c.row.tolist())) == len(c.row)
+            for first, n, part in zip(*toxicity.windows(c), strict=True):
+                row = texts[c.row[part]].split() if texts[c.row[part]] else []
+                got = [c.data[c.start[k]:c.end[k]].tobytes().decode() for k in range(first, first + n)]
+                seen.setdefault(int(c.row[part]), set()).add(tuple(got))
+                assert not got or " ".join(got) in " ".join(row)
+        for r, t in enumerate(texts):
+            w, half = (t or "").split(), toxicity.WINDOW // 2
+            inside = {x[k:k + half] for x in seen[r] for k in range(max(1, len(x) - half + 1))}
+            assert all(tuple(w[k:k + half]) in inside for k in range(max(1, len(w) - half + 1)))
+
+
 @pytest.mark.parametrize("module, label, folds, test", [(quality_classifier, "quality", 3, 1), (toxicity, "toxic", 5, 0)])
 def test_classifier_on_held_out_documents(spark, module, label, folds, test):
     docs, labels = read(spark, "/root/testdata/sf0.1", "documents"), read(spark, "/root/testdata/sf0.1", "labels")
