@@ -49,6 +49,12 @@ def _spans(batch: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word of one text, and the byte behind it."""
+    solid = np.concatenate(([False], ~_SPACE[data], [False]))
+    return np.flatnonzero(solid[1:-1] & ~solid[:-2]), np.flatnonzero(solid[1:-1] & ~solid[2:]) + 1
+
+
 def _back(data: np.ndarray, begin: int, at: int, n: int) -> int:
     """Where the last ``n`` words before ``at`` begin (not before ``begin``)."""
     if not n:

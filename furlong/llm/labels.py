@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,3 +24,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     picked = ids[0].unionByName(ids[1]).withColumnRenamed("doc_id", "_id")
     return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .join(F.broadcast(picked), F.col("doc_id") == F.col("_id"), "inner").select("doc_id", "text", "label"))
+
+
+def warn_unused(labels: DataFrame, label: str, train: Column, used: Iterable[int]) -> None:
+    """Warns of a class that has labels but no training rows."""
+    for c in {0, 1} - set(used):
+        if labels.where(train & (F.col(label) == c)).limit(1).count():
+            warnings.warn(f"no training document has {label} = {c}, though there are such labels", stacklevel=3)

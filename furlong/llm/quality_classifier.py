@@ -12,7 +12,8 @@ passages each), and is a few thousand numbers in the task's closure.
 
 Defined results: null and empty texts are one passage without words;
 repeated rows get the same score; no labels of one class at all: every
-score is 0.5 and predicted 1; labels that are null teach nothing; an empty
+score is 0.5 and predicted 1 (with a warning if there are labels, but no
+documents to them); labels that are null teach nothing; an empty
 table gives an empty result; other columns are ignored.
 """
 
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.flat_text import Adam, Chunk, chunks, sigmoid, word_hashes
-from furlong.llm.labels import training_sample
+from furlong.llm.labels import training_sample, warn_unused
 
 PASSAGE = 64
 PAIRS = 128
@@ -134,8 +135,8 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 25, batch: int = 64
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality",
           per_class: int = 1500, max_passages: int = 256) -> dict:
     """Fits the model on at most ``per_class`` labelled documents of each class
-    (of up to ``max_passages`` passages): a bounded sample, so what the driver
-    holds does not grow with the data."""
+    and ``max_passages`` passages of each, spread evenly over longer texts: a
+    bounded sample, so what the driver holds does not grow with the data."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = b.column(1).to_numpy(zero_copy_only=False)
@@ -146,7 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
                     found.setdefault(int(r), []).append(x[part == k] if len(c.row) < 2 else x[
                         np.searchsorted(part, k):np.searchsorted(part, k, "right")])
             rows = [(int(label[r]), np.concatenate(x)) for r, x in found.items()]
-            rows = [(y, x.astype(np.float16).tobytes()) for y, x in rows if len(x) <= max_passages]
+            rows = [(y, x if len(x) <= max_passages else x[np.linspace(0, len(x) - 1, max_passages).astype(int)])
+                    for y, x in rows]
+            rows = [(y, x.astype(np.float16).tobytes()) for y, x in rows]
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()),
                                               pa.array([x for _, x in rows], pa.binary())], names=["y", "x"])
 
@@ -154,6 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "qual
     rows = (sample.select("text", F.col("label").cast("int").alias("label"), "doc_id").drop("doc_id")
             .mapInArrow(run, "y int, x binary").collect())
     rows.sort(key=lambda r: (r["y"], bytes(r["x"])))
+    warn_unused(labels, label, usable, {r["y"] for r in rows})
     return fit([np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in rows],
                np.array([r["y"] for r in rows], np.float64))
 

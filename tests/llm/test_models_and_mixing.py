@@ -190,6 +190,38 @@ def test_long_text_scores_alike_beside_other_rows(spark):
     assert scores([(1, long)])[1] != scores([(1, long[1 << 20:])])[1]
 
 
+@pytest.mark.parametrize("module, label", [(quality_classifier, "quality"), (toxicity, "toxic")])
+def test_classifier_learns_from_long_documents(spark, module, label):
+    """All labelled documents are over the length bounds of the sample."""
+    rng = np.random.default_rng(3)
+    common, marked = [f"word{k}" for k in range(60)], ["#idiot!!", "#scum!!"]
+    rows, known = [], []
+    for k in range(48):
+        w = rng.choice(common, 20_000)
+        if k % 2:
+            w[rng.random(len(w)) < 0.15] = marked[k % 4 // 2]
+        rows.append((k, " ".join(w)))
+        known.append((k, k % 2))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    labels = spark.createDataFrame(known, f"doc_id bigint, {label} int")
+    got = module.score(docs, module.train(docs, labels, F.col("doc_id") < 40)).where("doc_id >= 40").collect()
+    assert {r["doc_id"]: r["predicted"] for r in got} == {k: k % 2 for k in range(40, 48)}
+    with pytest.warns(UserWarning, match=f"{label} = 1"):
+        module.train(docs.where("doc_id % 2 = 0"), labels, F.lit(True))
+
+
+def test_toxicity_excerpts():
+    short = " a\tb " + "c " * 90
+    assert toxicity.excerpt(short, 100) == short and toxicity.excerpt("", 100) == ""
+    long = " ".join(f"w{k}" for k in range(10_000))
+    got = toxicity.excerpt(long, 1000)
+    assert 900 < len(got.split()) <= 1000 and got.startswith("w0 ") and got.endswith(" w9999")
+    assert all(x in long for x in got.split("\n")) and len(set(got.split())) == len(got.split())
+    for text in ("é" * 100_000, ("é" * 5000 + " ") * 70, "x " * 65 + "y" * 10 ** 6):
+        got = toxicity.excerpt(text, 1000)
+        assert 0 < len(got.encode()) <= 16_100 and all(x in text for x in got.split("\n"))
+
+
 def test_toxicity_gradients():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in toxicity.new_model(rng).items()}
