@@ -13,8 +13,8 @@ does not give back exactly its role and text, a backslash is put before
 what conflicts, and if that were not enough before every special
 character, until the round trip is identical.  A turn that parses alone from
 and to the start state parses alike inside a conversation, so turns are
-rendered in parallel; the whole conversation is parsed once more, as a
-stream, when it is read back.
+rendered in parallel; when a conversation is read back, each rendered turn
+is parsed alone once more, so turn borders come from the rows.
 
 Scale: rows are hash-partitioned by conversation, sorted within the
 partition and streamed; no conversation is held in memory as a whole.
@@ -151,7 +151,7 @@ DIGESTS = ("conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigi
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, read from the rendered text alone: number and
+    """One row per conversation, read from its rendered turns alone: number and
     digest of the parsed turns, length and digest of the unescaped text under
     the loss mask, formatted length, turns that needed escapes.  ``formatted``
     is the output of :func:`format_conversations` (its row order is used)."""
