@@ -22,7 +22,8 @@ Scale: one pass over the texts makes the fingerprint of each set and its
 lowest-hashed tokens; frequencies, keys and candidates come from these.
 Only candidates' texts are read again.  Equal sets are one node.  Frequent
 tokens number at most ``MAX_FREQUENT`` by choice of the threshold, and so
-are broadcast.  A cluster of any size is cut into tiles of bounded size.
+are broadcast.  A cluster of any size is cut into tiles of about
+``TILE_MAX`` sets and ``TILE_TOKENS`` tokens at most; a set stays whole.
 
 Defined results: null and empty texts have no shingles and link with
 nothing; texts of fewer words than a shingle have one, the whole sequence;
@@ -50,6 +51,7 @@ FREQUENT = 32  # documents from which a token is frequent, at least
 MAX_FREQUENT = 500_000
 GROUP = 4  # frequent tokens of a prefix that fall into one group, about
 TILE_MIN, TILE_MAX, TILES = 128, 2048, 20
+TILE_TOKENS = 4 << 20  # tokens of a tile, about (a set is whole)
 BROADCAST_IDS = 1_000_000
 
 
@@ -259,6 +261,20 @@ def _sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
     return out.dropDuplicates(["node"])
 
 
+def _dealt(sets: DataFrame) -> DataFrame:
+    """Every set once for each pair of tiles (``lo, hi``) that it is in."""
+    size = sets.groupBy(F.col("cluster").alias("_c")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("_tokens")).withColumn(
+        "tiles", F.greatest(F.least(F.ceil(F.col("m") / TILE_MIN), F.lit(TILES)), F.ceil(F.col("m") / TILE_MAX),
+                            F.ceil(F.col("_tokens") / TILE_TOKENS)).cast("int"))
+    cut = sets.join(size, sets["cluster"] == size["_c"]).withColumn(
+        "tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
+    # a set goes to the pairs of its tile with every tile
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    return cut.select("node", "n", "tokens", F.col("cluster"), F.least("tile", "other").alias("lo"),
+                       F.greatest("tile", "other").alias("hi"), (F.col("tile") > F.col("other")).alias("side"),
+                       (F.col("tile") == F.col("other")).alias("same"))
+
+
 def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     """``node, component``: sets that are linked with another set."""
     tokens = sketch.select(F.explode(F.filter("low", lambda x: x < rule.known)).alias("t")).groupBy("t").agg(
@@ -274,15 +290,7 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     ids = (sketch.where("doc_id IS NOT NULL").select("doc_id", "node").join(clusters, "node")
            .groupBy("node", "cluster").agg(F.min("doc_id").alias("doc_id")))
     sets = staged(_sets(docs, staged(ids, "candidates"), rule), "sets")
-    size = sets.groupBy(F.col("cluster").alias("_c")).agg(F.count(F.lit(1)).alias("m")).withColumn(
-        "tiles", F.greatest(F.least(F.ceil(F.col("m") / TILE_MIN), F.lit(TILES)), F.ceil(F.col("m") / TILE_MAX)).cast("int"))
-    cut = sets.join(size, sets["cluster"] == size["_c"]).withColumn(
-        "tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    # a set goes to the pairs of its tile with every tile
-    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    dealt = cut.select("node", "n", "tokens", F.col("cluster"), F.least("tile", "other").alias("lo"),
-                       F.greatest("tile", "other").alias("hi"), (F.col("tile") > F.col("other")).alias("side"),
-                       (F.col("tile") == F.col("other")).alias("same"))
+    dealt = _dealt(sets)
     found = dealt.groupBy("cluster", "lo", "hi").applyInPandas(
         lambda pdf: _verified(pdf, rule.percent), "a bigint, b bigint")
     return components(staged(found, "set-links"))

@@ -191,3 +191,14 @@ def test_components_of_chains_and_hubs(spark):
     label = components(len(nodes), [(at[a], at[b]) for a, b in edges if a != b])
     got = dict(tuple(r) for r in cc.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())
     assert got == {x: nodes[label[k]] for k, x in enumerate(nodes)}
+
+
+def test_tiles_are_cut_by_tokens(spark, monkeypatch):
+    """Few but large sets: a group holds two tiles of about TILE_TOKENS; every pair of sets meets."""
+    monkeypatch.setattr(jaccard_join, "TILE_TOKENS", 2000)
+    sets = spark.createDataFrame([(k, 7, 100, b"") for k in range(100)], "node long, cluster long, n long, tokens binary")
+    groups = {}
+    for r in jaccard_join._dealt(sets).collect():
+        groups.setdefault((r["lo"], r["hi"]), set()).add(r["node"])
+    assert max(len(g) * 100 for g in groups.values()) < 2 * 2 * 2000  # all are 10000
+    assert len({(a, b) for g in groups.values() for a in g for b in g}) == 100 * 100
