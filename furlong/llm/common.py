@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,10 +50,41 @@ def shared_folder(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/furlong-llm/{what}-{uuid.uuid4().hex}"
 
 
+_collector: ContextVar[list[str] | None] = ContextVar("staged_tables", default=None)
+
+
+@contextmanager
+def collecting() -> Iterator[list[str]]:
+    """Lists the folders of the tables that are staged inside (in this thread)."""
+    made: list[str] = []
+    token = _collector.set(made)
+    try:
+        yield made
+    finally:
+        _collector.reset(token)
+
+
+def remove(spark: SparkSession, *folders: str) -> None:
+    """Deletes folders through the file system that holds them; a folder that
+    is gone already is no error."""
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes staged tables.  Only where everything that reads them has been
+    written itself."""
+    for t in tables:
+        remove(t.sparkSession, t._staged_at)
+
+
 def staged(df: DataFrame, what: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts the
     lineage, so that later stages survive lost executors without
-    recomputing what came before.  This is an action."""
+    recomputing what came before.  This is an action.  The table stays until
+    it is given to :func:`discard`, or the caller that was ``collecting``
+    removes its folder."""
     spark = df.sparkSession
     path = shared_folder(spark, what)
     # the shuffle files behind the written table are of no more use
@@ -60,7 +94,19 @@ def staged(df: DataFrame, what: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(DROP_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    made = _collector.get()
+    if made is not None:
+        made.append(path)
+    return out
+
+
+def unused_prefix(df: DataFrame, prefix: str) -> str:
+    """``prefix``, longer by underscores until no column of ``df`` begins with it."""
+    while any(c.lower().startswith(prefix.lower()) for c in df.columns):
+        prefix += "_"
+    return prefix
 
 
 def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:

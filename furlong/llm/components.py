@@ -4,14 +4,15 @@ Alternating large-star and small-star steps: every node's neighbours are
 hung on the smallest one, until nothing moves.  A step is one map-side
 combined minimum per node and one join, so no group of links is ever
 collected; adaptive execution splits the join of a node with very many
-links.  Every round is written to the shared folder."""
+links.  Every round is written to the shared folder, and the one before is
+deleted."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import staged
+from furlong.llm.common import discard, staged
 
 
 def _star(edges: DataFrame, small: bool) -> DataFrame:
@@ -41,11 +42,14 @@ def components(edges: DataFrame) -> DataFrame:
                "links")
     sign = None
     while True:
-        e = staged(_star(_star(e, small=False), small=True), "links")
+        before, e = e, staged(_star(_star(e, small=False), small=True), "links")
+        discard(before)
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (now["n"], now["h"]) == sign:
             break
         sign = (now["n"], now["h"])
     roots = e.select(F.col("b").alias("node")).distinct()
-    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
+    out = e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component")))
+    out._staged_at = e._staged_at  # so that it can be discarded
+    return out

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import staged
+from furlong.llm.common import discard, staged
 from furlong.llm.components import components
 
 BLOCK = 16
@@ -198,6 +198,7 @@ def near_duplicates(table: DataFrame, cosine: float = 0.9, vec_id: str = "vec_id
     dealt = cut.join(sides, ["dim", "block", "cell", "tile"])
     found = staged(dealt.groupBy("pair").applyInPandas(lambda pdf: _compared(pdf, cosine, kind), "a bigint, b bigint, n bigint"),
                    "vector-links")
+    discard(celled, sizes)
     counts = found.where("n > 0").groupBy(F.col("a").alias("gid")).agg(F.sum("n").alias("_n"))
     comps = components(found.where("n < 0").select("a", "b"))
     classes = (reps.join(counts, "gid", "left")

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import staged
+from furlong.llm.common import discard, staged
 from furlong.llm.components import components
 from furlong.llm.flat_text import chunks, mix64, word_hashes
 
@@ -182,7 +182,15 @@ def _keys(sketch: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
         run, "key bigint, node bigint, n int, behind int, single boolean")
 
 
-def _candidates(keys: DataFrame, percent: int) -> DataFrame:
+def _listed(keys: DataFrame) -> DataFrame:
+    """The keys that two sets have, with the smallest set of each."""
+    shared = keys.groupBy(F.col("key").alias("_k"), F.col("single").alias("_s")).agg(
+        F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
+    return keys.join(shared, (keys["key"] == shared["_k"]) & (keys["single"] == shared["_s"])).select(
+        "key", "node", "n", "behind", "single", "_low").distinct()
+
+
+def _candidates(listed: DataFrame, percent: int) -> DataFrame:
     """Links between sets that may be similar (``a, b``).
 
     Sets that share single rare tokens (less than the frequency threshold, so
@@ -190,10 +198,6 @@ def _candidates(keys: DataFrame, percent: int) -> DataFrame:
     the tokens behind the prefix can make up the wanted overlap: of the two,
     the set whose prefix ends first has every shared token in both prefixes or
     behind its own.  The sets of a combination key hang on the smallest one."""
-    shared = keys.groupBy(F.col("key").alias("_k"), F.col("single").alias("_s")).agg(
-        F.min("node").alias("_low"), F.max("node").alias("_high")).where("_low < _high")
-    listed = staged(keys.join(shared, (keys["key"] == shared["_k"]) & (keys["single"] == shared["_s"]))
-                    .select("key", "node", "n", "behind", "single", "_low").distinct(), "lists")
     left = listed.where("single").select("key", "node", "n", "behind")
     right = left.select(*[F.col(c).alias(f"{c}2") for c in left.columns])
     pairs = left.join(right, (F.col("key") == F.col("key2")) & (F.col("node") < F.col("node2"))
@@ -262,7 +266,7 @@ def _sets(docs: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _dealt(sets: DataFrame) -> DataFrame:
-    """Every set once for each pair of tiles (``lo, hi``) that it is in."""
+    """Every set once for each pair of tiles (``pair``) that it is in."""
     size = sets.groupBy(F.col("cluster").alias("_c")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("_tokens")).withColumn(
         "tiles", F.greatest(F.least(F.ceil(F.col("m") / TILE_MIN), F.lit(TILES)), F.ceil(F.col("m") / TILE_MAX),
                             F.ceil(F.col("_tokens") / TILE_TOKENS)).cast("int"))
@@ -270,9 +274,11 @@ def _dealt(sets: DataFrame) -> DataFrame:
         "tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
     # a set goes to the pairs of its tile with every tile
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    return cut.select("node", "n", "tokens", F.col("cluster"), F.least("tile", "other").alias("lo"),
-                       F.greatest("tile", "other").alias("hi"), (F.col("tile") > F.col("other")).alias("side"),
-                       (F.col("tile") == F.col("other")).alias("same"))
+    lo, hi = F.least("tile", "other"), F.greatest("tile", "other")
+    # one key, and not (cluster, lo, hi): rows that a join has put together by
+    # cluster would count as dealt by those three, and a cluster stay in one task
+    return cut.select("node", "n", "tokens", F.concat_ws("/", "cluster", lo, hi).alias("pair"),
+                      (F.col("tile") > F.col("other")).alias("side"), (F.col("tile") == F.col("other")).alias("same"))
 
 
 def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
@@ -285,15 +291,20 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     often = tokens.where(F.col("df") >= max(FREQUENT, -(-total // MAX_FREQUENT))).select("t").collect()
     frequent = np.sort(np.array([r["t"] for r in often], np.int64))
     keys = staged(_keys(sketch, frequent, rule), "keys")
-    star = _candidates(keys, rule.percent)
-    clusters = staged(components(star).withColumnRenamed("component", "cluster"), "clusters")
+    listed = staged(_listed(keys), "lists")
+    hung = components(_candidates(listed, rule.percent))
+    clusters = staged(hung.withColumnRenamed("component", "cluster"), "clusters")
+    discard(tokens, keys, listed, hung)
     ids = (sketch.where("doc_id IS NOT NULL").select("doc_id", "node").join(clusters, "node")
            .groupBy("node", "cluster").agg(F.min("doc_id").alias("doc_id")))
-    sets = staged(_sets(docs, staged(ids, "candidates"), rule), "sets")
-    dealt = _dealt(sets)
-    found = dealt.groupBy("cluster", "lo", "hi").applyInPandas(
-        lambda pdf: _verified(pdf, rule.percent), "a bigint, b bigint")
-    return components(staged(found, "set-links"))
+    ids = staged(ids, "candidates")
+    sets = staged(_sets(docs, ids, rule), "sets")
+    found = staged(_dealt(sets).groupBy("pair").applyInPandas(
+        lambda pdf: _verified(pdf, rule.percent), "a bigint, b bigint"), "set-links")
+    discard(clusters, ids, sets)
+    out = components(found)
+    discard(found)
+    return out
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:

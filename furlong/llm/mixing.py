@@ -15,7 +15,12 @@ task.
 Defined results: null text has size 0; a null source is a source of its
 own, last in order; size-0 documents take nothing; an empty table gives an
 empty result; repeated rows are separate documents (equal rows are
-interchangeable).  Columns named like a result column are replaced.
+interchangeable); rows without a doc_id draw their keys by their texts.
+Columns named like a result column are replaced.
+
+The texts are never shuffled: a source's selection is every document up to
+one cut in key order, so :func:`mixed_documents` finds the cuts on narrow rows
+and then filters the texts as they are read.
 """
 
 from __future__ import annotations
@@ -25,10 +30,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from furlong.llm.common import staged, text_or_empty, words
+from furlong.llm.common import SPACE, discard, staged, text_or_empty, unused_prefix, words
 
 RESULT = ("size", "source_size", "target", "epochs", "taken")
 ROWS_PER_BUCKET = 20_000
+BROADCAST_SOURCES = 100_000  # rows of the plan (one a source) up to which it is broadcast
 
 
 def quality_weight(text: str = "text") -> Column:
@@ -41,10 +47,11 @@ def quality_weight(text: str = "text") -> Column:
     return F.lit(1.0) / F.pow(F.lit(2.0), steps)
 
 
-def uniform(seed: int, doc_id: str = "doc_id") -> Column:
-    """A number in (0, 1] from the id alone, the same in every run."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(doc_id).cast("string"),
-                                                                 F.lit("null"))))
+def uniform(seed: int, doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A number in (0, 1] from the id alone (without one: from the text), the
+    same in every run."""
+    own = F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("null:"), F.md5(text_or_empty(text))))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), own))
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 1.0) / float(2 ** 48)
 
 
@@ -76,23 +83,38 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> DataFr
     return level.withColumn("target", target).select("source", "source_size", "n", "target")
 
 
+def _key(seed: int, quality: Column | None) -> Column:
+    return -F.log(uniform(seed)) / (quality if quality is not None else quality_weight())
+
+
+def _tie() -> Column:
+    return F.xxhash64(text_or_empty("text"))
+
+
+def _narrow(docs: DataFrame, seed: int, quality: Column | None) -> DataFrame:
+    """``doc_id``, ``source``, ``size`` and the key of every row, staged."""
+    return staged(docs.select("doc_id", "source", F.size(words("text")).cast("long").alias("size"),
+                              _tie().alias("_mx_tie"), _key(seed, quality).alias("_mx_key")), "mix")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 7,
-        quality: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
-    """``doc_id``, ``source``, the columns of ``keep``, and: ``size`` (words),
-    ``source_size``, ``target`` (of the source), ``epochs`` (whole passes plus
-    one if the document is in the fractional selection), ``taken`` (words the
-    mix takes, ``epochs * size``; at most ``cap * size``).
+        quality: Column | None = None) -> DataFrame:
+    """``doc_id``, ``source``, and: ``size`` (words), ``source_size``, ``target``
+    (of the source), ``epochs`` (whole passes plus one if the document is in
+    the fractional selection), ``taken`` (words the mix takes, ``epochs *
+    size``; at most ``cap * size``).
 
     The document at which the prefix sum passes the rest of the target is
     selected if at least half of it fits, so a source misses its target by at
-    most half a document.  Writes one staged copy (an action)."""
-    weight = quality if quality is not None else quality_weight()
-    base = docs.select(
-        "doc_id", "source", *[c for c in keep if c not in ("doc_id", "source", *RESULT)],
-        F.size(words("text")).cast("long").alias("_mx_size"),
-        F.xxhash64(text_or_empty("text")).alias("_mx_tie"),
-        (-F.log(uniform(seed)) / weight).alias("_mx_key"))
-    base = staged(base, "mix").withColumnRenamed("_mx_size", "size")
+    most half a document.  Writes one staged table without the texts (an
+    action)."""
+    return _selected(_narrow(docs, seed, quality), weights, cap).select(
+        "doc_id", "source", *RESULT[:-1], (F.col("epochs") * F.col("size")).alias("taken"))
+
+
+def _selected(base: DataFrame, weights: Sequence[int], cap: int) -> DataFrame:
+    """The rows of ``base`` with ``source_size``, ``target``, ``epochs`` and the
+    whole passes of their source."""
     plan = source_targets(base.groupBy("source").agg(F.sum("size").alias("source_size"),
                                                      F.count(F.lit(1)).alias("n")), weights, cap)
     plan = plan.select(
@@ -118,15 +140,53 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed:
     rows = rows.withColumn("_mx_start", start).withColumn(
         "epochs", F.col("_mx_whole") + ((F.col("size") > 0) & (
             F.col("_mx_start") + F.col("size") / F.lit(2.0) <= rest)).cast("long"))
-    names = [c for c in base.columns if not c.startswith("_mx_") and c != "size"]
-    return rows.select(*names, "size", "source_size", "target", "epochs",
-                       (F.col("epochs") * F.col("size")).alias("taken"))
+    return rows.select(*base.columns, "source_size", "target", "epochs", "_mx_whole")
+
+
+def cuts(selected: DataFrame) -> DataFrame:
+    """One row per source: ``source``, ``whole`` (complete passes), ``cut`` (the
+    last place in key order that the fractional selection takes; null: none),
+    and how many rows stand there (``at_cut``) and are taken (``taken``)."""
+    place = F.struct(F.col("_mx_key").alias("key"), F.col("doc_id").alias("id"), F.col("_mx_tie").alias("tie"))
+    places = selected.where("size > 0").groupBy("source", place.alias("place")).agg(
+        F.first("_mx_whole").alias("whole"), F.count(F.lit(1)).alias("n"),
+        F.count(F.when(F.col("epochs") > F.col("_mx_whole"), 1)).alias("taken"))
+    last = F.max(F.when(F.col("taken") > 0, F.struct("place", "n", "taken")))
+    return places.groupBy("source").agg(F.max("whole").alias("whole"), last.alias("last")).select(
+        "source", "whole", F.col("last.place").alias("cut"), F.col("last.n").alias("at_cut"),
+        F.col("last.taken").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), cap: int = 3, seed: int = 7,
+                    quality: Column | None = None) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns unchanged), each as
-    often as the mix takes it."""
-    packed = docs.select("doc_id", "source", "text", F.struct("*").alias("row"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("epochs").cast("int")))
-    return (mix(packed, keep=("row",), **options).where("epochs > 0")
-            .withColumn("_mx_copy", copies).select("row.*"))
+    often as the mix takes it; rows without words as often as their source has
+    complete passes.  Runs jobs over narrow rows; the texts are read once more
+    and filtered against their source's cut, without a shuffle.  (Only where a
+    cut falls between equal rows are these, and no others, numbered.)"""
+    base = _narrow(docs, seed, quality)
+    picks = staged(_selected(base, weights, cap), "picks")
+    plan = staged(cuts(picks).coalesce(1), "mix-plan")
+    discard(base, picks)
+    n, split = plan.agg(F.count(F.lit(1)), F.count(F.when(F.col("taken") < F.col("at_cut"), 1))).first()
+    own = unused_prefix(docs, "_mx_")
+    names = {c: f"{own}{c}" for c in plan.columns}
+    side = plan.select(*[F.col(c).alias(x) for c, x in names.items()])
+    met = docs.join(F.broadcast(side) if n <= BROADCAST_SOURCES else side,
+                    docs["source"].eqNullSafe(side[names["source"]]))
+    place = F.struct(_key(seed, quality).alias("key"), F.col("doc_id").alias("id"), _tie().alias("tie"))
+    cut, at, taken = F.col(names["cut"]), F.col(names["at_cut"]), F.col(names["taken"])
+    has_words = F.btrim(text_or_empty("text"), F.lit(SPACE)) != ""
+    inside = F.coalesce(has_words & ((place < cut) | ((place == cut) & (taken == at))), F.lit(False))
+    copies = F.col(names["whole"]) + inside.cast("long")
+
+    def repeated(rows: DataFrame, times: Column) -> DataFrame:
+        times = F.when(times > 0, F.sequence(F.lit(1), times.cast("int"))).otherwise(F.array().cast("array<int>"))
+        return rows.withColumn(f"{own}copy", F.explode(times)).select(*docs.columns)
+
+    out = repeated(met, copies)
+    if split:
+        equal = Window.partitionBy(names["source"]).orderBy(F.xxhash64(*[c for c, t in docs.dtypes if "map<" not in t]))
+        some = met.where(has_words & (place == cut) & (taken < at)).withColumn(f"{own}no", F.row_number().over(equal))
+        out = out.unionByName(repeated(some.where(F.col(f"{own}no") <= taken), F.lit(1)))
+    return out

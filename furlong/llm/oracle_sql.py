@@ -7,7 +7,7 @@ OP9 = rf"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORDS}'))::BIGINT AS size,
          coalesce(text, '') AS t,
-         (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 1.0)
+         (('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 12))::BIGINT::DOUBLE + 1.0)
            / 281474976710656.0 AS u
   FROM documents),
 w AS (

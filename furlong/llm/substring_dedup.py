@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import row_key, staged, text_or_empty
+from furlong.llm.common import discard, row_key, staged, text_or_empty, unused_prefix
 from furlong.llm.flat_text import Chunk, chunks, mix64, word_hashes
 
 WINDOW = 13
@@ -280,24 +280,27 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")), "segments")
     reports = staged(distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
                      .groupBy("shard").applyInPandas(_indexed, "key bigint, sid bigint, low array<bigint>"), "reports")
-    reports = reports.select(F.col("key").alias("_k"), F.col("sid").alias("_s"), "low")
+    discard(distinct)
+    found = reports.select(F.col("key").alias("_k"), F.col("sid").alias("_s"), "low")
     held = _segments(at, False)
-    met = held.join(reports, (held["key"] == reports["_k"]) & (held["sid"] == reports["_s"]))
+    met = held.join(found, (held["key"] == found["_k"]) & (held["sid"] == found["_s"]))
     windows = met.select("doc_id", "row", F.filter(
         F.transform("low", lambda x, i: F.when(x < F.col("doc_id"), F.col("start") + i)),
         lambda x: x.isNotNull()).alias("w")).where(F.size("w") > 0)
-    return staged(windows.groupBy("doc_id", "row").agg(F.flatten(F.collect_set("w")).alias("windows")), "windows")
+    out = staged(windows.groupBy("doc_id", "row").agg(F.flatten(F.collect_set("w")).alias("windows")), "windows")
+    discard(hits, reports)
+    return out
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """The columns of ``docs`` with ``n_words``, ``n_removed`` and ``kept_text``
     (the remaining words joined by one space).  Runs jobs."""
-    found = repeated_windows(docs)
-    found = found.select(F.col("doc_id").alias("_fm_id"), F.col("row").alias("_fm_row"), F.col("windows").alias("_fm_windows"))
+    found, own = repeated_windows(docs), unused_prefix(docs, "_fm_")
+    found = found.select(F.col("doc_id").alias(f"{own}id"), F.col("row").alias(f"{own}row"), F.col("windows").alias(f"{own}windows"))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    rows = docs.select(*names, row_key().alias("_fm_key"))
-    rows = rows.join(found, (F.col("doc_id") == F.col("_fm_id")) & (F.col("_fm_key") == F.col("_fm_row")), "left").select(
-        *names, text_or_empty("text").alias("_fm_text"), "_fm_windows")
+    rows = docs.select(*names, row_key().alias(f"{own}key"))
+    rows = rows.join(found, (F.col("doc_id") == F.col(f"{own}id")) & (F.col(f"{own}key") == F.col(f"{own}row")), "left").select(
+        *names, text_or_empty("text").alias(f"{own}text"), f"{own}windows")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

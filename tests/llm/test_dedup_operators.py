@@ -199,6 +199,53 @@ def test_tiles_are_cut_by_tokens(spark, monkeypatch):
     sets = spark.createDataFrame([(k, 7, 100, b"") for k in range(100)], "node long, cluster long, n long, tokens binary")
     groups = {}
     for r in jaccard_join._dealt(sets).collect():
-        groups.setdefault((r["lo"], r["hi"]), set()).add(r["node"])
+        groups.setdefault(r["pair"], set()).add(r["node"])
     assert max(len(g) * 100 for g in groups.values()) < 2 * 2 * 2000  # all are 10000
     assert len({(a, b) for g in groups.values() for a in g for b in g}) == 100 * 100
+
+
+def test_tile_pairs_of_a_cluster_are_dealt_anew(spark, monkeypatch):
+    """Between the copies of a cluster's sets and their comparison rows are
+    exchanged, also where a sort-merge join has put the cluster together."""
+    from furlong.plans.inspect import final_tree
+
+    monkeypatch.setattr(jaccard_join, "TILE_MIN", 8)
+    sets = spark.createDataFrame([(k, 7, 100, b"") for k in range(100)], "node long, cluster long, n long, tokens binary")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k in before:
+            spark.conf.set(k, "-1" if k.endswith("Threshold") else "false")
+        pairs = jaccard_join._dealt(sets).groupBy("pair").applyInPandas(lambda pdf: pdf[["node"]], "node long")
+        lines = final_tree(pairs).splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    at = {name: next(i for i, x in enumerate(lines) if name in x) for name in ("FlatMapGroupsInPandas", "Exchange", "Generate", "SortMergeJoin")}
+    assert at["FlatMapGroupsInPandas"] < at["Exchange"] < at["Generate"] < at["SortMergeJoin"]
+
+
+def test_staged_tables_are_discarded(spark):
+    from furlong.llm import common
+
+    with common.collecting() as made:
+        one, two = common.staged(spark.range(5), "a"), common.staged(spark.range(7), "b")
+        common.discard(one)
+        groups = jaccard_join.near_duplicates(awkward(spark))
+        n = groups.count()
+    assert n == len(awkward_rows()) and two.count() == 7
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(made[0]).getFileSystem(spark._jsc.hadoopConfiguration())
+    there = [p for p in made if hadoop.exists(spark._jvm.org.apache.hadoop.fs.Path(p))]
+    assert made[0] not in there and made[1] in there and len(there) == 3  # two, the sketches, the last round of links
+    common.remove(spark, *made, made[0])
+    assert not [p for p in made if hadoop.exists(spark._jvm.org.apache.hadoop.fs.Path(p))]
+
+
+def test_substring_dedup_keeps_columns_with_its_own_names(spark):
+    from pyspark.sql import functions as F
+
+    df = awkward(spark)
+    for name in ("_fm_text", "_fm_id", "_fm_key", "_FM__row"):
+        df = df.withColumn(name, F.lit("clash"))
+    got = substring_dedup.deduplicated(df)
+    assert got.columns == [*df.columns, "n_words", "n_removed", "kept_text"]
+    assert tuples(got.select("doc_id", "n_words", "n_removed", "kept_text")) == kept_by_brute_force(awkward_rows())

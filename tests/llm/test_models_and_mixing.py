@@ -306,3 +306,31 @@ def test_pipeline_stages(spark):
     assert sorted((r["doc_id"], r["decoded_sha256"]) for r in out) == sorted(
         (r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in held)
     assert all(len(r["ids"]) == r["n_tokens"] for r in out)
+
+
+def test_mixing_of_rows_without_ids_and_of_equal_rows(spark):
+    """Rows without an id are a random order of their own; where a cut falls
+    between equal rows, exactly the selected number of them is taken."""
+    nameless = spark.createDataFrame([(None, f"w{k} " * 5, "a") for k in range(300)], "doc_id bigint, text string, source string")
+    assert nameless.select(mixing.uniform(7)).distinct().count() == 300
+    rows = [(1, "x " * 10, "a", k) for k in range(40)] + [(2, "y " * 10, "b", k) for k in range(20)] + [
+        (3, "z " * 10, "c", k) for k in range(20)] + [(4, " ", "a", 0), (None, None, "c", 1)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, no int").repartition(7)
+    epochs = Counter()
+    for r in mixing.mix(df).collect():
+        epochs[r["doc_id"]] += r["epochs"]
+    got = mixing.mixed_documents(df).collect()
+    assert Counter(r["doc_id"] for r in got) == +epochs
+    per_row = Counter((r["doc_id"], r["no"]) for r in got if r["doc_id"] and r["doc_id"] < 4)
+    for i in (1, 2, 3):  # one extra pass for some of the equal rows at most
+        n = [per_row[i, k] for k in range(40 if i == 1 else 20)]
+        assert max(n) - min(n) <= 1
+    assert any(len({per_row[i, k] for k in range(20)}) == 2 for i in (1, 2, 3))  # a cut lies between equal rows
+
+
+def test_mixed_documents_do_not_shuffle_texts(spark):
+    from furlong.plans.inspect import final_tree
+
+    df = awkward(spark)
+    tree = final_tree(mixing.mixed_documents(df))
+    assert "BroadcastHashJoin" in tree and "Exchange hash" not in tree and "SortMergeJoin" not in tree
