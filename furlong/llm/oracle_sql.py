@@ -148,3 +148,36 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT A
        sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+OP13 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+s AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (sum(coalesce(c.n, 0)) OVER w + 2 * count(*) OVER w) AS p
+  FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+  WINDOW w AS (PARTITION BY g.lang, g.source)),
+l AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS q
+  FROM k WINDOW w AS (PARTITION BY lang)),
+v AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+o AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, (((s.p - l.q) * (s.p - l.q)) // (s.p + l.q))::BIGINT
+  FROM s JOIN l ON l.lang = s.lang AND l.term = s.term WHERE s.n > 0 AND s.p > l.q)
+SELECT lang, source, part, item, value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM o QUALIFY part = 'pair' OR rank <= 10
+"""

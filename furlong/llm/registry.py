@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import bpe, chat, embedding_join, jaccard_join, mixing, quality_classifier, quality_rules, substring_dedup, toxicity, warc
+from furlong.llm import bpe, chat, divergence, embedding_join, jaccard_join, mixing, packing, quality_classifier, quality_rules, substring_dedup, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
 from furlong.llm.labels import fold
@@ -74,6 +74,16 @@ def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_packing(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(read(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_source_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(read(spark, d, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_warc": op2_warc,
@@ -85,6 +95,8 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_packing": op12_packing,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE: dict[str, str] = {
@@ -94,4 +106,5 @@ ORACLE: dict[str, str] = {
     "op6_jaccard_join": sql.OP6,
     "op7_embedding_join": sql.OP7,
     "op9_mixing": sql.OP9,
+    "op13_source_divergence": sql.OP13,
 }

@@ -20,4 +20,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
