@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -102,6 +104,16 @@ def staged(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+def kept_by_worker(name: str, version: object, make: Callable[[], object]) -> object:
+    """What ``make`` makes, kept by this Python worker for the tasks to come (the
+    functions of this subpackage travel with each task, and with them their
+    modules' globals).  Another ``version`` of the same name takes its place."""
+    memory = sys.modules.setdefault("_furlong_worker", types.ModuleType("_furlong_worker")).__dict__
+    if name not in memory or memory[name][0] != version:
+        memory[name] = (version, make())
+    return memory[name][1]
+
+
 def unused_prefix(df: DataFrame, prefix: str) -> str:
     """``prefix``, longer by underscores until no column of ``df`` begins with it."""
     while any(c.lower().startswith(prefix.lower()) for c in df.columns):

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import staged
+from furlong.llm.common import kept_by_worker, staged
 
 WINDOW = 4096
 END = 2
@@ -116,7 +116,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(sent.value)
+        tokens = kept_by_worker("packing", sent.value, lambda: Tokens(sent.value))
         for b in batches:
             rows = []
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):

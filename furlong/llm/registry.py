@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.llm import bpe, chat, divergence, embedding_join, jaccard_join, mixing, packing, quality_classifier, quality_rules, substring_dedup, toxicity, warc
+from furlong.llm import alignment, bpe, chat, divergence, embedding_join, jaccard_join, mixing, packing, quality_classifier, quality_rules, substring_dedup, toxicity, warc
 from furlong.llm import oracle_sql as sql
 from furlong.llm.common import read, shared_folder
 from furlong.llm.labels import fold
@@ -74,6 +74,13 @@ def op10_quality_classifier(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, d: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op12_packing(spark: SparkSession, d: str) -> DataFrame:
     import public_tokenizers
 
@@ -95,6 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_packing": op12_packing,
     "op13_source_divergence": op13_source_divergence,
 }
