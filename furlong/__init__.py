@@ -1,7 +1,7 @@
 """furlong: race ROI features as Spark DataFrame jobs.
 
-Inputs are three DataFrames (races, runners, horses) held in a
-:class:`~furlong.schema.RaceTables`; every operator returns a lazy
+Inputs are three DataFrames (races, runners, horses; payouts where bets are
+settled) held in a :class:`~furlong.schema.RaceTables`; every operator returns a lazy
 DataFrame built from built-in Spark expressions.
 """
 
@@ -26,6 +26,15 @@ from furlong.operators.extras import (
     horse_course_roi,
     next_run_roi,
 )
+from furlong.operators.as_of import jockey_course_record_as_of, sire_track_record_as_of, totals_before
+from furlong.operators.breeding import resolved_horses
+from furlong.operators.careers import losing_streak_roi, with_streaks
+from furlong.operators.names import jockey_names_on, name_intervals, names_on
+from furlong.operators.payouts import jockey_payout_roi, settled_runners, win_payouts
+from furlong.operators.pedigree_paths import inbreeding, line_cross_roi
+from furlong.operators.quarantine import screen
+from furlong.operators.stamina import stamina_index
+from furlong.sources.totals_store import TotalsStore
 
 __all__ = [
     "RaceTables",
@@ -46,4 +55,21 @@ __all__ = [
     "horse_course_roi",
     "closing_rank_roi",
     "next_run_roi",
+    "totals_before",
+    "jockey_course_record_as_of",
+    "sire_track_record_as_of",
+    "TotalsStore",
+    "win_payouts",
+    "settled_runners",
+    "jockey_payout_roi",
+    "name_intervals",
+    "names_on",
+    "jockey_names_on",
+    "with_streaks",
+    "losing_streak_roi",
+    "stamina_index",
+    "screen",
+    "inbreeding",
+    "line_cross_roi",
+    "resolved_horses",
 ]

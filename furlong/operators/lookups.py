@@ -11,6 +11,11 @@ so any number of requests costs one job:
   broadcasts whichever side measures small, otherwise the join is sort-merge;
 * duplicate requests are answered once and joined back, so every request
   row gets exactly one answer row.
+
+Target leakage: as in the source, records and ranks span all history, races
+on and after the day being scored included.  They describe an entity; they
+are not features to train on.  For those, :mod:`furlong.operators.as_of`
+counts only races before the day of the request.
 """
 
 from __future__ import annotations

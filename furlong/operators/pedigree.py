@@ -27,13 +27,14 @@ from furlong.functions.filters import known_parent
 from furlong.schema import RaceTables
 
 MAX_DEPTH = 3
+HORSE_KEY = "ketto_toroku_bango"  # the column that parent ids are looked up in
 SIRE_SIDE = "1"
 DAM_SIDE = "2"
 
 
-def _horse_parents(t: RaceTables) -> DataFrame:
+def _horse_parents(t: RaceTables, key: str = HORSE_KEY) -> DataFrame:
     return t.horses.select(
-        F.col("ketto_toroku_bango").alias("_id"),
+        F.col(key).alias("_id"),
         F.trim("bamei").alias("_name"),
         F.col("ketto_joho_01a").alias("sire_id"),
         F.trim("ketto_joho_01b").alias("sire_name"),
@@ -49,21 +50,22 @@ def clamp_depth(depth: int) -> int:
     return min(depth, MAX_DEPTH)
 
 
-def pedigree_rows(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+def pedigree_rows(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH, key: str = HORSE_KEY) -> DataFrame:
     """Ancestor rows of every ``horses.horse_id`` to ``depth`` generations, by
-    horse, generation and position.  A depth over three is warned about and
-    taken as three."""
-    return _expand(t, horses, clamp_depth(depth), keep_unknown=False).orderBy("root_id", "generation", "position")
+    horse, generation and position.  ``key`` names the horse table's column that
+    requested and parent ids are looked up in.  A depth over three is warned
+    about and taken as three."""
+    return _expand(t, horses, clamp_depth(depth), keep_unknown=False, key=key).orderBy("root_id", "generation", "position")
 
 
 _OWN = ("horse_id", "horse_name", "sire_id", "sire_name", "dam_id", "dam_name")
 
 
-def _expand(t: RaceTables, horses: DataFrame, depth: int, keep_unknown: bool) -> DataFrame:
+def _expand(t: RaceTables, horses: DataFrame, depth: int, keep_unknown: bool, key: str = HORSE_KEY) -> DataFrame:
     """Pedigree rows; with ``keep_unknown`` a requested id missing from the
     horse table keeps one generation-1 row with a NULL ``horse_id``, so the
     tree needs no second pass over the requests."""
-    parents = _horse_parents(t)
+    parents = _horse_parents(t, key)
     roots = horses.select(F.col("horse_id").alias("root_id"))
     rows = roots.join(parents, F.col("root_id") == F.col("_id"),
                       "left" if keep_unknown else "inner").select(
@@ -113,7 +115,7 @@ def _mid(id_: Column, name: Column, sire: Column, dam: Column) -> Column:
     return F.struct(id_.alias("id"), name.alias("name"), sire.alias("sire"), dam.alias("dam"))
 
 
-def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
+def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH, key: str = HORSE_KEY) -> DataFrame:
     """One row per requested horse id: ``root_id`` and ``tree``, a nested
     struct {id, name, sire {id, name, sire {id, name}, dam {..}}, dam {..}}
     (Q9).
@@ -130,7 +132,7 @@ def pedigree_tree(t: RaceTables, horses: DataFrame, depth: int = MAX_DEPTH) -> D
     """
     depth = clamp_depth(depth)
     roots = horses.select(F.col("horse_id")).distinct()
-    rows = _expand(t, roots, max(1, depth - 1), keep_unknown=True)
+    rows = _expand(t, roots, max(1, depth - 1), keep_unknown=True, key=key)
     node = F.struct(*_OWN)
     slots = rows.groupBy("root_id").agg(*[
         F.min(F.when(F.col("position") == pos, node)).alias(f"n{pos}") for pos in POSITIONS

@@ -14,11 +14,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from furlong.operators import extras, lookups, pedigree, reports
+from furlong.operators import (
+    as_of, breeding, careers, extras, lookups, names, payouts, pedigree, pedigree_paths, quarantine, reports, stamina,
+)
 from furlong.operators.runners import rated_runners
 from furlong.sources import oracle_sql as sql
 from furlong.sources import requests as req
-from furlong.sources.fixtures import fixture_tables
+from furlong.sources import totals_store as stored
+from furlong.schema import RaceTables
+from furlong.sources.fixtures import breeding_stock, fixture_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +88,81 @@ def _d2(spark: SparkSession, d: str) -> DataFrame:
     return extras.horse_course_roi(fixture_tables(spark, d))
 
 
+def _days_as_text(df: DataFrame, *days: str) -> DataFrame:
+    return df.withColumns({d: F.col(d).cast("string") for d in days})
+
+
+def _jockey_as_of(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return _days_as_text(as_of.jockey_course_record_as_of(t, req.jockey_days(t)), "as_of")
+
+
+def _sire_as_of(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return _days_as_text(as_of.sire_track_record_as_of(t, req.horse_days(t)), "as_of")
+
+
+def _stored_jockey_course(spark: SparkSession, d: str) -> DataFrame:
+    """The report from a totals store that was filled in steps: the days up to
+    1996 and those from then on, the 13th of every month at first without the
+    runners that have a betting rank; then the first days of months once more,
+    and the 13ths corrected."""
+    rated = rated_runners(fixture_tables(spark, d))
+    day = stored.race_day_text()
+    store = stored.TotalsStore(spark, stored.new_folder(spark), stored.JOCKEY_GRAIN)
+    at_first = rated.where(~day.endswith("13") | F.col("popularity").isNull())
+    store.replace_days(at_first.where(day < "1996"))
+    store.replace_days(at_first.where(day >= "1996"))
+    store.replace_days(rated.where(day.endswith("01")))
+    store.replace_days(rated.where(day.endswith("13")))
+    return store.report(("jockey_id", "jockey_name", "course_name", "track_type", "distance_category"),
+                        reports.JOCKEY_COURSE_METRICS, since="2000", min_races=20)
+
+
+def _jockey_payout(spark: SparkSession, d: str) -> DataFrame:
+    return payouts.jockey_payout_roi(fixture_tables(spark, d))
+
+
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return _days_as_text(names.jockey_names_on(t, req.name_days(t)), "as_of", "valid_from", "valid_to")
+
+
+def _streaks(spark: SparkSession, d: str) -> DataFrame:
+    return careers.losing_streak_roi(fixture_tables(spark, d))
+
+
+def _stamina(spark: SparkSession, d: str) -> DataFrame:
+    return stamina.stamina_index(fixture_tables(spark, d), "run_score")
+
+
+def _rejected(spark: SparkSession, d: str) -> DataFrame:
+    """The fixture tables have no bad texts in rated rows: some are put in."""
+    t, no, race = fixture_tables(spark, d), F.col("umaban"), F.col("race_bango")
+    odds = F.when(race.endswith("7") & (no == "02"), "****").when(race.endswith("8") & (no == "03"), "12.345")
+    runners = t.runners.withColumns({
+        "tansho_odds": odds.otherwise(F.col("tansho_odds")),
+        "tansho_ninkijun": F.when(race.endswith("7") & no.isin("01", "02"), "--").otherwise(F.col("tansho_ninkijun"))})
+    races = t.races.withColumn("kyori", F.when(race.endswith("13"), "1,600").otherwise(F.col("kyori")))
+    screened = quarantine.screen(RaceTables(races, runners, t.horses), stored.new_folder(spark, "screened"))
+    return screened.rejects.withColumn("reasons", F.array_join("reasons", "; "))
+
+
+def _inbreeding(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    return pedigree_paths.inbreeding(t, req.registered_horses(t))
+
+
+def _crosses(spark: SparkSession, d: str) -> DataFrame:
+    return pedigree_paths.line_cross_roi(fixture_tables(spark, d))
+
+
+def _with_stock(spark: SparkSession, d: str) -> DataFrame:
+    t = fixture_tables(spark, d)
+    t = RaceTables(t.races, t.runners, breeding.resolved_horses(t.horses, breeding_stock(spark, d)))
+    return pedigree.pedigree_rows(t, req.registered_horses(t))
+
+
 QUERIES: dict[str, Query] = {
     "sire_track_condition_roi": _q1,
     "jockey_course_roi": _q2,
@@ -100,6 +179,17 @@ QUERIES: dict[str, Query] = {
     "horse_course_roi": _d2,
     "closing_rank_roi": _d3,
     "next_run_roi": _d4,
+    "jockey_course_record_as_of": _jockey_as_of,
+    "sire_track_record_as_of": _sire_as_of,
+    "stored_jockey_course_roi": _stored_jockey_course,
+    "jockey_payout_roi": _jockey_payout,
+    "jockey_names_on": _names,
+    "losing_streak_roi": _streaks,
+    "stamina_index": _stamina,
+    "rejected_runners": _rejected,
+    "pedigree_inbreeding": _inbreeding,
+    "line_cross_roi": _crosses,
+    "pedigree_rows_with_stock": _with_stock,
 }
 
 ORACLE: dict[str, Callable[[], str]] = {
@@ -117,4 +207,15 @@ ORACLE: dict[str, Callable[[], str]] = {
     "horse_course_roi": sql.horse_course_roi,
     "closing_rank_roi": sql.closing_rank_roi,
     "next_run_roi": sql.next_run_roi,
+    "jockey_course_record_as_of": sql.jockey_course_record_as_of,
+    "sire_track_record_as_of": sql.sire_track_record_as_of,
+    "stored_jockey_course_roi": sql.jockey_course_roi,
+    "jockey_payout_roi": sql.jockey_payout_roi,
+    "jockey_names_on": sql.jockey_names_on,
+    "losing_streak_roi": sql.losing_streak_roi,
+    "stamina_index": sql.stamina_index,
+    "rejected_runners": sql.rejected_runners,
+    "pedigree_inbreeding": sql.pedigree_inbreeding,
+    "line_cross_roi": sql.line_cross_roi,
+    "pedigree_rows_with_stock": sql.pedigree_rows_with_stock,
 }

@@ -48,14 +48,31 @@ HORSES_SCHEMA = _text_schema(
 )
 
 
+# --- Fixed values -----------------------------------------------------------
+# Columns of the payout table: winning slots (horse number, amount per 100) and
+# the refund marks (one character per horse number, '1' where refunded).
+WIN_SLOTS = (
+    ("haraimodoshi_tansho_1a", "haraimodoshi_tansho_1b"),
+    ("haraimodoshi_tansho_2a", "haraimodoshi_tansho_2b"),
+    ("haraimodoshi_tansho_3a", "haraimodoshi_tansho_3b"),
+)
+REFUND_MARKS = "henkan_umaban"
+# ----------------------------------------------------------------------------
+
+PAYOUTS_SCHEMA = _text_schema(*RACE_KEY, *[c for slot in WIN_SLOTS for c in slot], REFUND_MARKS)
+
+
 @dataclass(frozen=True)
 class RaceTables:
     """Races (one row per race), runners (one row per starter) and horses
-    (one row per registered horse, with sire and dam)."""
+    (one row per registered horse, with sire and dam); and, for the operators
+    that settle bets, payouts (one row per settled race).  The settlement also
+    reads the runners' horse number, ``umaban``."""
 
     races: DataFrame
     runners: DataFrame
     horses: DataFrame
+    payouts: DataFrame | None = None
 
     def select_known(self) -> "RaceTables":
         """Keep only the declared columns (extra source columns are dropped)."""
@@ -63,4 +80,5 @@ class RaceTables:
             self.races.select(*RACES_SCHEMA.fieldNames()),
             self.runners.select(*RUNNERS_SCHEMA.fieldNames()),
             self.horses.select(*HORSES_SCHEMA.fieldNames()),
+            None if self.payouts is None else self.payouts.select(*PAYOUTS_SCHEMA.fieldNames()),
         )

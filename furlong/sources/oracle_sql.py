@@ -44,7 +44,7 @@ jvd_ra AS (
 ),
 jvd_se_src AS (
   SELECT r.kaisai_nen, r.kaisai_tsukihi, r.keibajo_code, r.race_bango,
-    l.l_partkey, l.l_suppkey, l.l_quantity, l.l_returnflag,
+    l.l_partkey, l.l_suppkey, l.l_quantity, l.l_returnflag, l.l_linenumber,
     (l.l_orderkey * 31 + l.l_linenumber * 17 + l.l_partkey) % 24 AS h,
     l.l_orderkey * 13 + l.l_linenumber * 101 + l.l_partkey * 7 + l.l_suppkey AS g
   FROM lineitem l
@@ -64,9 +64,19 @@ jvd_se AS (
     CASE WHEN g % 37 = 0 THEN NULL
          ELSE {_pad("CAST(g % 19 AS VARCHAR)", 2)} END AS tansho_ninkijun,
     CASE WHEN g % 41 <> 0 THEN CAST(330 + CAST(l_quantity AS BIGINT) AS VARCHAR) END AS closing_time,
-    l_returnflag AS run_flag
+    l_returnflag AS run_flag,
+    CASE WHEN g % 43 <> 0 THEN CAST(g % 101 AS VARCHAR) END AS run_score,
+    {_pad("CAST(l_linenumber AS VARCHAR)", 2)} AS umaban
   FROM jvd_se_src
 ),
+hr_winners AS (
+  SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango,
+    list(CAST(umaban AS BIGINT) ORDER BY umaban) FILTER (WHERE kakutei_chakujun = '01') AS no,
+    list(COALESCE(CAST(tansho_odds AS BIGINT), 10) ORDER BY umaban) FILTER (WHERE kakutei_chakujun = '01') AS tenths,
+    list(CAST(umaban AS BIGINT)) FILTER (WHERE kakutei_chakujun = '00') AS gone
+  FROM jvd_se WHERE CAST(race_bango AS BIGINT) % 23 <> 0
+  GROUP BY kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango
+),
 jvd_um AS (
   SELECT
     {_pad("CAST(p_partkey + 1 AS VARCHAR)", 10)} AS ketto_toroku_bango,
@@ -483,3 +493,323 @@ jvd_se_runs AS (
     return _with(runs, rated) + "\n" + _report(
         "rated", ["previous_flag"], ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds"),
         "TRUE", min_races)
+
+
+# --- point in time -----------------------------------------------------------
+
+_DAY = "CAST(try_strptime(kaisai_nen || kaisai_tsukihi, '%Y%m%d') AS DATE)"
+_SUMS = ("COUNT(*) AS n, COUNT(*) FILTER (WHERE finish_pos = '01') AS w, "
+         "COUNT(*) FILTER (WHERE finish_pos IN ('01', '02', '03')) AS t3, "
+         "SUM(CASE WHEN finish_pos = '01' THEN odds10 ELSE 0 END) AS s10, SUM(popularity) AS ps, COUNT(popularity) AS pn, "
+         "COUNT(*) FILTER (WHERE popularity BETWEEN 4 AND 8 AND finish_pos = '01') AS mid, "
+         "COUNT(*) FILTER (WHERE popularity >= 9 AND finish_pos = '01') AS long")
+_BEFORE = ("COALESCE(SUM(n), 0) AS n, COALESCE(SUM(w), 0) AS w, COALESCE(SUM(t3), 0) AS t3, COALESCE(SUM(s10), 0) AS s10, "
+           "COALESCE(SUM(ps), 0) AS ps, COALESCE(SUM(pn), 0) AS pn, COALESCE(SUM(mid), 0) AS mid, COALESCE(SUM(long), 0) AS long")
+
+
+def jockey_course_record_as_of() -> str:
+    keys = "jockey_id, keibajo_code, track_type, distance_category"
+    same = " AND ".join(f"d.{k} = q.{k}" for k in keys.split(", "))
+    runs = _RUNS.replace("SELECT s.kishu_code", f"SELECT {_DAY.replace('kaisai', 's.kaisai')} AS day, s.kishu_code")
+    return _with(_rated(False), runs) + f""",
+real AS (
+  SELECT DISTINCT kishu_code AS jockey_id, course_name, keibajo_code, track_type, distance_category, day AS as_of FROM runs
+),
+req AS (
+  SELECT * FROM real
+  UNION ALL
+  SELECT DISTINCT 'X' || jockey_id, course_name, keibajo_code, track_type, distance_category, CAST(NULL AS DATE) FROM real
+),
+dc AS (SELECT {keys}, {_DAY} AS day, {_SUMS} FROM rated GROUP BY ALL),
+dj AS (
+  SELECT s.kishu_code AS jockey_id, {_DAY} AS day, COUNT(*) AS n, COUNT(*) FILTER (WHERE kakutei_chakujun = '01') AS w,
+    SUM(CASE WHEN kakutei_chakujun = '01' THEN CAST(tansho_odds AS BIGINT) ELSE 0 END) AS s10
+  FROM jvd_se s WHERE {_RATED_WHERE} GROUP BY ALL
+),
+c AS (
+  SELECT q.*, b.* FROM req q LEFT JOIN LATERAL (SELECT {_BEFORE} FROM dc d WHERE {same} AND d.day < q.as_of) b ON TRUE
+),
+days AS (SELECT DISTINCT jockey_id, as_of FROM req),
+o AS (
+  SELECT q.jockey_id, q.as_of, COALESCE(SUM(d.n), 0) AS all_n, COALESCE(SUM(d.w), 0) AS all_w, COALESCE(SUM(d.s10), 0) AS all_s10
+  FROM days q LEFT JOIN dj d ON d.jockey_id = q.jockey_id AND d.day < q.as_of GROUP BY q.jockey_id, q.as_of
+),
+h AS (
+  SELECT c.*, o.all_n, {_h('c.s10', 'c.n', 10)} AS roi_h, {_h('c.w', 'c.n', 100)} AS win_h,
+    {_h('o.all_s10', 'o.all_n', 10)} AS all_roi_h, {_h('o.all_w', 'o.all_n', 100)} AS all_win_h
+  FROM c JOIN o ON o.jockey_id = c.jockey_id AND o.as_of IS NOT DISTINCT FROM c.as_of
+)
+SELECT jockey_id, course_name, track_type, distance_category, CAST(as_of AS VARCHAR) AS as_of,
+  CAST(n AS BIGINT) AS total_races, CAST(w AS BIGINT) AS wins, CAST(t3 AS BIGINT) AS top3_finishes,
+  {_d('win_h')} AS win_rate, {_d(_h('t3', 'n', 100))} AS top3_rate, {_d('roi_h')} AS roi_percentage,
+  {_d('((20 * s10 + w) // NULLIF(2 * w, 0))')} AS avg_win_odds, {_d(_h('ps', 'pn', 1))} AS avg_popularity,
+  CAST(mid AS BIGINT) AS middle_odds_wins, CAST(long AS BIGINT) AS longshot_wins,
+  CAST(all_n AS BIGINT) AS all_total_races, {_d('all_win_h')} AS all_win_rate, {_d('all_roi_h')} AS all_roi_percentage,
+  {_d(_h('roi_h', 'all_roi_h', 1))} AS course_aptitude_index, {_d(_h('win_h', 'all_win_h', 1))} AS win_rate_ratio
+FROM h"""
+
+
+def sire_track_record_as_of() -> str:
+    runs = _RUNS.replace("SELECT s.kishu_code", f"SELECT {_DAY.replace('kaisai', 's.kaisai')} AS day, s.kishu_code")
+    return _with(_rated(True), runs) + f""",
+hs AS (
+  SELECT hid, sire_id, sire_name FROM (
+    SELECT ketto_toroku_bango AS hid, ketto_joho_01a AS sire_id, trim(ketto_joho_01b) AS sire_name,
+      ROW_NUMBER() OVER (PARTITION BY ketto_toroku_bango ORDER BY ketto_joho_01a NULLS FIRST, trim(ketto_joho_01b) NULLS FIRST) AS k
+    FROM jvd_um)
+  WHERE k = 1
+),
+req AS (
+  SELECT q.*, hs.sire_id, hs.sire_name FROM (
+    SELECT DISTINCT ketto_toroku_bango AS horse_id, track_type, track_condition, day AS as_of FROM runs) q
+  LEFT JOIN hs ON hs.hid = q.horse_id
+),
+ds AS (SELECT sire_id, track_type, track_condition, {_DAY} AS day, {_SUMS} FROM rated_sire GROUP BY ALL),
+asked AS (SELECT DISTINCT sire_id, track_type, track_condition, as_of FROM req),
+b AS (
+  SELECT q.sire_id, q.track_type, q.track_condition, q.as_of, {_BEFORE.replace('SUM(', 'SUM(d.')}
+  FROM asked q JOIN ds d ON d.sire_id = q.sire_id AND d.track_type = q.track_type
+    AND d.track_condition = q.track_condition AND d.day < q.as_of GROUP BY ALL
+)
+SELECT q.horse_id, q.track_type, q.track_condition, CAST(q.as_of AS VARCHAR) AS as_of, q.sire_id, q.sire_name,
+  CAST(COALESCE(n, 0) AS BIGINT) AS sire_track_total_races, CAST(COALESCE(w, 0) AS BIGINT) AS sire_track_wins,
+  {_d(_h('w', 'n', 100))} AS sire_track_win_rate, {_d(_h('s10', 'n', 10))} AS sire_track_roi_percentage,
+  {_d('((20 * s10 + w) // NULLIF(2 * w, 0))')} AS sire_track_avg_win_odds
+FROM req q LEFT JOIN b ON b.sire_id = q.sire_id AND b.track_type = q.track_type
+  AND b.track_condition = q.track_condition AND b.as_of = q.as_of"""
+
+
+# --- payouts -----------------------------------------------------------------
+
+def _slot(k: int) -> str:
+    amount = f"CAST(GREATEST(100, ((tenths[{k}] * 10 - 4) // (len(no) * 10)) * 10) AS VARCHAR)"
+    return (f"CASE WHEN no[{k}] IS NULL THEN '00' ELSE lpad(CAST(no[{k}] AS VARCHAR), 2, '0') END AS haraimodoshi_tansho_{k}a, "
+            f"CASE WHEN no[{k}] IS NULL THEN '' ELSE lpad({amount}, 7, '0') END AS haraimodoshi_tansho_{k}b")
+
+
+_PAYOUTS = f"""
+jvd_hr AS (
+  SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango,
+    {', '.join(_slot(k) for k in (1, 2, 3))},
+    {' || '.join(f"CASE WHEN list_contains(gone, {n}) THEN '1' ELSE '0' END" for n in range(1, 9))} AS henkan_umaban
+  FROM hr_winners
+),
+slots AS (
+  SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango, no, SUM(amount) AS amount FROM (
+    {' UNION ALL '.join(f"SELECT kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango, CAST(haraimodoshi_tansho_{k}a AS BIGINT) AS no, "
+                        f"TRY_CAST(haraimodoshi_tansho_{k}b AS BIGINT) AS amount FROM jvd_hr" for k in (1, 2, 3))})
+  WHERE no > 0 AND amount > 0 GROUP BY ALL
+)"""
+
+
+def jockey_payout_roi(since_year: int = 2000, min_bets: int = 20) -> str:
+    key = "kaisai_nen, kaisai_tsukihi, keibajo_code, race_bango"
+    win = "rated AND finish = '01'"
+    return _with(_PAYOUTS) + f""",
+b AS (
+  SELECT s.kishu_code AS jockey_id, trim(s.kishumei_ryakusho) AS jockey_name, {_COURSE} AS course_name,
+    COALESCE({_RATED_WHERE}, FALSE) AS rated, s.kakutei_chakujun AS finish,
+    CAST(s.tansho_odds AS BIGINT) AS odds10, p.henkan_umaban IS NOT NULL AS settled,
+    COALESCE(substring(p.henkan_umaban, CAST(s.umaban AS INTEGER), 1) = '1', FALSE) AS refunded, w.amount
+  FROM jvd_se s JOIN jvd_ra r USING ({key}) LEFT JOIN jvd_hr p USING ({key})
+  LEFT JOIN slots w ON w.kaisai_nen = s.kaisai_nen AND w.kaisai_tsukihi = s.kaisai_tsukihi
+    AND w.keibajo_code = s.keibajo_code AND w.race_bango = s.race_bango AND w.no = CAST(s.umaban AS BIGINT)
+  WHERE s.kaisai_nen >= '{since_year}'
+),
+g AS (
+  SELECT jockey_id, jockey_name, course_name, COUNT(*) FILTER (WHERE rated) AS n, COUNT(*) FILTER (WHERE {win}) AS w,
+    SUM(CASE WHEN {win} THEN odds10 ELSE 0 END) AS s10, COUNT(*) FILTER (WHERE settled AND NOT refunded) AS bets,
+    COUNT(*) FILTER (WHERE settled AND refunded) AS refunds,
+    COUNT(*) FILTER (WHERE settled AND NOT refunded AND amount > 0) AS paid_bets,
+    COALESCE(SUM(amount) FILTER (WHERE settled AND NOT refunded), 0) AS paid
+  FROM b GROUP BY jockey_id, jockey_name, course_name
+)
+SELECT jockey_id, jockey_name, course_name, n AS total_races, w AS wins, {_d(_h('s10', 'n', 10))} AS roi_percentage,
+  bets, refunds, paid_bets, {_d(_h('paid', 'bets * 100', 100))} AS payout_roi_percentage
+FROM g WHERE bets >= {min_bets}"""
+
+
+# --- names, careers, stamina -------------------------------------------------
+
+def jockey_names_on() -> str:
+    return _with() + f""",
+days AS (
+  SELECT kishu_code AS jockey_id, {_DAY} AS day,
+    arg_max(trim(kishumei_ryakusho), keibajo_code || race_bango || trim(kishumei_ryakusho)) AS name
+  FROM jvd_se GROUP BY ALL
+),
+starts AS (
+  SELECT * FROM (SELECT *, lag(name) OVER (PARTITION BY jockey_id ORDER BY day) AS before FROM days)
+  WHERE name IS DISTINCT FROM before
+),
+v AS (SELECT jockey_id, name, day AS valid_from, lead(day) OVER (PARTITION BY jockey_id ORDER BY day) AS valid_to FROM starts),
+req AS (
+  SELECT jockey_id, day AS as_of FROM days UNION SELECT jockey_id, CAST(day + INTERVAL 40 DAY AS DATE) FROM days
+)
+SELECT q.jockey_id, CAST(q.as_of AS VARCHAR) AS as_of, v.name AS jockey_name, CAST(v.valid_from AS VARCHAR) AS valid_from,
+  CAST(v.valid_to AS VARCHAR) AS valid_to
+FROM req q LEFT JOIN v ON v.jockey_id = q.jockey_id AND v.valid_from <= q.as_of AND (v.valid_to IS NULL OR q.as_of < v.valid_to)"""
+
+
+def losing_streak_roi(longest: int = 10) -> str:
+    order = ("kaisai_nen NULLS FIRST, kaisai_tsukihi NULLS FIRST, keibajo_code NULLS FIRST, race_bango NULLS FIRST, "
+             "kakutei_chakujun NULLS FIRST, tansho_odds NULLS FIRST, tansho_ninkijun NULLS FIRST")
+    runs = f"""
+islands AS (
+  SELECT *, {_DAY} AS day, COUNT(*) FILTER (WHERE kakutei_chakujun = '01') OVER (
+      PARTITION BY ketto_toroku_bango ORDER BY {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island
+  FROM jvd_se s WHERE {_RATED_WHERE} AND ketto_toroku_bango <> '0000000000'
+),
+jvd_se_runs AS (
+  SELECT *, row_number() OVER (PARTITION BY ketto_toroku_bango, island ORDER BY {order}) - 1 AS streak,
+    day - first_value(day) OVER (PARTITION BY ketto_toroku_bango, island ORDER BY {order}) AS streak_days
+  FROM islands
+)"""
+    rated = _rated(False).replace("FROM jvd_se s", "FROM jvd_se_runs s").replace(
+        "AS popularity\n", f"AS popularity, CAST(least(s.streak, {longest}) AS INTEGER) AS streak, "
+                           "CASE WHEN s.streak > 0 THEN s.streak_days END AS streak_days\n")
+    return _with(runs, rated) + f"""
+SELECT streak, {', '.join(f"{METRICS[m]} AS {m}" for m in ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds"))},
+  {_d(_h('SUM(streak_days)', 'COUNT(streak_days)', 1))} AS avg_streak_days
+FROM rated GROUP BY streak"""
+
+
+def stamina_index(prior: int = 10) -> str:
+    def slope(p: str) -> str:
+        spread = f"({p}n * {p}xx - {p}x * {p}x)"
+        return f"CASE WHEN {spread} <> 0 THEN CAST({p}n * {p}xy - {p}x * {p}y AS DOUBLE) / CAST({spread} AS DOUBLE) END"
+
+    rated = _rated(False).replace("AS popularity\n", "AS popularity, CAST(r.kyori AS HUGEINT) // 100 AS x, CAST(s.run_score AS HUGEINT) AS y\n")
+    both = "x IS NOT NULL AND y IS NOT NULL"
+    sums = ", ".join(f"COALESCE(SUM({e}) FILTER (WHERE {both}), 0)::HUGEINT AS {c}" for c, e in
+                     (("n", "1"), ("x", "x"), ("y", "y"), ("xy", "x * y"), ("xx", "x * x")))
+    return _with(rated) + f""",
+hs AS (
+  SELECT ketto_toroku_bango AS hid, min(ketto_joho_01a) AS sire_id FROM jvd_um GROUP BY ALL
+),
+h AS (SELECT horse_id, {sums} FROM rated GROUP BY horse_id),
+hh AS (SELECT h.*, hs.sire_id FROM h LEFT JOIN hs ON hs.hid = h.horse_id),
+s AS (
+  SELECT sire_id, SUM(n)::HUGEINT AS s_n, SUM(x)::HUGEINT AS s_x, SUM(y)::HUGEINT AS s_y, SUM(xy)::HUGEINT AS s_xy, SUM(xx)::HUGEINT AS s_xx
+  FROM hh WHERE sire_id IS NOT NULL GROUP BY sire_id
+),
+m AS (
+  SELECT horse_id, hh.sire_id, n, s_n, {slope('')} AS slope, {slope('s_')} AS sire_slope FROM hh LEFT JOIN s ON s.sire_id = hh.sire_id
+)
+SELECT horse_id, sire_id, CAST(n AS BIGINT) AS runs, slope, CAST(s_n AS BIGINT) AS sire_runs, sire_slope,
+  COALESCE((CAST(n AS DOUBLE) * slope + {prior}.0::DOUBLE * sire_slope) / (CAST(n AS DOUBLE) + {prior}.0::DOUBLE), slope, sire_slope) AS stamina_index
+FROM m"""
+
+
+# --- quarantine --------------------------------------------------------------
+
+def rejected_runners() -> str:
+    """The fixture tables with bad texts put in (see registry), and which rated
+    runners they spoil."""
+    rated = _rated(False).replace("FROM jvd_se s", "FROM bad_se s").replace("JOIN jvd_ra r", "JOIN bad_ra r")
+    where = rated[rated.index("FROM bad_se"):rated.rindex(")")]
+    return _with() + f""",
+bad_se AS (
+  SELECT * REPLACE (
+    CASE WHEN race_bango LIKE '%7' AND umaban = '02' THEN '****' WHEN race_bango LIKE '%8' AND umaban = '03' THEN '12.345'
+         ELSE tansho_odds END AS tansho_odds,
+    CASE WHEN race_bango LIKE '%7' AND umaban IN ('01', '02') THEN '--' ELSE tansho_ninkijun END AS tansho_ninkijun)
+  FROM jvd_se
+),
+bad_ra AS (SELECT * REPLACE (CASE WHEN race_bango LIKE '%13' THEN '1,600' ELSE kyori END AS kyori) FROM jvd_ra),
+x AS (
+  SELECT s.kaisai_nen, s.kaisai_tsukihi, s.keibajo_code, s.race_bango, s.ketto_toroku_bango, s.kishu_code, s.kakutei_chakujun,
+    s.tansho_odds, s.tansho_ninkijun, r.kyori,
+    concat_ws('; ', CASE WHEN s.tansho_odds = '****' THEN 'odds are no number' END,
+      CASE WHEN s.tansho_odds = '12.345' THEN 'odds are finer than hundredths' END,
+      CASE WHEN s.tansho_ninkijun = '--' THEN 'betting rank is no number' END,
+      CASE WHEN r.kyori = '1,600' THEN 'distance is no number' END) AS reasons
+  {where}
+)
+SELECT * FROM x WHERE reasons <> ''"""
+
+
+# --- pedigree paths and breeding stock ---------------------------------------
+
+_ANCESTORS = """
+anc AS (
+  SELECT root_id, pos, id FROM (
+    SELECT root_id, position || '1' AS pos, sire_id AS id FROM pedigree
+    UNION ALL SELECT root_id, position || '2', dam_id FROM pedigree)
+  WHERE id IS NOT NULL AND id <> '0000000000'
+)"""
+
+
+def pedigree_inbreeding() -> str:
+    return _with(_pedigree("SELECT DISTINCT ketto_toroku_bango AS root_id FROM jvd_um"), _ANCESTORS) + """,
+ways AS (
+  SELECT a.root_id, a.pos, a.id, length(a.pos) - 2 AS steps, list(b.id) FILTER (WHERE b.id IS NOT NULL) AS way
+  FROM anc a LEFT JOIN anc b ON b.root_id = a.root_id AND length(b.pos) < length(a.pos) AND starts_with(a.pos, b.pos)
+  GROUP BY a.root_id, a.pos, a.id
+),
+met AS (
+  SELECT s.root_id, s.id, s.steps + d.steps AS steps FROM ways s JOIN ways d ON d.root_id = s.root_id AND d.id = s.id
+  WHERE starts_with(s.pos, '11') AND starts_with(d.pos, '12') AND NOT list_has_any(COALESCE(s.way, []), COALESCE(d.way, []))
+),
+m AS (
+  SELECT root_id, count(DISTINCT id) AS common_ancestors, count(*) AS path_pairs, sum(16 >> steps)::BIGINT AS f FROM met GROUP BY root_id
+),
+l AS (
+  SELECT root_id, arg_max(id, length(pos)) FILTER (WHERE pos IN ('11', '111', '1111')) AS sire_line_id,
+    arg_max(id, length(pos)) FILTER (WHERE pos IN ('12', '122', '1222')) AS dam_line_id
+  FROM anc GROUP BY root_id
+)
+SELECT g1.root_id AS horse_id, COALESCE(common_ancestors, 0) AS common_ancestors, COALESCE(path_pairs, 0) AS path_pairs,
+  COALESCE(f, 0) AS inbreeding_32nds, COALESCE(f, 0) / 32.0::DOUBLE AS inbreeding, sire_line_id, dam_line_id
+FROM (SELECT DISTINCT root_id FROM g1) g1 LEFT JOIN m ON m.root_id = g1.root_id LEFT JOIN l ON l.root_id = g1.root_id"""
+
+
+def line_cross_roi(since_year: int = 2000, min_races: int = 20) -> str:
+    crosses = """
+crosses AS (
+  SELECT a.root_id, a.id AS sire_sire_id, b.id AS dam_sire_id FROM anc a JOIN anc b ON b.root_id = a.root_id
+  WHERE a.pos = '111' AND b.pos = '121'
+)"""
+    return _with(_rated(False), _pedigree("SELECT DISTINCT ketto_toroku_bango AS root_id FROM jvd_um"), _ANCESTORS, crosses) + "\n" + _report(
+        "rated JOIN crosses ON crosses.root_id = rated.horse_id", ["sire_sire_id", "dam_sire_id"],
+        ("total_races", "wins", "win_rate", "roi_percentage", "avg_win_odds"), f"kaisai_nen >= '{since_year}'", min_races)
+
+
+def pedigree_rows_with_stock() -> str:
+    stock = f"""
+jvd_hn AS (
+  SELECT {_pad("CAST(9000000000 + p_partkey AS VARCHAR)", 10)} AS no,
+    CASE WHEN p_partkey % 26 = 0 THEN {_pad("CAST(p_partkey // 5 + 1 AS VARCHAR)", 10)} END AS reg, 'STOCK ' || p_partkey AS bamei,
+    CASE WHEN p_partkey % 3 <> 0 THEN {_pad("CAST(p_partkey // 39 * 13 + 9000000000 AS VARCHAR)", 10)}
+         ELSE {_pad("CAST(p_partkey // 39 + 1 AS VARCHAR)", 10)} END AS sire_no,
+    CASE WHEN p_partkey % 4 <> 0 THEN {_pad("CAST(p_partkey // 39 * 26 + 9000000000 AS VARCHAR)", 10)} END AS dam_no
+  FROM part WHERE p_partkey % 13 = 0
+),
+ids AS (SELECT no, COALESCE(reg, no) AS id FROM jvd_hn),
+stock AS (
+  SELECT i.id, min(h.bamei) AS name,
+    min(CASE WHEN COALESCE(s.id, h.sire_no) NOT IN ('0000000000', i.id) THEN COALESCE(s.id, h.sire_no) END) AS sire_id,
+    min(CASE WHEN COALESCE(d.id, h.dam_no) NOT IN ('0000000000', i.id) THEN COALESCE(d.id, h.dam_no) END) AS dam_id
+  FROM jvd_hn h JOIN ids i ON i.no = h.no LEFT JOIN ids s ON s.no = h.sire_no LEFT JOIN ids d ON d.no = h.dam_no GROUP BY i.id
+),
+named AS (SELECT id, name FROM stock),
+own AS (
+  SELECT u.ketto_toroku_bango AS id, trim(u.bamei) AS name,
+    CASE WHEN COALESCE(s.id, ketto_joho_01a) NOT IN ('0000000000', u.ketto_toroku_bango) THEN COALESCE(s.id, ketto_joho_01a) END AS sire_id,
+    trim(ketto_joho_01b) AS sire_name,
+    CASE WHEN COALESCE(d.id, ketto_joho_02a) NOT IN ('0000000000', u.ketto_toroku_bango) THEN COALESCE(d.id, ketto_joho_02a) END AS dam_id,
+    trim(ketto_joho_02b) AS dam_name
+  FROM jvd_um u LEFT JOIN ids s ON s.no = u.ketto_joho_01a LEFT JOIN ids d ON d.no = u.ketto_joho_02a
+),
+um AS (
+  SELECT COALESCE(o.id, k.id) AS id, COALESCE(o.name, k.name) AS name, COALESCE(o.sire_id, k.sire_id) AS sire_id,
+    CASE WHEN o.sire_id IS NOT NULL THEN o.sire_name ELSE ns.name END AS sire_name,
+    COALESCE(o.dam_id, k.dam_id) AS dam_id, CASE WHEN o.dam_id IS NOT NULL THEN o.dam_name ELSE nd.name END AS dam_name
+  FROM own o FULL JOIN stock k ON k.id = o.id
+  LEFT JOIN named ns ON ns.id = COALESCE(o.sire_id, k.sire_id) LEFT JOIN named nd ON nd.id = COALESCE(o.dam_id, k.dam_id)
+)"""
+    steps = _pedigree("SELECT id AS root_id FROM um")
+    steps = steps[steps.index("roots AS"):]
+    return _with(stock, "\n" + steps) + """
+SELECT root_id, horse_id, horse_name, sire_id, sire_name, dam_id, dam_name, generation, position
+FROM pedigree"""

@@ -9,6 +9,10 @@ data has entities and grows with it).
 * horse requests: every horse × track type × going a runner raced under
   (runners of horses missing from the horse table included), plus one
   track/going pair per horse that never occurs (other track, firm going);
+* point-in-time requests: the same conditions and classes on every day that
+  a runner raced under them (as asked just before the race), and once for a
+  jockey or horse that does not exist;
+* name requests: every jockey on every day it raced, and forty days after;
 * pedigree roots: every horse of the horse table / every runner's horse.
 """
 
@@ -18,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from furlong.functions import buckets as B
+from furlong.operators.as_of import race_day
 from furlong.schema import RACE_KEY, RaceTables
 
 # --- Fixed values -----------------------------------------------------------
@@ -80,6 +85,33 @@ def horse_requests(t: RaceTables) -> DataFrame:
             .distinct())
 
 
+def jockey_days(t: RaceTables) -> DataFrame:
+    """jockey_id, course_name, track_type, distance_category, as_of."""
+    runs = _runs(t).select(
+        F.col("kishu_code").alias("jockey_id"),
+        B.course_name(F.col("keibajo_code")).alias("course_name"),
+        B.track_type(F.col("track_code")).alias("track_type"),
+        B.distance_category(F.col("kyori").try_cast("int")).alias("distance_category"),
+        race_day().alias("as_of"),
+    ).distinct()
+    return runs.unionByName(runs.withColumn("jockey_id", F.concat(F.lit(UNKNOWN_JOCKEY_PREFIX), F.col("jockey_id"))).select(
+        "jockey_id", "course_name", "track_type", "distance_category", F.lit(None).cast("date").alias("as_of")).distinct())
+
+
+def horse_days(t: RaceTables) -> DataFrame:
+    """horse_id, track_type, track_condition, as_of."""
+    track, shiba, dirt = F.col("track_code"), F.col("babajotai_code_shiba"), F.col("babajotai_code_dirt")
+    return _runs(t).select(
+        F.col("ketto_toroku_bango").alias("horse_id"), B.track_type(track).alias("track_type"),
+        B.track_condition(track, shiba, dirt).alias("track_condition"), race_day().alias("as_of")).distinct()
+
+
+def name_days(t: RaceTables) -> DataFrame:
+    """jockey_id, as_of."""
+    days = t.runners.select(F.col("kishu_code").alias("jockey_id"), race_day().alias("day")).distinct()
+    return days.select("jockey_id", F.explode(F.array(F.col("day"), F.date_add("day", 40))).alias("as_of")).distinct()
+
+
 def registered_horses(t: RaceTables) -> DataFrame:
     return t.horses.select(F.col("ketto_toroku_bango").alias("horse_id"))
 

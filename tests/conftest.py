@@ -10,7 +10,9 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 from furlong.plans.session import ensure_checkpoint_dir, local_session  # noqa: E402
-from furlong.schema import HORSES_SCHEMA, RACES_SCHEMA, RUNNERS_SCHEMA, RaceTables  # noqa: E402
+from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
+
+from furlong.schema import HORSES_SCHEMA, PAYOUTS_SCHEMA, RACES_SCHEMA, RUNNERS_SCHEMA, RaceTables  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
@@ -49,10 +51,13 @@ HORSE_DEFAULTS = {"ketto_toroku_bango": "H1", "bamei": "Horse One", "ketto_joho_
 @pytest.fixture
 def tables(spark):
     """Build RaceTables from lists of partial row dicts (defaults fill the rest)."""
-    def build(races=(), runners=(), horses=()) -> RaceTables:
+    def build(races=(), runners=(), horses=(), payouts=None, extra=()) -> RaceTables:
+        """``extra``: names of further runner columns."""
+        of_runner = StructType([*RUNNERS_SCHEMA.fields, *[StructField(c, StringType()) for c in extra]])
         return RaceTables(
             _frame(spark, RACES_SCHEMA, list(races) or [{}], RACE_DEFAULTS),
-            _frame(spark, RUNNERS_SCHEMA, list(runners), RUNNER_DEFAULTS),
+            _frame(spark, of_runner, list(runners), RUNNER_DEFAULTS),
             _frame(spark, HORSES_SCHEMA, list(horses), HORSE_DEFAULTS),
+            None if payouts is None else _frame(spark, PAYOUTS_SCHEMA, list(payouts), RACE_DEFAULTS),
         )
     return build
