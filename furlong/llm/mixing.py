@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from furlong.llm.common import SPACE, discard, staged, text_or_empty, unused_prefix, words
 
 RESULT = ("size", "source_size", "target", "epochs", "taken")
-ROWS_PER_BUCKET = 20_000
+ROWS_PER_BUCKET = 2_000
 BROADCAST_SOURCES = 100_000  # rows of the plan (one a source) up to which it is broadcast
 
 
