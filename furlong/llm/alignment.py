@@ -22,8 +22,8 @@ the seam closes to one group.  A range without a common end is all prefix.
 Then every link's id pair is counted over the corpus, and each document adds
 up the counts of its links, and how many of them are the best of their B id.
 
-Scale: texts are tokenized once; a task keeps the tokens of up to ``KNOWN``
-runs between spaces.  Links are kept as 32-bit numbers and counted per task
+Scale: texts are tokenized once; a Python worker keeps the tokens of up to
+``KNOWN`` runs between spaces.  Links are kept as 32-bit numbers and counted per task
 before they meet.  The best count of each B id is a table bounded by the
 vocabulary.  Pairs with at least a ``HOT``-th of all links are ``HOT`` at most,
 whatever the corpus, and so are broadcast; the links of the others, each pair a
@@ -42,7 +42,7 @@ import hashlib
 import itertools
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from operator import itemgetter
 
@@ -57,13 +57,14 @@ from furlong.llm.common import discard, kept_by_worker, staged
 
 CHUNK = 1 << 16  # characters of a range
 FAN = 16  # fragments composed by one task in a round
-KNOWN = 400_000  # runs between spaces whose tokens a task keeps
+KNOWN = 200_000  # runs between spaces whose tokens a Python worker keeps
 RUN = 64  # characters up to which a run is kept
 HOT = 200_000
 COUNTED = 1 << 22  # links that a task counts at once
 
 _CUT = re.compile(r"(?<=\S) (?=.)", re.DOTALL)
 _EMPTY = np.zeros(0, np.int32)
+_COUNTS, _TEXT, _LINKS = itemgetter(0), itemgetter(1), itemgetter(2)  # of what is known of a run
 
 
 # --- the monoid ---------------------------------------------------------------
@@ -156,43 +157,95 @@ class Tokenizers:
         if len(self.bytes_a) * self.size_b > 1 << 32:
             raise ValueError("pairs of ids do not fit into 32 bits")
         self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.known: dict[str, tuple] = {}
-
-    def _run(self, run: str, a: list[int], b: list[int]) -> tuple:
-        """What is known of one run and the space before it: numbers of A tokens,
-        B tokens and groups, whether the bytes agree, the groups' text, the
-        links' pairs, and the ids.  Nothing is open at its ends."""
-        raw = b" " + run.encode()
-        if b"".join([self.bytes_a[k] for k in a]) != raw or b"".join([self.bytes_b[k] for k in b]) != raw:
-            return 0, 0, 0, False, b"", b"", a, b
-        groups, pairs = [], []
-        i = j = i0 = j0 = at_a = at_b = 0
-        while i < len(a):
-            at_a += len(self.bytes_a[a[i]])
-            i += 1
-            while at_b < at_a:
-                at_b += len(self.bytes_b[b[j]])
-                j += 1
-            if at_a == at_b:
-                groups.append(",".join(map(str, a[i0:i])) + "|" + ",".join(map(str, b[j0:j])))
-                pairs.append(a[i - 1] * self.size_b + b[j - 1])
-                i0, j0 = i, j
-        return (len(a), len(b), len(groups), True, ";".join(groups).encode(), np.array(pairs, np.uint32).tobytes(), a, b)
-
-    def of(self, all_runs: list[str]) -> dict[str, tuple]:
-        """The entries of runs, from those that are kept or from the tokenizers."""
-        new = list(set(all_runs).difference(self.known))
-        if not new:
-            return self.known
-        if len(self.known) > KNOWN:
-            self.known.clear()
-            new = list(set(all_runs))
-        a = [e.ids for e in self.a.encode_batch_fast([" " + r for r in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
+        numbers = range(max(len(self.bytes_a), self.size_b))
+        self._table_a, self._table_b = np.array(self.bytes_a, object), np.array(self.bytes_b, object)
+        self.text = {sign: np.array([f"{k}{sign}".encode() for k in numbers], object) for sign in (",", "|", ";", "")}
+        self.young: dict[str, tuple[int, bytes, bytes]] = {}
+        self.old: dict[str, tuple[int, bytes, bytes]] = {}
+
+    def ids(self, some: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """The ids of runs, with the space before each."""
+        a = [e.ids for e in self.a.encode_batch_fast([" " + r for r in some], add_special_tokens=False)]
+        return a, self.b.encode(some, num_threads=1)
+
+    def agree(self, raw: bytes, a: Iterable[int], b: Iterable[int]) -> bool:
+        return b"".join([self.bytes_a[k] for k in a]) == raw and b"".join([self.bytes_b[k] for k in b]) == raw
+
+    def of(self, all_runs: list[str]) -> dict[str, tuple[int, bytes, bytes]]:
+        """What is known of runs, each aligned by itself, since nothing is open at
+        the ends of a run: the numbers of its A and B tokens (and a mark if the
+        bytes do not agree; see :func:`counts_of`), its groups' text and the
+        pairs of its links.  Kept are the runs of this call and, in two
+        generations, up to ``KNOWN`` others: those not met for long go first."""
+        if len(self.young) > KNOWN // 2:
+            self.young, self.old = {}, self.young
+        new = set(all_runs).difference(self.young)
+        for r in [r for r in new if r in self.old]:
+            self.young[r] = self.old[r]
+            new.discard(r)
         long = {}
-        for run, x, y in zip(new, a, b, strict=True):
-            (self.known if len(run) <= RUN else long)[run] = self._run(run, x, y)
-        return {**{r: self.known[r] for r in set(all_runs).difference(long)}, **long} if long else self.known
+        if new:
+            some = list(new)
+            for run, entry in zip(some, self._aligned(some), strict=True):
+                (self.young if len(run) <= RUN else long)[run] = entry
+        return {**{r: self.young[r] for r in set(all_runs).difference(long)}, **long} if long else self.young
+
+    def _aligned(self, some: list[str]) -> list[tuple[int, bytes, bytes]]:
+        a, b = self.ids(some)
+        raw = [b" " + r.encode() for r in some]
+        all_a, all_b = (np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in (a, b))
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        everything = b"".join(raw)
+        same = all(b"".join(table[ids].tolist()) == everything for table, ids in (
+            (self._table_a, all_a), (self._table_b, all_b)))
+        fine = np.ones(len(some), bool)
+        if not same or (sum_of(self.len_a[all_a], n_a) != size).any() or (sum_of(self.len_b[all_b], n_b) != size).any():
+            fine = np.array([self.agree(*x) for x in zip(raw, a, b, strict=True)])
+            all_a, all_b = all_a[np.repeat(fine, n_a)], all_b[np.repeat(fine, n_b)]
+        na, nb, stop = n_a[fine], n_b[fine], np.cumsum(size[fine])
+        # the runs one after another are one text, with a common end behind each
+        a_end, b_end = np.cumsum(self.len_a[all_a]), np.cumsum(self.len_b[all_b])
+        ends = np.intersect1d(a_end, b_end)
+        at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        pairs = all_a[at_a].astype(np.uint32) * np.uint32(self.size_b) + all_b[at_b].astype(np.uint32)
+        # the tokens in the order in which the groups name them, with the sign behind each
+        group_a, group_b = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
+        behind_a = np.arange(len(all_a)) + np.concatenate(([0], at_b + 1))[group_a]
+        behind_b = np.arange(len(all_b)) + (at_a + 1)[group_b]
+        text = np.empty(len(all_a) + len(all_b), object)
+        last_a, last_b = np.zeros(len(all_a), bool), np.zeros(len(all_b), bool)
+        last_a[at_a], last_b[at_b] = True, True
+        final = last_b & np.isin(b_end, stop)
+        for where, place, ids, sign in ((~last_a, behind_a, all_a, ","), (last_a, behind_a, all_a, "|"), (~last_b, behind_b, all_b, ","),
+                                        (last_b & ~final, behind_b, all_b, ";"), (final, behind_b, all_b, "")):
+            text[place[where]] = self.text[sign][ids[where]]
+        text = text.tolist()
+        to = np.cumsum(na + nb).tolist()
+        links = pairs.tobytes()
+        link_to = (4 * np.searchsorted(ends, stop, "right")).tolist()
+        out, at, link_at, k = [], 0, 0, 0
+        counts = (n_a | n_b << 24).tolist()
+        for i, good in enumerate(fine.tolist()):
+            if not good:
+                out.append((1 << 48, b"", b""))
+                continue
+            out.append((counts[i], b"".join(text[at:to[k]]), links[link_at:link_to[k]]))
+            at, link_at = to[k], link_to[k]
+            k += 1
+        return out
+
+
+def sum_of(values: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of consecutive pieces of ``n`` values each."""
+    total = np.concatenate(([0], np.cumsum(values)))
+    at = np.cumsum(n)
+    return total[at] - total[at - n]
+
+
+def counts_of(total: int) -> tuple[int, int, bool]:
+    """A tokens, B tokens, and whether all bytes agreed, of a sum of marks."""
+    return total & 0xFFFFFF, total >> 24 & 0xFFFFFF, not total >> 48
 
 
 def runs(text: str) -> list[str]:
@@ -244,19 +297,19 @@ def _whole(docs: DataFrame, sent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _tokenizers(sent)
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                b = whole.slice(start, 1000)
+            for start in range(0, whole.num_rows, 500):
+                b = whole.slice(start, 500)
                 texts = [runs(x) if x else [] for x in b.column(1).to_pylist()]
                 known = t.of([r for x in texts for r in x])
                 rows = []
                 for x in texts:
                     found = [known[r] for r in x]
-                    if not found or not all(map(itemgetter(3), found)):
+                    n_a, n_b, fine = counts_of(sum(map(_COUNTS, found)))
+                    if not found or not fine:
                         rows.append((0, 0, 0, "", b""))
                         continue
-                    digest = hashlib.sha256(b";".join(map(itemgetter(4), found))).hexdigest()
-                    rows.append((*(sum(map(itemgetter(k), found)) for k in (0, 1, 2)), digest,
-                                 b"".join(map(itemgetter(5), found))))
+                    links = b"".join(map(_LINKS, found))
+                    rows.append((n_a, n_b, len(links) // 4, hashlib.sha256(b";".join(map(_TEXT, found))).hexdigest(), links))
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
                 columns = list(zip(*rows, strict=True)) or [()] * 5
                 yield pa.RecordBatch.from_arrays(
@@ -306,15 +359,13 @@ def _leaves(chunks: DataFrame, sent) -> DataFrame:
         schema = None
         for b in batches:
             for row, k, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
-                x = runs(text.as_py())
-                known = t.of(x)
-                found = [known[r] for r in x]
-                fine = all(map(itemgetter(3), found))
+                found = t.ids(runs(text.as_py()))
+                fine = t.agree(b" " + text.as_py().encode(), *map(itertools.chain.from_iterable, found))
                 out = Fragment()
                 link_a = link_b = _EMPTY
                 n_a = n_b = 0
                 if fine:
-                    a, bb = (np.fromiter(itertools.chain.from_iterable(map(itemgetter(i), found)), np.int32) for i in (6, 7))
+                    a, bb = (np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in found)
                     out, link_a, link_b = fragment(a, np.cumsum(t.len_a[a]), bb, np.cumsum(t.len_b[bb]), k)
                     n_a, n_b = len(a), len(bb)
                 inner = b";".join(x for _, x in out.body)
