@@ -14,7 +14,8 @@ one long text is encoded piece by piece.
 
 Defined results: null and empty texts have no ids and decode to no bytes;
 repeated rows are encoded alike; columns other than the id and the text are
-ignored; an empty table gives an empty result.
+ignored; an empty table gives an empty result.  With a splitting pattern other
+than ``PATTERN`` texts are encoded whole: the boundaries hold for this one.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ from pyspark.sql import functions as F
 PIECE = 50_000  # characters after which a safe boundary is looked for
 SPACE_RUN = 1_000  # longer runs of white space are tokens of their own, past the regex
 
+# Fixed value: the splitting pattern whose matches cross no boundary of this module.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 # The white space of the splitting pattern (Unicode White_Space;
 # Python's own \\s also takes \\x1c to \\x1f, which that pattern does not).
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -68,7 +72,7 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
 
 def encode(enc, text: str) -> list[int]:
     """The ids that ``enc.encode_ordinary`` gives for the whole text."""
-    if len(text) <= PIECE:
+    if len(text) <= PIECE or enc._pat_str != PATTERN:
         return enc.encode_ordinary(text)
     out: list[int] = []
     for piece in pieces(text):

@@ -120,7 +120,7 @@ def _turns(conversations: DataFrame) -> DataFrame:
 
 
 FORMATTED = ("conv_id bigint, turn bigint, role string, rendered string, loss_start bigint, "
-             "loss_end bigint, level int")
+             "loss_end bigint, level int, place bigint")
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
@@ -128,11 +128,16 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
     conversation lie together in one partition): ``rendered`` (the formatted
     conversation is their concatenation), the span under the loss mask
     (``loss_start``, ``loss_end``: code points within ``rendered`` of the
-    escaped text of assistant turns; null for others) and the escape
-    ``level`` that the round trip needed."""
+    escaped text of assistant turns; null for others), the escape ``level`` that
+    the round trip needed, and the turn's ``place`` in its conversation (from 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, place = object(), 0
         for b in batches:
             cols = b.to_pydict()
+            places = []
+            for conv in cols["conv_id"]:
+                last, place = conv, place + 1 if conv == last else 0
+                places.append(place)
             out = [render_turn(r, t) for r, t in zip(cols["role"], cols["text"], strict=True)]
             loss = [r == "assistant" for r in cols["role"]]
             yield pa.RecordBatch.from_arrays([
@@ -140,8 +145,8 @@ def format_conversations(conversations: DataFrame) -> DataFrame:
                 pa.array([x[0] for x in out], pa.string()),
                 pa.array([x[1] if m else None for x, m in zip(out, loss, strict=True)], pa.int64()),
                 pa.array([x[2] if m else None for x, m in zip(out, loss, strict=True)], pa.int64()),
-                pa.array([x[3] for x in out], pa.int32())],
-                names=["conv_id", "turn", "role", "rendered", "loss_start", "loss_end", "level"])
+                pa.array([x[3] for x in out], pa.int32()), pa.array(places, pa.int64())],
+                names=["conv_id", "turn", "role", "rendered", "loss_start", "loss_end", "level", "place"])
 
     return _turns(conversations).mapInArrow(run, FORMATTED)
 
@@ -154,7 +159,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """One row per conversation, read from its rendered turns alone: number and
     digest of the parsed turns, length and digest of the unescaped text under
     the loss mask, formatted length, turns that needed escapes.  ``formatted``
-    is the output of :func:`format_conversations` (its row order is used)."""
+    is the output of :func:`format_conversations` in its own row order; rows
+    that have been moved since are an error."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in DIGESTS.split(", ")]
         state = None
@@ -171,12 +177,16 @@ def read_back(formatted: DataFrame) -> DataFrame:
         for b in batches:
             done = []
             c = b.to_pydict()
-            for conv, text, lo, hi in zip(c["conv_id"], c["rendered"], c["loss_start"], c["loss_end"], strict=True):
+            for conv, text, lo, hi, place in zip(c["conv_id"], c["rendered"], c["loss_start"], c["loss_end"], c["place"], strict=True):
+                expected = 0 if state is None or state["id"] != conv else state["rows"]
+                if place != expected:
+                    raise ValueError(f"conversation {conv}: turn {place} stands where turn {expected} belongs")
                 if state is None or state["id"] != conv:
                     if state is not None:
                         done.append(flush(state))
                     state = {"id": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0,
-                             "loss": hashlib.sha256(), "len": 0, "escaped": 0}
+                             "loss": hashlib.sha256(), "len": 0, "escaped": 0, "rows": 0}
+                state["rows"] += 1
                 state["len"] += len(text)
                 for role, body, start, end in Parser().turns(text):
                     state["n"] += 1

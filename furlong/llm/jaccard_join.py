@@ -20,9 +20,14 @@ the links, from which the components come.
 
 Scale: one pass over the texts makes the fingerprint of each set and its
 lowest-hashed tokens; frequencies, keys and candidates come from these.
-Only candidates' texts are read again.  Equal sets are one node.  Frequent
-tokens number at most ``MAX_FREQUENT`` by choice of the threshold, and so
-are broadcast.  A cluster of any size is cut into tiles of about
+Only candidates' texts are read again.  Equal sets are one node.  A token is
+frequent from ``FREQUENT`` sets on, whatever the size of the corpus, so the
+lists of single tokens stay that short.  Which tokens are frequent is
+broadcast as a bitmap of ``BITS`` bits, of one size for any corpus: a bit
+stands for all tokens that hash to it, and all of them are called frequent if
+one is.  That loses nothing, since all sets call a token alike; it only
+costs longer prefixes once a corpus has many more frequent tokens than
+``BITS``.  A cluster of any size is cut into tiles of about
 ``TILE_MAX`` sets and ``TILE_TOKENS`` tokens at most; a set stays whole.
 
 Defined results: null and empty texts have no shingles and link with
@@ -47,8 +52,8 @@ from furlong.llm.common import discard, staged
 from furlong.llm.components import components
 from furlong.llm.flat_text import chunks, mix64, word_hashes
 
-FREQUENT = 32  # documents from which a token is frequent, at least
-MAX_FREQUENT = 500_000
+FREQUENT = 32  # sets from which a token is frequent
+BITS = 1 << 26  # of the bitmap of frequent tokens: 8 MB
 GROUP = 4  # frequent tokens of a prefix that fall into one group, about
 TILE_MIN, TILE_MAX, TILES = 128, 2048, 20
 TILE_TOKENS = 4 << 20  # tokens of a tile, about (a set is whole)
@@ -125,7 +130,8 @@ def sketches(docs: DataFrame, rule: Rule) -> DataFrame:
 
 def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, int]:
     """Single-token keys and combination keys of one set, and the number of its
-    tokens behind its prefix (-1 if the single rare tokens did not suffice)."""
+    tokens behind its prefix (-1 if the single rare tokens did not suffice).
+    ``frequent``: frequent tokens, in order; those of this set suffice."""
     need = rule.may_lack(n) + 1
     known = low[:int(np.searchsorted(low, rule.known))]
     if len(frequent) and len(known):
@@ -158,9 +164,29 @@ def prefix_keys(low: np.ndarray, n: int, frequent: np.ndarray, rule: Rule) -> tu
     return rare, np.unique(np.concatenate(keys)).view(np.int64), -1
 
 
-def _keys(sketch: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
+def frequent_bitmap(tokens: DataFrame, bits: int) -> np.ndarray:
+    """The bitmap (64-bit words) of the column ``t``: at most ``bits / 64`` rows
+    reach the driver."""
+    place = F.shiftright("t", 20).bitwiseAND(F.lit(bits - 1))
+    table = tokens.select(place.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))).alias("mask")).toArrow()
+    out = np.zeros(max(1, bits // 64), np.int64)
+    out[table["word"].to_numpy()] = table["mask"].to_numpy()
+    return out.view(np.uint64)
+
+
+def called_frequent(bitmap: np.ndarray, tokens: np.ndarray, bits: int) -> np.ndarray:
+    place = (tokens >> 20) & (bits - 1)
+    return (bitmap[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
+def _keys(sketch: DataFrame, bitmap: np.ndarray, rule: Rule) -> DataFrame:
     """``key, node, n, behind, single``, one row per index key of each set."""
-    sent = sketch.sparkSession.sparkContext.broadcast(frequent)
+    sent, bits = sketch.sparkSession.sparkContext.broadcast(bitmap), BITS
+
+    def keys_of(low: np.ndarray, n: int, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        known = low[:int(np.searchsorted(low, rule.known))]
+        return prefix_keys(low, n, known[called_frequent(often, known, bits)], rule)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = sent.value
@@ -168,7 +194,7 @@ def _keys(sketch: DataFrame, frequent: np.ndarray, rule: Rule) -> DataFrame:
             for k in range(0, whole.num_rows, 500):
                 b = whole.slice(k, 500)
                 n, node = b.column(0).to_numpy(), b.column(1).to_numpy()
-                found = [prefix_keys(x.values.to_numpy(zero_copy_only=False), int(m), often, rule)
+                found = [keys_of(x.values.to_numpy(zero_copy_only=False), int(m), often)
                          for x, m in zip(b.column(2), n, strict=True)]
                 size = [len(x) + len(y) for x, y, _ in found]
                 yield pa.RecordBatch.from_arrays(
@@ -193,8 +219,8 @@ def _listed(keys: DataFrame) -> DataFrame:
 def _candidates(listed: DataFrame, percent: int) -> DataFrame:
     """Links between sets that may be similar (``a, b``).
 
-    Sets that share single rare tokens (less than the frequency threshold, so
-    lists are short) are paired if their sizes fit and the shared tokens plus
+    Sets that share single rare tokens (lists of less than ``FREQUENT`` rows, or
+    few more where rows have equal sets) are paired if their sizes fit and the shared tokens plus
     the tokens behind the prefix can make up the wanted overlap: of the two,
     the set whose prefix ends first has every shared token in both prefixes or
     behind its own.  The sets of a combination key hang on the smallest one."""
@@ -285,12 +311,8 @@ def links(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
     """``node, component``: sets that are linked with another set."""
     tokens = sketch.select(F.explode(F.filter("low", lambda x: x < rule.known)).alias("t")).groupBy("t").agg(
         F.count(F.lit(1)).alias("df")).where(F.col("df") >= FREQUENT)
-    tokens = staged(tokens, "tokens")
-    # at most MAX_FREQUENT tokens can stand total / MAX_FREQUENT times or more
-    total = tokens.agg(F.sum("df")).first()[0] or 0
-    often = tokens.where(F.col("df") >= max(FREQUENT, -(-total // MAX_FREQUENT))).select("t").collect()
-    frequent = np.sort(np.array([r["t"] for r in often], np.int64))
-    keys = staged(_keys(sketch, frequent, rule), "keys")
+    tokens = staged(tokens.select("t"), "tokens")
+    keys = staged(_keys(sketch, frequent_bitmap(tokens, BITS), rule), "keys")
     listed = staged(_listed(keys), "lists")
     hung = components(_candidates(listed, rule.percent))
     clusters = staged(hung.withColumnRenamed("component", "cluster"), "clusters")

@@ -6,9 +6,9 @@ repetition, through one tanh layer); gated attention learnt from the
 document labels weighs the passages; the weighted mean is scored.
 
 Scale: one pass over the documents in Arrow batches, no shuffle.  The model
-is trained on the driver on the passage features of a bounded sample
-(``per_class`` documents of each class with at most ``max_passages``
-passages each), and is a few thousand numbers in the task's closure.
+is trained on the driver on the features of every passage of a bounded number
+of rows (``per_class`` of each class), and is a few thousand numbers in the
+task's closure.
 
 Defined results: null and empty texts are one passage without words;
 repeated rows get the same score; no labels of one class at all: every
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from furlong.llm.flat_text import Adam, Chunk, chunks, sigmoid, word_hashes
-from furlong.llm.labels import training_sample, warn_unused
+from furlong.llm.labels import bounded, training_sample, warn_unused
 
 PASSAGE = 64
 PAIRS = 128
@@ -133,33 +133,29 @@ def fit(bags: list[np.ndarray], y: np.ndarray, epochs: int = 25, batch: int = 64
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "quality",
-          per_class: int = 1500, max_passages: int = 256) -> dict:
-    """Fits the model on at most ``per_class`` labelled documents of each class
-    and ``max_passages`` passages of each, spread evenly over longer texts: a
-    bounded sample, so what the driver holds does not grow with the data."""
+          per_class: int = 1500) -> dict:
+    """Fits the model on every passage of whole labelled documents, at most
+    ``per_class`` rows of each class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            label = b.column(1).to_numpy(zero_copy_only=False)
+            label, ids = b.column(1).to_numpy(zero_copy_only=False), b.column(2).to_pylist()
             found: dict[int, list] = {}
             for c in chunks(b.column(0)):
                 x, part = passages(c)
                 for k, r in enumerate(c.row):
                     found.setdefault(int(r), []).append(x[part == k] if len(c.row) < 2 else x[
                         np.searchsorted(part, k):np.searchsorted(part, k, "right")])
-            rows = [(int(label[r]), np.concatenate(x)) for r, x in found.items()]
-            rows = [(y, x if len(x) <= max_passages else x[np.linspace(0, len(x) - 1, max_passages).astype(int)])
-                    for y, x in rows]
-            rows = [(y, x.astype(np.float16).tobytes()) for y, x in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in rows], pa.int32()),
-                                              pa.array([x for _, x in rows], pa.binary())], names=["y", "x"])
+            rows = [(int(label[r]), np.concatenate(x).astype(np.float16).tobytes(), ids[r]) for r, x in found.items()]
+            yield pa.RecordBatch.from_arrays([pa.array([y for y, _, _ in rows], pa.int32()), pa.array([x for _, x, _ in rows], pa.binary()),
+                                              pa.array([i for _, _, i in rows], pa.int64())], names=["label", "x", "doc_id"])
 
     sample = training_sample(docs, labels, label, usable, per_class)
-    rows = (sample.select("text", F.col("label").cast("int").alias("label"), "doc_id").drop("doc_id")
-            .mapInArrow(run, "y int, x binary").collect())
-    rows.sort(key=lambda r: (r["y"], bytes(r["x"])))
-    warn_unused(labels, label, usable, {r["y"] for r in rows})
+    features = sample.select("text", F.col("label").cast("int").alias("label"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows = bounded(features.mapInArrow(run, "label int, x binary, doc_id bigint"), per_class)
+    rows.sort(key=lambda r: (r["label"], bytes(r["x"])))
+    warn_unused(labels, label, usable, {r["label"] for r in rows})
     return fit([np.frombuffer(r["x"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in rows],
-               np.array([r["y"] for r in rows], np.float64))
+               np.array([r["label"] for r in rows], np.float64))
 
 
 def score(docs: DataFrame, model: dict, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

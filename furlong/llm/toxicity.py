@@ -15,8 +15,8 @@ are; clean documents teach with their worst and a random window.
 Scale: one pass over the documents in Arrow batches, no shuffle.  Input
 projections are computed once per distinct word of a chunk, and windows go
 through the network in blocks, so memory is bounded.  The model is trained
-on the driver on a bounded sample (``per_class`` documents of each class,
-``max_words`` words each at most) and is about 500 kB, broadcast.
+on the driver on all windows of a bounded number of rows (``per_class`` of each
+class) and is about 500 kB, broadcast.
 
 Defined results: null and empty texts are one window without words;
 repeated rows get the same score; no labels of one class at all: every score
@@ -34,8 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.flat_text import Adam, Chunk, chunks, sigmoid, word_hashes, word_spans
-from furlong.llm.labels import training_sample, warn_unused
+from furlong.llm.flat_text import Adam, Chunk, chunks, sigmoid, word_hashes
+from furlong.llm.labels import bounded, training_sample, warn_unused
 
 WINDOW, STRIDE = 32, 16
 WORD_ROWS, GRAM_ROWS = 8192, 8192
@@ -180,8 +180,8 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = 8, batch: int = 256, seed
     p = new_model(rng)
     if not len(y) or y.min() == y.max():
         return p | {"c": np.zeros_like(p["c"]), "d": np.zeros_like(p["d"])}
-    parts = list(chunks(pa.array(texts, pa.string()), lower=True, size=1 << 30))
-    c = parts[0]  # all texts at once: a bounded sample
+    # all texts at once, whole: a bounded number of rows
+    c, = chunks(pa.array(texts, pa.large_string()), lower=True, whole=True, size=1 << 60)
     words, grams, n, inverse = vocabulary(c)
     first, size, part = windows(c)
     gram_first = np.concatenate(([0], np.cumsum(n)[:-1]))
@@ -223,36 +223,11 @@ def fit(texts: list[str], y: np.ndarray, epochs: int = 8, batch: int = 256, seed
     return p
 
 
-def excerpt(text: str, max_words: int) -> str:
-    """The text, or of one with more than ``max_words`` words (or 16 times as
-    many bytes) runs of two windows' words spread evenly over it, a run to a
-    line; a run or word with more than its share of the bytes is cut."""
-    data, most = text.encode(), 16 * max_words
-    start, end = word_spans(np.frombuffer(data, np.uint8))
-    n, run = len(start), 2 * WINDOW
-    if n <= max_words and len(data) <= most:
-        return text
-    k = max(1, min(max_words // run, -(-n // run)))
-    out = []
-    for first in np.linspace(0, max(0, n - run), k).astype(int)[:n]:
-        to = min(first + run, n) - 1
-        out.append(data[start[first]:min(end[to], start[first] + most // k)].decode(errors="ignore"))
-    return "\n".join(out)
-
-
 def train(docs: DataFrame, labels: DataFrame, usable: Column, label: str = "toxic",
-          per_class: int = 1600, max_words: int = 2000) -> dict:
-    """Fits the model on at most ``per_class`` labelled documents of each class
-    and ``max_words`` words of each (see :func:`excerpt`): a bounded sample, so
-    what the driver holds does not grow with the data."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = [excerpt(t, max_words) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), b.column(2)],
-                                             names=["doc_id", "text", "label"])
-
-    sample = training_sample(docs, labels, label, usable, per_class)
-    rows = sample.mapInArrow(run, sample.schema).collect()
+          per_class: int = 1600) -> dict:
+    """Fits the model on whole labelled documents, at most ``per_class`` rows of
+    each class."""
+    rows = bounded(training_sample(docs, labels, label, usable, per_class), per_class)
     warn_unused(labels, label, usable, {r["label"] for r in rows})
     rows.sort(key=lambda r: (r["doc_id"], r["text"], r["label"]))
     model = fit([r["text"] for r in rows], np.array([r["label"] for r in rows], np.float32))

@@ -249,3 +249,28 @@ def test_substring_dedup_keeps_columns_with_its_own_names(spark):
     got = substring_dedup.deduplicated(df)
     assert got.columns == [*df.columns, "n_words", "n_removed", "kept_text"]
     assert tuples(got.select("doc_id", "n_words", "n_removed", "kept_text")) == kept_by_brute_force(awkward_rows())
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 26])
+def test_frequent_tokens_do_not_depend_on_the_size(spark, monkeypatch, bits):
+    """Every token of FREQUENT sets or more is called frequent, whatever the bitmap;
+    with one that is full all tokens are, and the join finds the same."""
+    monkeypatch.setattr(jaccard_join, "BITS", bits)
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 5)
+    rng = np.random.default_rng(1)
+    tokens = rng.integers(0, 2 ** 61, 400, dtype=np.int64)
+    bitmap = jaccard_join.frequent_bitmap(spark.createDataFrame([(int(t),) for t in tokens[:300]], "t bigint"), bits)
+    assert bitmap.nbytes == max(8, bits // 8) and jaccard_join.called_frequent(bitmap, tokens[:300], bits).all()
+    others = jaccard_join.called_frequent(bitmap, tokens[300:], bits).mean()
+    assert others > 0.99 if bits == 64 else others < 0.2
+    empty = jaccard_join.frequent_bitmap(spark.createDataFrame([], "t bigint"), bits)
+    assert not jaccard_join.called_frequent(empty, tokens, bits).any()
+    rows = awkward_rows()
+    vocabulary = [f"w{k}" for k in range(200)]
+    base = [str(rng.choice(vocabulary)) for _ in range(120)]
+    for k in range(40):
+        t = list(base)
+        t[int(rng.integers(120))] = f"x{k}"
+        rows.append((1000 + k, " ".join(t), None, None, 0))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, awkward(spark).schema), jaccard_join.Rule(3, 90))
+    assert tuples(got) == jaccard_by_brute_force(rows, 3, 90)

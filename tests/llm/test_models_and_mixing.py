@@ -192,7 +192,7 @@ def test_long_text_scores_alike_beside_other_rows(spark):
 
 @pytest.mark.parametrize("module, label", [(quality_classifier, "quality"), (toxicity, "toxic")])
 def test_classifier_learns_from_long_documents(spark, module, label):
-    """All labelled documents are over the length bounds of the sample."""
+    """Very long labelled documents are learnt from whole."""
     rng = np.random.default_rng(3)
     common, marked = [f"word{k}" for k in range(60)], ["#idiot!!", "#scum!!"]
     rows, known = [], []
@@ -210,16 +210,34 @@ def test_classifier_learns_from_long_documents(spark, module, label):
         module.train(docs.where("doc_id % 2 = 0"), labels, F.lit(True))
 
 
-def test_toxicity_excerpts():
-    short = " a\tb " + "c " * 90
-    assert toxicity.excerpt(short, 100) == short and toxicity.excerpt("", 100) == ""
-    long = " ".join(f"w{k}" for k in range(10_000))
-    got = toxicity.excerpt(long, 1000)
-    assert 900 < len(got.split()) <= 1000 and got.startswith("w0 ") and got.endswith(" w9999")
-    assert all(x in long for x in got.split("\n")) and len(set(got.split())) == len(got.split())
-    for text in ("é" * 100_000, ("é" * 5000 + " ") * 70, "x " * 65 + "y" * 10 ** 6):
-        got = toxicity.excerpt(text, 1000)
-        assert 0 < len(got.encode()) <= 16_100 and all(x in text for x in got.split("\n"))
+@pytest.mark.parametrize("module, label", [(quality_classifier, "quality"), (toxicity, "toxic")])
+def test_training_rows_are_bounded(spark, monkeypatch, module, label):
+    """One id that thousands of rows have gives no more than the bound."""
+    docs = spark.createDataFrame([(1, f"some idiot words {k}") for k in range(3000)] + [(2, "good words " * 9)] * 50 + [(3, "x")],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 1)] * 20 + [(2, 0), (3, 0), (3, None)], f"doc_id bigint, {label} int")
+    seen = []
+    monkeypatch.setattr(module, "fit", lambda rows, y: seen.append(y) or {"d": np.zeros(1)})
+    module.train(docs, labels, F.lit(True), per_class=5)
+    assert np.bincount(seen[0].astype(int)).tolist() == [5, 5]
+
+
+def test_toxicity_finds_what_the_words_tell(spark):
+    """Held-out documents with words that only toxic documents of the other folds
+    have are found; a part of the labels has no such evidence (noise)."""
+    docs, labels = read(spark, "/root/testdata/sf0.1", "documents"), read(spark, "/root/testdata/sf0.1", "labels")
+    held = fold("doc_id", 5) == 0
+    rows = docs.join(labels.where("toxic IS NOT NULL"), "doc_id").select("doc_id", "text", "toxic", held.alias("held")).collect()
+    found = [set(re.findall(r"[^\W\d_]+", (r["text"] or "").lower())) for r in rows]
+    toxic, clean = Counter(), Counter()
+    for r, w in zip(rows, found, strict=True):
+        if not r["held"]:
+            (toxic if r["toxic"] else clean).update(w)
+    telling = {w for w, n in toxic.items() if n >= 30 and not clean[w]}  # ten words
+    model = toxicity.train(docs, labels, ~held)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs.join(labels.where(held), "doc_id"), model).collect()}
+    told = [got[r["doc_id"]] for r, w in zip(rows, found, strict=True) if r["held"] and r["toxic"] == 1 and w & telling]
+    assert len(told) > 45 and np.mean(told) >= 0.98
 
 
 def test_toxicity_gradients():

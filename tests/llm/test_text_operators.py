@@ -48,6 +48,8 @@ def test_chat_conversations(spark):
     assert got[2]["escaped_turns"] == 2
     empty = chat.read_back(chat.format_conversations(df.limit(0)))
     assert empty.count() == 0
+    with pytest.raises(Exception, match="belongs"):  # rows moved between formatting and reading
+        chat.read_back(chat.format_conversations(df).repartition(3)).collect()
 
 
 def pages(spark):
@@ -183,6 +185,15 @@ def test_bpe_pieces_encode_like_the_whole(text, size, run):
     assert [i for p in bpe.pieces(text, size) for i in enc.encode_ordinary(p)] == enc.encode_ordinary(text)
 
 
+def test_bpe_of_another_pattern_cuts_nothing():
+    """The boundaries hold for the one pattern; texts are whole with any other."""
+    ranks = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read()
+    assert bpe.PATTERN == public_tokenizers.PATTERN
+    enc = bpe.encoder(ranks, r"[^a]+|a")  # matches cross white space
+    text = "b cd\n" * 30_000
+    assert bpe.encode(enc, text) == enc.encode_ordinary(text)
+
+
 def test_bpe_long_texts():
     enc = bpe.encoder(open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb").read(), public_tokenizers.PATTERN)
     for text in ("a" * 120_000 + " b", " " * 200_000 + "x", "ab \n\n  " * 20_000, "x" + "\n" * 5000 + " y " * 30_000,
