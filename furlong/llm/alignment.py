@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from furlong.llm.common import discard, kept_by_worker, staged
+from furlong.llm.common import Recent, discard, kept_by_worker, staged
 
 CHUNK = 1 << 16  # characters of a range
 FAN = 16  # fragments composed by one task in a round
@@ -160,8 +160,7 @@ class Tokenizers:
         numbers = range(max(len(self.bytes_a), self.size_b))
         self._table_a, self._table_b = np.array(self.bytes_a, object), np.array(self.bytes_b, object)
         self.text = {sign: np.array([f"{k}{sign}".encode() for k in numbers], object) for sign in (",", "|", ";", "")}
-        self.young: dict[str, tuple[int, bytes, bytes]] = {}
-        self.old: dict[str, tuple[int, bytes, bytes]] = {}
+        self.known = Recent(KNOWN)
 
     def ids(self, some: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of runs, with the space before each."""
@@ -175,20 +174,13 @@ class Tokenizers:
         """What is known of runs, each aligned by itself, since nothing is open at
         the ends of a run: the numbers of its A and B tokens (and a mark if the
         bytes do not agree; see :func:`counts_of`), its groups' text and the
-        pairs of its links.  Kept are the runs of this call and, in two
-        generations, up to ``KNOWN`` others: those not met for long go first."""
-        if len(self.young) > KNOWN // 2:
-            self.young, self.old = {}, self.young
-        new = set(all_runs).difference(self.young)
-        for r in [r for r in new if r in self.old]:
-            self.young[r] = self.old[r]
-            new.discard(r)
-        long = {}
+        pairs of its links."""
+        new, long = self.known.missing(all_runs), {}
+        known = self.known.now
         if new:
-            some = list(new)
-            for run, entry in zip(some, self._aligned(some), strict=True):
-                (self.young if len(run) <= RUN else long)[run] = entry
-        return {**{r: self.young[r] for r in set(all_runs).difference(long)}, **long} if long else self.young
+            for run, entry in zip(new, self._aligned(new), strict=True):
+                (known if len(run) <= RUN else long)[run] = entry
+        return {**{r: known[r] for r in set(all_runs).difference(long)}, **long} if long else known
 
     def _aligned(self, some: list[str]) -> list[tuple[int, bytes, bytes]]:
         a, b = self.ids(some)

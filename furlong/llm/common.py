@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -114,6 +114,25 @@ def kept_by_worker(name: str, version: object, make: Callable[[], object]) -> ob
     return memory[name][1]
 
 
+class Recent:
+    """Values by key in two generations of up to ``most / 2`` each: what has not
+    been asked for during a whole generation goes.  ``now`` is the dict to look
+    the keys of the last :meth:`missing` up in."""
+
+    def __init__(self, most: int):
+        self.half, self.now, self.before = most // 2, {}, {}
+
+    def missing(self, keys: Iterable) -> list:
+        """The keys that are not known; the others are in ``now``."""
+        if len(self.now) > self.half:
+            self.now, self.before = {}, self.now
+        new = set(keys).difference(self.now)
+        for k in [k for k in new if k in self.before]:
+            self.now[k] = self.before[k]
+            new.discard(k)
+        return list(new)
+
+
 def unused_prefix(df: DataFrame, prefix: str) -> str:
     """``prefix``, longer by underscores until no column of ``df`` begins with it."""
     while any(c.lower().startswith(prefix.lower()) for c in df.columns):

@@ -17,8 +17,8 @@ their own.
 
 Tokens: this vocabulary drops white space and its splitting pattern matches
 nothing across it, so a text has the ids of its words one after another;
-``tokens`` keeps the ids of up to ``KNOWN`` words and asks the library for the
-others.
+a Python worker keeps the ids of up to ``KNOWN`` words and asks the library
+for the others, for many words at once.
 
 Defined results: null and empty texts are the end id alone; repeated rows and
 rows without an id are documents of their own; very long texts are read in
@@ -33,7 +33,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -42,18 +42,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from furlong.llm.common import kept_by_worker, staged
+from furlong.llm.common import Recent, kept_by_worker, staged
 
 WINDOW = 4096
 END = 2
 GROUP = 10_000
 LOOSE = 128  # tokens of room from which a window is packed anew
 PART = 1 << 20
-KNOWN = 300_000  # words whose ids a task keeps
+KNOWN = 400_000  # words whose ids a Python worker keeps
 WORD = 64  # bytes up to which a word is kept
 
 _SPACE = re.compile(rb"[\t-\r ]")
 
+# Words of ASCII signs (no apostrophe, no "<": contractions and special tokens
+# are written with them), digits and Latin-1 letters, which normalization only
+# lowers; and the matches of the splitting pattern in such words: runs of
+# letters, single digits, runs of signs.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(f"[{_LETTERS}0-9!-&(-/:;=-@\\[-`{{-~]+")
+_MATCHES = re.compile(f"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+
 
 class Tokens:
     """Token ids of texts, by a tokenizer that drops white space."""
@@ -63,22 +71,47 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition.decode())
-        self.known: dict[bytes, list[int]] = {}
-
-    def _ids(self, words: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a match of the splitting pattern
+        for entry, k in self.tokenizer.get_vocab().items():
+            self.ends[k] = entry.endswith("</w>")
+        self.known = Recent(KNOWN)
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes] | None:
+        """The ids of words of plain characters, tokenized as one text: how many
+        matches the splitting pattern has in such a word is known, and where
+        they end in the ids."""
+        ids = np.array(self._ids([" ".join(words)])[0], np.uint32)
+        matches = np.cumsum([len(_MATCHES.findall(w)) for w in words])
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != matches[-1]:
+            return None
+        raw, to = ids.tobytes(), ((ends[matches - 1] + 1) * 4).tolist()
+        return [raw[i:j] for i, j in zip([0, *to], to, strict=False)]
+
+    def learn(self, words: Iterable[bytes]) -> Callable[[bytes], bytes]:
+        """Looks up the ids (as bytes of 32-bit numbers) of any of the words."""
+        new, once = self.known.missing(words), {}
+        known = self.known.now
+        if new:
+            texts = [w.decode() for w in new]
+            plain = [k for k, t in enumerate(texts) if _PLAIN.fullmatch(t)]
+            found: dict[int, bytes] = {}
+            for k in range(0, len(plain), 1000):
+                part = plain[k:k + 1000]
+                ids = self._plain([texts[i] for i in part])
+                if ids is not None:
+                    found.update(zip(part, ids, strict=True))
+            rest = [k for k in range(len(new)) if k not in found]
+            found.update(zip(rest, [np.array(x, np.uint32).tobytes() for x in self._ids([texts[k] for k in rest])], strict=True))
+            for k, w in enumerate(new):
+                (known if len(w) <= WORD else once)[w] = found[k]
+        return known.__getitem__ if not once else lambda w: once[w] if w in once else known[w]
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
-        new = list(set(words).difference(self.known))
-        once = {}
-        if new:
-            if len(self.known) > KNOWN:
-                self.known.clear()
-                new = list(set(words))
-            for w, ids in zip(new, self._ids(new), strict=True):
-                (self.known if len(w) <= WORD else once)[w] = ids
-        look = self.known.__getitem__ if not once else lambda w: once[w] if w in once else self.known[w]
-        return np.fromiter(chain.from_iterable(map(look, words)), np.uint32)
+        return np.frombuffer(b"".join(map(self.learn(words), words)), np.uint32)
 
     def parts(self, text: bytes, part: int = PART) -> Iterator[np.ndarray]:
         """The ids of a text, in parts."""
@@ -89,6 +122,30 @@ class Tokens:
             yield self.of_words(text[at:to].split())
             at = to
 
+    def of_texts(self, texts: Iterable[bytes]) -> Iterator[Iterator[np.ndarray]]:
+        """The ids of every text, in parts; new words of several texts, up to about
+        ``PART`` bytes of them, go to the library together."""
+        held: list[list[bytes]] = []
+        size = 0
+
+        def done() -> Iterator[Iterator[np.ndarray]]:
+            look = self.learn(chain.from_iterable(held))
+            for words in held:
+                yield iter([np.frombuffer(b"".join(map(look, words)), np.uint32)])
+
+        for text in texts:
+            if len(text) > PART:
+                yield from done()
+                yield self.parts(text)
+                held, size = [], 0
+                continue
+            held.append(text.split())
+            size += len(text)
+            if size > PART:
+                yield from done()
+                held, size = [], 0
+        yield from done()
+
 
 def cut(ids: Iterator[np.ndarray], window: int, end: int) -> list[tuple[int, int, int]]:
     """(start, length, crc32) of the pieces of one document: full windows, then
@@ -119,8 +176,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int
         tokens = kept_by_worker("packing", sent.value, lambda: Tokens(sent.value))
         for b in batches:
             rows = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found = cut(tokens.parts(text.as_py()), window, end)
+            texts = (text.as_py() for text in b.column(1))
+            for doc_id, ids in zip(b.column(0).to_pylist(), tokens.of_texts(texts), strict=True):
+                found = cut(ids, window, end)
                 total = found[-1][0] + found[-1][1]
                 rows += [(doc_id, *p, total) for p in found]
             columns = list(zip(*rows, strict=True)) or [()] * 5

@@ -78,6 +78,9 @@ def test_texts_are_tokenized_in_parts(tokenizer):
         for part in (1, 7, 64, 1 << 20):
             got = [int(x) for p in tokens.parts(text.encode(), part) for x in p]
             assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    many = [*texts, "", "long " * 300_000, *texts, "w " * 600_000]
+    for text, ids in zip(many, tokens.of_texts(t.encode() for t in many), strict=True):
+        assert np.concatenate([np.zeros(0, int), *ids]).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_words_beyond_the_kept_ones(tokenizer, monkeypatch):
@@ -86,7 +89,22 @@ def test_words_beyond_the_kept_ones(tokenizer, monkeypatch):
     for k in range(30):
         text = f"w{k} w{k + 1} same w{k * 7} " + "long" * 30
         assert [int(x) for p in tokens.parts(text.encode()) for x in p] == tokenizer.encode(text, add_special_tokens=False).ids
-        assert len(tokens.known) <= 12
+        assert len(tokens.known.now) + len(tokens.known.before) <= 12
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", "Z", "é", "ß", "İ", "ﬁ", "e\u0301", "1", "23", ".", "!!", "'s", "'", "<", "|", "_", "^", "`", "~", "×", "日", "{", "\\",
+                                          "word", "Σ", "\x1c", "\u3000", "\x00"]), min_size=1, max_size=6).map("".join), min_size=1, max_size=30))
+def test_plain_words_tokenize_together_like_alone(tokenizer, words):
+    if not hasattr(test_plain_words_tokenize_together_like_alone, "tokens"):
+        test_plain_words_tokenize_together_like_alone.tokens = packing.Tokens(open(WORDS, "rb").read())
+    tokens = test_plain_words_tokenize_together_like_alone.tokens
+    plain = [w for w in words if packing._PLAIN.fullmatch(w)]
+    if plain:
+        assert [np.frombuffer(x, np.uint32).tolist() for x in tokens._plain(plain)] == [tokenizer.encode(w, add_special_tokens=False).ids for w in plain]
+    tokens.known = packing.Recent(10)
+    text = " ".join(words)
+    assert [int(x) for p in tokens.parts(text.encode()) for x in p] == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def tightest(rooms: dict[int, int], length: int) -> int | None:
