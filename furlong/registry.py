@@ -103,18 +103,15 @@ def _sire_as_of(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _stored_jockey_course(spark: SparkSession, d: str) -> DataFrame:
-    """The report from a totals store that was filled in steps: the days up to
-    1996 and those from then on, the 13th of every month at first without the
-    runners that have a betting rank; then the first days of months once more,
-    and the 13ths corrected."""
+    """The report from a totals store that was filled in two loads: the days up
+    to 1996, the 13th of every month without the runners that have a betting
+    rank; then the days from 1996 on, with the first days of earlier months once
+    more and their 13ths corrected."""
     rated = rated_runners(fixture_tables(spark, d))
     day = stored.race_day_text()
     store = stored.TotalsStore(spark, stored.new_folder(spark), stored.JOCKEY_GRAIN)
-    at_first = rated.where(~day.endswith("13") | F.col("popularity").isNull())
-    store.replace_days(at_first.where(day < "1996"))
-    store.replace_days(at_first.where(day >= "1996"))
-    store.replace_days(rated.where(day.endswith("01")))
-    store.replace_days(rated.where(day.endswith("13")))
+    store.replace_days(rated.where((day < "1996") & (~day.endswith("13") | F.col("popularity").isNull())))
+    store.replace_days(rated.where((day >= "1996") | day.endswith("01") | day.endswith("13")))
     return store.report(("jockey_id", "jockey_name", "course_name", "track_type", "distance_category"),
                         reports.JOCKEY_COURSE_METRICS, since="2000", min_races=20)
 
