@@ -4,9 +4,11 @@ A point lookup ("this jockey under this course condition", "this horse's
 sire on this going") becomes a join of a request table with an aggregate,
 so any number of requests costs one job:
 
-* the request keys cut the scan first: runners are semi-joined with the
-  requested jockeys, races with the requested courses or classes, below the
-  runner-race join and the aggregate;
+* the request keys cut the scan first (``prune``): runners are semi-joined with
+  the requested jockeys, races with the requested courses or classes, below the
+  runner-race join and the aggregate.  Where the requests name most of what
+  there is, this only reads them more often: the caller says
+  ``prune=False``, with the same result;
 * requests are joined to the aggregate with left joins; adaptive execution
   broadcasts whichever side measures small, otherwise the join is sort-merge;
 * duplicate requests are answered once and joined back, so every request
@@ -123,6 +125,7 @@ def horse_sire_track_roi_feature(
     since_year: int | None = None,
     exclude_unknown_sire: bool = False,
     bad_values: str = "fail",
+    prune: bool = True,
 ) -> DataFrame:
     """Per request (horse_id, track_type, track_condition): the horse's sire,
     the sire's ROI / win rate / runs under that track and going, and the
@@ -133,7 +136,8 @@ def horse_sire_track_roi_feature(
     requested classes are read into the totals; the rank in a class needs all
     its sires, but only those that qualify.
     """
-    totals = sire_track_totals(_in_requested_classes(t, requests), since_year, exclude_unknown_sire, bad_values)
+    seen = _in_requested_classes(t, requests) if prune else t
+    totals = sire_track_totals(seen, since_year, exclude_unknown_sire, bad_values)
     ranked = _roi_ranked(totals.where(F.col(N) >= F.lit(min_races))).select(
         F.struct(*SIRE_KEYS).alias("_key"), "roi_rank")
     answers = totals.select(
@@ -205,7 +209,7 @@ def _overall_records(runners: DataFrame, bad_values: str) -> DataFrame:
 
 
 def jockey_course_feature(t: RaceTables, requests: DataFrame,
-                          bad_values: str = "fail") -> DataFrame:
+                          bad_values: str = "fail", prune: bool = True) -> DataFrame:
     """Per request (jockey_id, course_name, track_type, distance_category):
     the jockey's record under that condition next to the jockey's overall
     record, with two ratios of the rounded rates (Q5).
@@ -219,10 +223,12 @@ def jockey_course_feature(t: RaceTables, requests: DataFrame,
     distinct_req = requests.select(*keys).distinct().withColumn(
         "keibajo_code", course_code(F.col("course_name")))
 
-    jockeys = distinct_req.select(F.col("jockey_id").alias("_jockey")).distinct()
-    courses = distinct_req.select(F.col("keibajo_code").alias("_course")).distinct()
-    runners = t.runners.join(jockeys, F.col("kishu_code") == F.col("_jockey"), "left_semi")
-    races = t.races.join(courses, F.col("keibajo_code") == F.col("_course"), "left_semi")
+    runners, races = t.runners, t.races
+    if prune:
+        jockeys = distinct_req.select(F.col("jockey_id").alias("_jockey")).distinct()
+        courses = distinct_req.select(F.col("keibajo_code").alias("_course")).distinct()
+        runners = runners.join(jockeys, F.col("kishu_code") == F.col("_jockey"), "left_semi")
+        races = races.join(courses, F.col("keibajo_code") == F.col("_course"), "left_semi")
     rated = rated_runners(RaceTables(races, runners, t.horses), bad_values=bad_values)
     cond = roi_totals(rated, [*JOCKEY_KEYS, *CONDITION_KEYS]).select(
         *JOCKEY_KEYS, *CONDITION_KEYS,

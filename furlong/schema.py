@@ -36,6 +36,7 @@ RUNNERS_SCHEMA = _text_schema(
     "kakutei_chakujun",
     "tansho_odds",
     "tansho_ninkijun",
+    "umaban",
 )
 
 HORSES_SCHEMA = _text_schema(
@@ -66,8 +67,8 @@ PAYOUTS_SCHEMA = _text_schema(*RACE_KEY, *[c for slot in WIN_SLOTS for c in slot
 class RaceTables:
     """Races (one row per race), runners (one row per starter) and horses
     (one row per registered horse, with sire and dam); and, for the operators
-    that settle bets, payouts (one row per settled race).  The settlement also
-    reads the runners' horse number, ``umaban``."""
+    that settle bets, payouts (one row per settled race), which name runners by
+    their horse number (``umaban``)."""
 
     races: DataFrame
     runners: DataFrame

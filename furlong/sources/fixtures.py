@@ -21,8 +21,8 @@ from furlong.schema import HORSES_SCHEMA, PAYOUTS_SCHEMA, RACES_SCHEMA, REFUND_M
 
 
 #: Runner columns beyond the declared ones, for the features that name a
-#: closing time, a flag, a score, or settle bets by horse number.
-EXTRA_RUNNER_COLUMNS = ("closing_time", "run_flag", "run_score", "umaban")
+#: closing time, a flag or a score.
+EXTRA_RUNNER_COLUMNS = ("closing_time", "run_flag", "run_score")
 
 
 def _pad(c: Column, n: int) -> Column:

@@ -29,7 +29,7 @@ def _slots(*pairs, marks="00000000"):
 
 def test_dead_heat_pays_both_winners(tables):
     runners = [{"umaban": f"{k:02d}", "kakutei_chakujun": "01" if k <= 2 else "03", "tansho_odds": "0040"} for k in range(1, 5)]
-    t = tables(runners=runners, payouts=[_slots(("01", "0000210"), ("02", "0000190"))], extra=["umaban"])
+    t = tables(runners=runners, payouts=[_slots(("01", "0000210"), ("02", "0000190"))])
     r = payouts.jockey_payout_roi(t, min_bets=1).collect()[0]
     # quoted odds pay 4.0 twice over four bets; the pool pays 2.1 and 1.9
     assert (r["total_races"], r["wins"], r["roi_percentage"]) == (4, 2, 200.0)
@@ -47,7 +47,7 @@ def test_refunds_unsettled_races_and_odd_numbers(tables):
     ]
     records = [_slots(("01", "0000300"), ("04", "0000500"), ("01", "0000100"), marks="01"),
                {"race_bango": "03", **_slots(("01", "0000999"), marks="1")}]
-    t = tables(races=races, runners=runners, payouts=records, extra=["umaban"])
+    t = tables(races=races, runners=runners, payouts=records)
     got = {(r["race_bango"], r["umaban"]): (r["settled"], r["refunded"], r["stake"], r["paid"]) for r in payouts.settled_runners(t).collect()}
     assert got["01", "01"] == (True, False, 1, 400)  # two slots name it: their sum
     assert got["01", "02"] == (True, True, 0, 0)
@@ -64,7 +64,7 @@ def test_refunds_unsettled_races_and_odd_numbers(tables):
 
 def test_settlement_copies_no_row(tables):
     """Two records of one race do not double its runners."""
-    t = tables(runners=[{"umaban": "01"}], payouts=[_slots(("01", "0000300")), _slots(("01", "0000200"))], extra=["umaban"])
+    t = tables(runners=[{"umaban": "01"}], payouts=[_slots(("01", "0000300")), _slots(("01", "0000200"))])
     assert [r["paid"] for r in payouts.settled_runners(t).collect()] == [300]
 
 
@@ -240,3 +240,17 @@ def test_stock_is_in_the_fixture(spark):
     t, stock = fixture_tables(spark, SF_SMALL), breeding_stock(spark, SF_SMALL)
     resolved = breeding.resolved_horses(t.horses, stock)
     assert resolved.count() == resolved.select("ketto_toroku_bango").distinct().count() > t.horses.count()
+
+
+def test_payouts_are_stored_with_the_other_tables(spark, tmp_path):
+    from furlong.plans.inspect import scans
+    from furlong.sources.tables import read_race_tables, write_race_tables
+
+    t = fixture_tables(spark, SF_SMALL)
+    write_race_tables(t, f"file://{tmp_path}/db")
+    stored = read_race_tables(spark, f"file://{tmp_path}/db", payouts=True)
+    got = payouts.jockey_payout_roi(stored, since_year=1999, min_bets=5)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, payouts.jockey_payout_roi(t, since_year=1999, min_bets=5).collect()))
+    pruned = [s for s in scans(got) if "kaisai_nen" in s.get("PartitionFilters", "")]
+    assert {s["Location"].rstrip("]").split("/")[-1] for s in pruned} == {"jvd_ra", "jvd_se", "jvd_hr"}
+    assert read_race_tables(spark, f"file://{tmp_path}/db").payouts is None

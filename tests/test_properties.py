@@ -97,3 +97,9 @@ def test_pedigree_rows_per_horse_bounded(t):
     assert worst <= 7
     # a row's position length is its generation
     assert rows.where(F.length("position") != F.col("generation")).count() == 0
+
+
+def test_lookups_without_pruning_are_the_same(t):
+    horses, jockeys = R.horse_requests(t), R.jockey_requests(t)
+    assert _rows(lookups.horse_sire_track_roi_feature(t, horses, prune=False)) == _rows(lookups.horse_sire_track_roi_feature(t, horses))
+    assert _rows(lookups.jockey_course_feature(t, jockeys, prune=False)) == _rows(lookups.jockey_course_feature(t, jockeys))
