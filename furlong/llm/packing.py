@@ -49,7 +49,7 @@ END = 2
 GROUP = 10_000
 LOOSE = 128  # tokens of room from which a window is packed anew
 PART = 1 << 20
-KNOWN = 400_000  # words whose ids a Python worker keeps
+KNOWN = 1_000_000  # words whose ids a Python worker keeps (some 200 bytes each)
 WORD = 64  # bytes up to which a word is kept
 
 _SPACE = re.compile(rb"[\t-\r ]")
@@ -63,6 +63,13 @@ _PLAIN = re.compile(f"[{_LETTERS}0-9!-&(-/:;=-@\\[-`{{-~]+")
 _MATCHES = re.compile(f"[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 
+def lowered(text: bytes) -> bytes:
+    """The text with A-Z lowered, as the tokenizer does, so that fewer words are
+    different; a text with combining marks (U+0300 to U+037F) stays as it is,
+    since they may compose with a small letter and not with its capital."""
+    return text if b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
 class Tokens:
     """Token ids of texts, by a tokenizer that drops white space."""
 
@@ -119,7 +126,7 @@ class Tokens:
         while at < len(text):
             cut = _SPACE.search(text, at + part) if at + part < len(text) else None
             to = cut.start() if cut else len(text)
-            yield self.of_words(text[at:to].split())
+            yield self.of_words(lowered(text[at:to]).split())
             at = to
 
     def of_texts(self, texts: Iterable[bytes]) -> Iterator[Iterator[np.ndarray]]:
@@ -139,7 +146,7 @@ class Tokens:
                 yield self.parts(text)
                 held, size = [], 0
                 continue
-            held.append(text.split())
+            held.append(lowered(text).split())
             size += len(text)
             if size > PART:
                 yield from done()

@@ -73,7 +73,7 @@ def test_texts_are_tokenized_in_parts(tokenizer):
     definition = open(WORDS, "rb").read()
     tokens = packing.Tokens(definition)
     texts = ["It's  A test\u3000of ﬁ e\u0301 ΑΣ Σ", "x" * 500 + " y", "a\x1cb\x85c\n\nd", "<|endoftext|> a<|startoftext|>b", " \t ", "don't" * 40,
-             "word " * 300, "é" * 90 + " " + "é" * 90]
+             "word " * 300, "é" * 90 + " " + "é" * 90, "THE The the ÉCOLE École", "H\u0331 h\u0331 T\u0308 J\u030c W\u030a I\u0307 İ K\u0301 A\u030a", "Ⅷ Ｆ Σ"]
     for text in texts:
         for part in (1, 7, 64, 1 << 20):
             got = [int(x) for p in tokens.parts(text.encode(), part) for x in p]
