@@ -23,7 +23,9 @@ Then every link's id pair is counted over the corpus, and each document adds
 up the counts of its links, and how many of them are the best of their B id.
 
 Scale: texts are tokenized once; a Python worker keeps the tokens of up to
-``KNOWN`` runs between spaces.  Links are kept as 32-bit numbers and counted per task
+``KNOWN`` runs between spaces that it met twice.  Runs of plain characters go
+to a library that merges by ranks, which is several times faster, if it is
+proven that this vocabulary's ranks give the same ids as its merges.  Links are kept as 32-bit numbers and counted per task
 before they meet.  The best count of each B id is a table bounded by the
 vocabulary.  Pairs with at least a ``HOT``-th of all links are ``HOT`` at most,
 whatever the corpus, and so are broadcast; the links of the others, each pair a
@@ -40,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import os
 import re
 from collections.abc import Iterable, Iterator
@@ -57,8 +60,8 @@ from furlong.llm.common import Recent, discard, kept_by_worker, staged
 
 CHUNK = 1 << 16  # characters of a range
 FAN = 16  # fragments composed by one task in a round
-KNOWN = 200_000  # runs between spaces whose tokens a Python worker keeps
-RUN = 64  # characters up to which a run is kept
+KNOWN = 300_000  # runs between spaces whose tokens a Python worker keeps
+PLAIN = "\u0250"  # runs of characters below go to the faster library for A
 HOT = 200_000
 COUNTED = 1 << 22  # links that a task counts at once
 
@@ -102,6 +105,15 @@ class Fragment:
         return [] if self.first is None else [(self.first, group_text(self.head_a, self.head_b)), *self.body]
 
 
+def common_ends(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which tokens of either side end together (ends in increasing order)."""
+    if not len(b_end):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    at = np.searchsorted(b_end, a_end)
+    both = b_end[np.minimum(at, len(b_end) - 1)] == a_end
+    return np.flatnonzero(both), at[both]
+
+
 def group_text(a: np.ndarray, b: np.ndarray) -> bytes:
     return (",".join(map(str, a.tolist())) + "|" + ",".join(map(str, b.tolist()))).encode()
 
@@ -109,10 +121,9 @@ def group_text(a: np.ndarray, b: np.ndarray) -> bytes:
 def fragment(a: np.ndarray, a_end: np.ndarray, b: np.ndarray, b_end: np.ndarray, number: int = 0) -> tuple[Fragment, np.ndarray, np.ndarray]:
     """The fragment of the tokens that end in range ``number``, by their ids and
     ends, and the linked ids of both sides."""
-    ends = np.intersect1d(a_end, b_end)
-    if not len(ends):
+    at_a, at_b = common_ends(a_end, b_end)
+    if not len(at_a):
         return Fragment(a, b), _EMPTY, _EMPTY
-    at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
     cut_a, cut_b = at_a + 1, at_b + 1
     body = [(number, group_text(a[i:j], b[k:m])) for i, j, k, m in
             zip(cut_a[:-1].tolist(), cut_a[1:].tolist(), cut_b[:-1].tolist(), cut_b[1:].tolist(), strict=True)]
@@ -130,10 +141,50 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + k): b for k, b in enumerate(others)}}
 
 
+def proven_ranks(definition: bytes) -> dict[bytes, int] | None:
+    """The entries of a byte-level vocabulary as ranks, if merging by ranks always
+    gives what its merges give; else None.
+
+    Merging by ranks joins, of all neighbours whose joined bytes are an entry,
+    those of the lowest one; the merges allow an entry's own two parts only.
+    Both do the same steps as long as ranks join an entry's own parts.  No step
+    crosses the border of a token that comes out, so the steps inside a token
+    are those for its bytes alone: it is enough that every entry's bytes, joined
+    by the ranks below its own, are its two parts."""
+    model = json.loads(definition)["model"]
+    letters = byte_letters()
+    ranks = {bytes(letters[c] for c in entry): k for entry, k in model["vocab"].items()}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    pairs = [tuple(bytes(letters[c] for c in part) for part in m) for m in merges]
+    made = [ranks.get(x + y) for x, y in pairs]
+    single = {bytes([b]) for b in range(256)}
+    if None in made or made != sorted(set(made)) or set(ranks) != single | {x + y for x, y in pairs}:
+        return None
+    if max(ranks[x] for x in single) > made[0]:
+        return None
+    for (x, y), rank in zip(pairs, made, strict=True):
+        parts = [bytes([b]) for b in x + y]
+        while len(parts) > 2:
+            joined = [ranks.get(u + v, rank) for u, v in zip(parts, parts[1:], strict=False)]
+            low = min(joined)
+            if low >= rank:
+                return None
+            k = joined.index(low)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+        if parts != [x, y]:
+            return None
+    return ranks
+
+
+#: The pattern by which byte-level vocabularies of this kind split texts.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
 class Tokenizers:
-    """Both tokenizers, with the bytes of every entry."""
+    """Both tokenizers, with the bytes of every entry.  With ``ranks`` (see
+    :func:`proven_ranks`) plain runs go to a library that merges by ranks."""
 
-    def __init__(self, definition: bytes, model: bytes):
+    def __init__(self, definition: bytes, model: bytes, ranks: dict[bytes, int] | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -141,6 +192,11 @@ class Tokenizers:
         self.a = Tokenizer.from_str(definition.decode())
         self.a.encode_special_tokens = True  # their strings in texts are text
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.ranked = None
+        if ranks is not None:
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         letters = byte_letters()
         self.bytes_a = [b""] * self.a.get_vocab_size()
         special = self.a.get_added_tokens_decoder()
@@ -162,10 +218,9 @@ class Tokenizers:
         self.text = {sign: np.array([f"{k}{sign}".encode() for k in numbers], object) for sign in (",", "|", ";", "")}
         self.known = Recent(KNOWN)
 
-    def ids(self, some: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """The ids of runs, with the space before each."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + r for r in some], add_special_tokens=False)]
-        return a, self.b.encode(some, num_threads=1)
+    def ids_a(self, some: list[str]) -> list[list[int]]:
+        """The A ids of runs, with the space before each."""
+        return [e.ids for e in self.a.encode_batch_fast([" " + r for r in some], add_special_tokens=False)]
 
     def agree(self, raw: bytes, a: Iterable[int], b: Iterable[int]) -> bool:
         return b"".join([self.bytes_a[k] for k in a]) == raw and b"".join([self.bytes_b[k] for k in b]) == raw
@@ -175,31 +230,53 @@ class Tokenizers:
         the ends of a run: the numbers of its A and B tokens (and a mark if the
         bytes do not agree; see :func:`counts_of`), its groups' text and the
         pairs of its links."""
-        new, long = self.known.missing(all_runs), {}
-        known = self.known.now
+        new, known = self.known.missing(all_runs), self.known.now
         if new:
-            for run, entry in zip(new, self._aligned(new), strict=True):
-                (known if len(run) <= RUN else long)[run] = entry
-        return {**{r: known[r] for r in set(all_runs).difference(long)}, **long} if long else known
+            new.sort(key=self._is_plain, reverse=True)
+            known.update(zip(new, self._aligned(new), strict=True))
+        return known
+
+    def _is_plain(self, run: str) -> bool:
+        return self.ranked is not None and max(run) < PLAIN
+
+    def _ranked_ids(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain runs, one after another, and how many each has."""
+        ids = np.array(self.ranked.encode_ordinary(" " + " ".join(some)), np.int32)
+        ends = np.cumsum(self.len_a[ids])
+        stops = np.cumsum([len(r.encode()) + 1 for r in some])
+        at = np.searchsorted(ends, stops) + 1
+        if not np.array_equal(ends[at - 1], stops):
+            raise ValueError("a token crosses the end of a run")
+        return ids, np.diff(at, prepend=0)
 
     def _aligned(self, some: list[str]) -> list[tuple[int, bytes, bytes]]:
-        a, b = self.ids(some)
         raw = [b" " + r.encode() for r in some]
-        all_a, all_b = (np.fromiter(itertools.chain.from_iterable(x), np.int32) for x in (a, b))
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
+        n_plain = sum(map(self._is_plain, some))  # they come first
+        ids_a, counts_a = [], []
+        for k in range(0, n_plain, 2000):
+            ids, n = self._ranked_ids(some[k:min(k + 2000, n_plain)])
+            ids_a.append(ids)
+            counts_a.append(n)
+        odd = self.ids_a(some[n_plain:])
+        ids_a.append(np.fromiter(itertools.chain.from_iterable(odd), np.int32))
+        counts_a.append(np.fromiter(map(len, odd), np.int64, len(odd)))
+        all_a, n_a = np.concatenate(ids_a), np.concatenate(counts_a)
+        b = self.b.encode(some, num_threads=1)
+        all_b, n_b = np.fromiter(itertools.chain.from_iterable(b), np.int32), np.fromiter(map(len, b), np.int64, len(b))
         size = np.fromiter(map(len, raw), np.int64, len(raw))
         everything = b"".join(raw)
         same = all(b"".join(table[ids].tolist()) == everything for table, ids in (
             (self._table_a, all_a), (self._table_b, all_b)))
         fine = np.ones(len(some), bool)
         if not same or (sum_of(self.len_a[all_a], n_a) != size).any() or (sum_of(self.len_b[all_b], n_b) != size).any():
-            fine = np.array([self.agree(*x) for x in zip(raw, a, b, strict=True)])
+            a = np.split(all_a, np.cumsum(n_a)[:-1])
+            fine = np.array([self.agree(x, y.tolist(), z) for x, y, z in zip(raw, a, b, strict=True)])
             all_a, all_b = all_a[np.repeat(fine, n_a)], all_b[np.repeat(fine, n_b)]
         na, nb, stop = n_a[fine], n_b[fine], np.cumsum(size[fine])
         # the runs one after another are one text, with a common end behind each
         a_end, b_end = np.cumsum(self.len_a[all_a]), np.cumsum(self.len_b[all_b])
-        ends = np.intersect1d(a_end, b_end)
-        at_a, at_b = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
+        at_a, at_b = common_ends(a_end, b_end)
+        ends = a_end[at_a]
         pairs = all_a[at_a].astype(np.uint32) * np.uint32(self.size_b) + all_b[at_b].astype(np.uint32)
         # the tokens in the order in which the groups name them, with the sign behind each
         group_a, group_b = np.searchsorted(ends, a_end), np.searchsorted(ends, b_end)
@@ -351,7 +428,7 @@ def _leaves(chunks: DataFrame, sent) -> DataFrame:
         schema = None
         for b in batches:
             for row, k, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3), strict=True):
-                found = t.ids(runs(text.as_py()))
+                found = t.ids_a(x := runs(text.as_py())), t.b.encode(x, num_threads=1)
                 fine = t.agree(b" " + text.as_py().encode(), *map(itertools.chain.from_iterable, found))
                 out = Fragment()
                 link_a = link_b = _EMPTY
@@ -543,6 +620,7 @@ def align(docs: DataFrame, byte_level_path: str, pieces_path: str, chunk: int =
     with open(byte_level_path, "rb") as f, open(pieces_path, "rb") as g:
         files = f.read(), g.read()
     size_b = Tokenizers(*files).size_b
+    files = *files, proven_ranks(files[0])
     sent = docs.sparkSession.sparkContext.broadcast(files)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     short = staged(_whole(texts.where(F.length("text") <= chunk), sent).withColumn("row", F.monotonically_increasing_id()), "aligned")

@@ -115,22 +115,45 @@ def kept_by_worker(name: str, version: object, make: Callable[[], object]) -> ob
 
 
 class Recent:
-    """Values by key in two generations of up to ``most / 2`` each: what has not
-    been asked for during a whole generation goes.  ``now`` is the dict to look
-    the keys of the last :meth:`missing` up in."""
+    """Values of short keys that come again: a key is kept from the second time
+    on that it is met, in two generations of up to ``most / 2`` keys each, and
+    goes when it has not been asked for during a whole generation.
 
-    def __init__(self, most: int):
-        self.half, self.now, self.before = most // 2, {}, {}
+    ``now`` is the dict to look keys up in.  After :meth:`missing` the caller puts
+    the values of the keys that it returned there; those that are not kept leave
+    it with the next call."""
+
+    _SLOTS = 1 << 22
+
+    def __init__(self, most: int, longest: int = 64):
+        self.half, self.longest = most // 2, longest
+        self.now, self.before, self.leaving = {}, {}, []
+        self.met, self.n_met = bytearray(self._SLOTS), 0
 
     def missing(self, keys: Iterable) -> list:
         """The keys that are not known; the others are in ``now``."""
+        for k in self.leaving:
+            del self.now[k]
         if len(self.now) > self.half:
             self.now, self.before = {}, self.now
         new = set(keys).difference(self.now)
         for k in [k for k in new if k in self.before]:
             self.now[k] = self.before[k]
             new.discard(k)
-        return list(new)
+        new = list(new)
+        self.leaving = [k for k in new if not self._again(k)]
+        return new
+
+    def _again(self, key) -> bool:
+        """Whether a key (or one that shares its slot) was met before."""
+        slot = hash(key) & (self._SLOTS - 1)
+        if self.met[slot]:
+            return len(key) <= self.longest
+        self.met[slot] = 1
+        self.n_met += 1
+        if self.n_met > self._SLOTS // 2:
+            self.met, self.n_met = bytearray(self._SLOTS), 0
+        return False
 
 
 def unused_prefix(df: DataFrame, prefix: str) -> str:

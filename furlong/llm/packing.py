@@ -49,8 +49,7 @@ END = 2
 GROUP = 10_000
 LOOSE = 128  # tokens of room from which a window is packed anew
 PART = 1 << 20
-KNOWN = 1_000_000  # words whose ids a Python worker keeps (some 200 bytes each)
-WORD = 64  # bytes up to which a word is kept
+KNOWN = 500_000  # words whose ids a Python worker keeps (some 200 bytes each)
 
 _SPACE = re.compile(rb"[\t-\r ]")
 
@@ -100,22 +99,20 @@ class Tokens:
 
     def learn(self, words: Iterable[bytes]) -> Callable[[bytes], bytes]:
         """Looks up the ids (as bytes of 32-bit numbers) of any of the words."""
-        new, once = self.known.missing(words), {}
-        known = self.known.now
-        if new:
-            texts = [w.decode() for w in new]
-            plain = [k for k, t in enumerate(texts) if _PLAIN.fullmatch(t)]
-            found: dict[int, bytes] = {}
-            for k in range(0, len(plain), 1000):
-                part = plain[k:k + 1000]
-                ids = self._plain([texts[i] for i in part])
-                if ids is not None:
-                    found.update(zip(part, ids, strict=True))
-            rest = [k for k in range(len(new)) if k not in found]
-            found.update(zip(rest, [np.array(x, np.uint32).tobytes() for x in self._ids([texts[k] for k in rest])], strict=True))
-            for k, w in enumerate(new):
-                (known if len(w) <= WORD else once)[w] = found[k]
-        return known.__getitem__ if not once else lambda w: once[w] if w in once else known[w]
+        new, known = self.known.missing(words), self.known.now
+        texts = [w.decode() for w in new]
+        plain = [k for k, t in enumerate(texts) if _PLAIN.fullmatch(t)]
+        found: dict[int, bytes] = {}
+        for k in range(0, len(plain), 1000):
+            part = plain[k:k + 1000]
+            ids = self._plain([texts[i] for i in part])
+            if ids is not None:
+                found.update(zip(part, ids, strict=True))
+        rest = [k for k in range(len(new)) if k not in found]
+        found.update(zip(rest, [np.array(x, np.uint32).tobytes() for x in self._ids([texts[k] for k in rest])], strict=True))
+        for k, w in enumerate(new):
+            known[w] = found[k]
+        return known.__getitem__
 
     def of_words(self, words: list[bytes]) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.learn(words), words)), np.uint32)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -23,6 +24,31 @@ def both():
     return alignment.Tokenizers(open(A, "rb").read(), open(B, "rb").read())
 
 
+def test_ranks_are_proven():
+    """For this vocabulary they are; not where two ways lead to an entry."""
+    ranks = alignment.proven_ranks(open(A, "rb").read())
+    assert ranks is not None and len(ranks) == 50_256
+
+    def vocabulary(*merges):
+        letters = list(alignment.byte_letters())
+        entries = letters + [x + y for x, y in merges]
+        return json.dumps({"model": {"vocab": {e: k for k, e in enumerate(entries)}, "merges": [f"{x} {y}" for x, y in merges]}}).encode()
+
+    assert alignment.proven_ranks(vocabulary(("a", "b"), ("ab", "c"))) is not None
+    assert alignment.proven_ranks(vocabulary(("b", "c"), ("a", "b"), ("ab", "c"))) is None  # a+bc comes first
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abehinorstuéßñ ĐŁ.,'!12\n\t\x1c\x85\xa0#\"the"), min_size=1, max_size=14).filter(lambda t: t != ""), min_size=1, max_size=12))
+def test_runs_are_aligned_alike_with_and_without_ranks(both, texts):
+    if not hasattr(test_runs_are_aligned_alike_with_and_without_ranks, "t"):
+        raw = open(A, "rb").read()
+        test_runs_are_aligned_alike_with_and_without_ranks.t = alignment.Tokenizers(raw, open(B, "rb").read(), alignment.proven_ranks(raw))
+    t = test_runs_are_aligned_alike_with_and_without_ranks.t
+    some = sorted({r for x in texts for r in alignment.runs(x)}, key=t._is_plain, reverse=True)
+    assert t._aligned(some) == both._aligned(some)
+
+
 def aligned_by_brute_force(rows, t):
     """Each text tokenized whole; ends compared one by one."""
     docs, count = [], Counter()
