@@ -9,13 +9,11 @@ Same-day rule: a race on the day itself is not known, whatever its course or
 number; requests of one day see the same.  Runs whose year and month-day are
 not a date are in no point-in-time record.
 
-Plan: runs become additive totals per key and race day (two-phase aggregate).
-The days of a key are cut by calendar year, so that a hot key is as many
-window groups as it has years; inside one, distinct request days stand among
-the race days and a running sum of the totals answers them.  What lies in
-earlier years is one sum per key and year.  Requests meet totals of their own
-key and year only, never runs, and a key has at most as many rows as the
-calendar has days.
+Plan: runs become additive totals per key and day, in one two-phase aggregate
+that also marks the days that are asked for, so that both are derived once.
+After it a key has at most as many rows as the calendar has days, however many
+runs or requests it has.  They are dealt by key and sorted by day; a running sum
+inside the calendar year and one over the earlier years answer each marked day.
 """
 
 from __future__ import annotations
@@ -28,7 +26,7 @@ from pyspark.sql import functions as F
 from furlong.functions.buckets import course_code
 from furlong.functions.filters import is_rated
 from furlong.functions.metrics import (
-    N, ODDS_SUM, TOTALS, WINS, merge_columns, metric_columns, ratio2, roi_hundredths, total_columns, win_rate_hundredths,
+    N, ODDS_SUM, TOTALS, WINS, metric_columns, ratio2, roi_hundredths, total_columns, win_rate_hundredths,
 )
 from furlong.functions.rounding import from_hundredths
 from furlong.operators.lookups import CONDITION_KEYS, COURSE_METRICS, SIRE_KEYS, horse_sires
@@ -50,22 +48,22 @@ def totals_before(rated: DataFrame, keys: Sequence[str], requests: DataFrame, as
     NULL among them.  Totals are 0 where there is nothing before."""
     keys = list(keys)
     zero = F.lit(0).cast("long")
-    daily = rated.withColumn("_day", race_day()).where(F.col("_day").isNotNull()).groupBy(*keys, "_day").agg(*total_columns())
-    daily = daily.select(*keys, "_day", *[F.coalesce(c, zero).alias(c) for c in TOTALS], F.lit(1).alias("_kind"))
-    asked = requests.select(*keys, F.col(as_of).cast("date").alias("_day"))
+    runs = rated.withColumn("_day", race_day()).select(*keys, "_day", "finish_pos", "odds_milli", "popularity", F.lit(1).alias("_run"))
+    asked = requests.select(*keys, F.col(as_of).cast("date").alias("_day"), F.lit(0).alias("_run"))
+    days = runs.unionByName(asked, allowMissingColumns=True)
     for c in (*keys, "_day"):
-        asked = asked.where(F.col(c).isNotNull())
-    asked = asked.distinct().select(*keys, "_day", *[zero.alias(c) for c in TOTALS], F.lit(0).alias("_kind"))
-    events = daily.unionByName(asked).withColumn("_year", F.year("_day"))
+        days = days.where(F.col(c).isNotNull())
+    # a request has nothing to sum but itself: runs are counted by their mark
+    sums = [F.sum(F.col("_run").cast("long")).alias(N), *total_columns()[1:]]
+    days = days.groupBy(*keys, "_day").agg(*sums, (F.min("_run") == 0).alias("_asked")).withColumn("_year", F.year("_day"))
 
-    # a request stands before the runs of its own day
-    inside = Window.partitionBy(*keys, "_year").orderBy("_day", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    answers = events.select(*keys, "_day", "_kind", "_year", *[F.sum(c).over(inside).alias(c) for c in TOTALS]).where("_kind = 0")
-    ahead = Window.partitionBy(*keys).orderBy("_year").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = events.groupBy(*keys, "_year").agg(*merge_columns()).select(
-        *keys, "_year", *[F.coalesce(F.sum(c).over(ahead), zero).alias(f"_before{c}") for c in TOTALS])
-    return answers.join(earlier, [*keys, "_year"]).select(
-        *keys, F.col("_day").alias(as_of), *[(F.col(c) + F.col(f"_before{c}")).alias(c) for c in TOTALS])
+    # the runs of a day itself are not known on it
+    inside = Window.partitionBy(*keys, "_year").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy(*keys).orderBy("_year").rangeBetween(Window.unboundedPreceding, -1)
+    in_year = days.repartition(*keys).select("*", *[F.sum(c).over(inside).alias(f"_in{c}") for c in TOTALS])
+    known = in_year.select("*", *[F.sum(c).over(ahead).alias(f"_before{c}") for c in TOTALS]).where("_asked")
+    return known.select(*keys, F.col("_day").alias(as_of), *[
+        (F.coalesce(f"_in{c}", zero) + F.coalesce(f"_before{c}", zero)).alias(c) for c in TOTALS])
 
 
 def _metrics(names: Sequence[str]) -> list[Column]:
@@ -92,14 +90,15 @@ def jockey_course_record_as_of(t: RaceTables, requests: DataFrame, bad_values: s
     all_win = win_rate_hundredths(F.col("_all_wins"), F.col("_all_n"))
     all_roi = roi_hundredths(F.col("_all_odds"), F.col("_all_n"))
     met = coded.join(cond, [*keys, AS_OF], "left").join(overall, ["jockey_id", AS_OF], "left")
+    met = met.withColumns({"_roi": roi_hundredths(), "_win": win_rate_hundredths(), "_all_roi": all_roi, "_all_win": all_win})
     return met.select(
         *requests.columns,
         *_metrics(COURSE_METRICS),
         F.coalesce("_all_n", F.lit(0).cast("long")).alias("all_total_races"),
-        from_hundredths(all_win).alias("all_win_rate"),
-        from_hundredths(all_roi).alias("all_roi_percentage"),
-        ratio2(roi_hundredths(), all_roi).alias("course_aptitude_index"),
-        ratio2(win_rate_hundredths(), all_win).alias("win_rate_ratio"),
+        from_hundredths(F.col("_all_win")).alias("all_win_rate"),
+        from_hundredths(F.col("_all_roi")).alias("all_roi_percentage"),
+        ratio2(F.col("_roi"), F.col("_all_roi")).alias("course_aptitude_index"),
+        ratio2(F.col("_win"), F.col("_all_win")).alias("win_rate_ratio"),
     )
 
 

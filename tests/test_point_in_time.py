@@ -17,7 +17,8 @@ from furlong.operators.runners import rated_runners
 from furlong.plans.inspect import plan_text, python_nodes, scans
 from furlong.sources import requests as R
 from furlong.sources.fixtures import fixture_tables
-from furlong.sources.totals_store import JOCKEY_GRAIN, TotalsStore
+from furlong.sources.tables import with_runs
+from furlong.sources.totals_store import JOCKEY_GRAIN, TotalsStore, new_folder
 
 DAYS = ["20031230", "20031231", "20040101", "20040102", "20040229", "20040301", "20050501", "20050230", "2006xx01"]
 
@@ -89,6 +90,21 @@ def test_requests_never_meet_runs(spark):
     assert any("_year" in w and "jockey_id" in w for w in windows)
 
 
+def test_runs_and_requests_are_derived_once(tables, spark):
+    """Of the runs that are asked about, one aggregate and one exchange by key; and
+    runs that are kept are not joined again, with the same answers."""
+    rows = _career(random.Random(6), 80)
+    t = tables(races=[{k: r[k] for k in ("kaisai_nen", "kaisai_tsukihi", "race_bango")} for r in rows], runners=rows, horses=[{}])
+    df = as_of.totals_before(rated_runners(t), ["jockey_id"], R.jockey_days(t))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2  # rated runs; requests
+    kept = with_runs(t, new_folder(spark, "runs"))
+    for ask, answer in ((R.jockey_days, as_of.jockey_course_record_as_of), (R.horse_days, as_of.sire_track_record_as_of)):
+        got = answer(kept, ask(kept))
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, answer(t, ask(t)).collect()), key=repr)
+    assert "Join" not in kept.runs._jdf.queryExecution().optimizedPlan().toString()
+
+
 # --- totals store --------------------------------------------------------------
 
 def _stored(store, keys=("jockey_id", "track_type")):

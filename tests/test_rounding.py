@@ -26,3 +26,14 @@ def test_hundredths_matches_decimal(spark, pairs, pq):
     df = spark.createDataFrame(pairs, "num long, den long")
     got = [r[0] for r in df.select(hundredths(F.col("num"), F.col("den"), p, q)).collect()]
     assert got == [_expected(n, d, p, q) for n, d in pairs]
+
+
+def test_small_totals_are_rounded_on_longs(spark):
+    """Decimals only beyond what longs hold exactly; both sides of that limit agree."""
+    most = 2**61 // (200 * 1000)
+    pairs = [(most + a, most + b) for a in (-1, 0, 1) for b in (-1, 0, 1)] + [(7, 0), (most + 1, 0), (None, 3), (3, None)]
+    df = spark.createDataFrame(pairs, "num long, den long")
+    got = [r[0] for r in df.select(hundredths(F.col("num"), F.col("den"), 100, 1000)).collect()]
+    assert got == [None if None in x else _expected(*x, 100, 1000) for x in pairs]
+    plan = df.select(hundredths(F.col("num"), F.col("den")).alias("h"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and "decimal" in plan
