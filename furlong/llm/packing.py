@@ -18,7 +18,8 @@ their own.
 Tokens: this vocabulary drops white space and its splitting pattern matches
 nothing across it, so a text has the ids of its words one after another;
 a Python worker keeps the ids of up to ``KNOWN`` words and asks the library
-for the others, for many words at once.
+for the others, for many words at once.  Texts are split and their words numbered
+by Arrow, some megabytes at a time, so that Python meets each word once in these.
 
 Defined results: null and empty texts are the end id alone; repeated rows and
 rows without an id are documents of their own; very long texts are read in
@@ -39,6 +40,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ END = 2
 GROUP = 10_000
 LOOSE = 128  # tokens of room from which a window is packed anew
 PART = 1 << 20
-KNOWN = 500_000  # words whose ids a Python worker keeps (some 200 bytes each)
+HELD = 4 << 20  # bytes of texts whose words are looked up together
+KNOWN = 1_200_000  # words whose ids a Python worker keeps (some 200 bytes each)
 
 _SPACE = re.compile(rb"[\t-\r ]")
 
@@ -80,7 +83,7 @@ class Tokens:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a match of the splitting pattern
         for entry, k in self.tokenizer.get_vocab().items():
             self.ends[k] = entry.endswith("</w>")
-        self.known = Recent(KNOWN)
+        self.known = Recent(KNOWN, at_once=True)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,7 +93,7 @@ class Tokens:
         matches the splitting pattern has in such a word is known, and where
         they end in the ids."""
         ids = np.array(self._ids([" ".join(words)])[0], np.uint32)
-        matches = np.cumsum([len(_MATCHES.findall(w)) for w in words])
+        matches = np.cumsum([1 if w.isalpha() else len(_MATCHES.findall(w)) for w in words])
         ends = np.flatnonzero(self.ends[ids])
         if len(ends) != matches[-1]:
             return None
@@ -114,8 +117,19 @@ class Tokens:
             known[w] = found[k]
         return known.__getitem__
 
-    def of_words(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.learn(words), words)), np.uint32)
+    def of_batch(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of every text."""
+        split = pc.ascii_split_whitespace(pa.array(map(lowered, texts), pa.string()))
+        numbered = split.values.dictionary_encode()
+        words = numbered.dictionary.cast(pa.binary()).to_pylist()
+        ids = list(map(self.learn(words), words))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        number = numbered.indices.to_numpy()
+        sizes = size[number]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        at = np.repeat((np.cumsum(size) - size)[number] - ends[:-1], sizes) + np.arange(ends[-1])
+        every = np.frombuffer(b"".join(ids), np.uint32)[at]
+        return np.split(every, ends[split.offsets.to_numpy()[1:-1]])
 
     def parts(self, text: bytes, part: int = PART) -> Iterator[np.ndarray]:
         """The ids of a text, in parts."""
@@ -123,35 +137,31 @@ class Tokens:
         while at < len(text):
             cut = _SPACE.search(text, at + part) if at + part < len(text) else None
             to = cut.start() if cut else len(text)
-            yield self.of_words(lowered(text[at:to]).split())
+            yield self.of_batch([text[at:to]])[0]
             at = to
 
-    def of_texts(self, texts: Iterable[bytes]) -> Iterator[Iterator[np.ndarray]]:
-        """The ids of every text, in parts; new words of several texts, up to about
-        ``PART`` bytes of them, go to the library together."""
-        held: list[list[bytes]] = []
+    def of_texts(self, texts: Iterable[bytes]) -> Iterator[Iterable[np.ndarray]]:
+        """The ids of every text, in parts; texts of up to about ``HELD`` bytes are
+        looked up together."""
+        held: list[bytes] = []
         size = 0
-
-        def done() -> Iterator[Iterator[np.ndarray]]:
-            look = self.learn(chain.from_iterable(held))
-            for words in held:
-                yield iter([np.frombuffer(b"".join(map(look, words)), np.uint32)])
-
         for text in texts:
             if len(text) > PART:
-                yield from done()
+                if held:
+                    yield from ([x] for x in self.of_batch(held))
                 yield self.parts(text)
                 held, size = [], 0
                 continue
-            held.append(lowered(text).split())
+            held.append(text)
             size += len(text)
-            if size > PART:
-                yield from done()
+            if size > HELD:
+                yield from ([x] for x in self.of_batch(held))
                 held, size = [], 0
-        yield from done()
+        if held:
+            yield from ([x] for x in self.of_batch(held))
 
 
-def cut(ids: Iterator[np.ndarray], window: int, end: int) -> list[tuple[int, int, int]]:
+def cut(ids: Iterable[np.ndarray], window: int, end: int) -> list[tuple[int, int, int]]:
     """(start, length, crc32) of the pieces of one document: full windows, then
     the rest; ``end`` is its last id."""
     out: list[tuple[int, int, int]] = []

@@ -92,6 +92,19 @@ def test_words_beyond_the_kept_ones(tokenizer, monkeypatch):
         assert len(tokens.known.now) + len(tokens.known.before) <= 20
 
 
+def test_a_word_goes_to_the_library_once(tokenizer, monkeypatch):
+    tokens = packing.Tokens(open(WORDS, "rb").read())
+    asked = []
+    library = tokens._ids
+    monkeypatch.setattr(tokens, "_ids", lambda texts: asked.extend(w for t in texts for w in t.split()) or library(texts))
+    rng = random.Random(3)
+    texts = [" ".join(f"word{rng.randrange(400)}" for _ in range(300)) for _ in range(6)]
+    for text in texts:  # a call each, as for texts of several batches
+        got = [int(x) for ids in tokens.of_texts([text.encode()]) for p in ids for x in p]
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(Counter(asked).values()) == 1 and set(asked) == {w for t in texts for w in t.split()}
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.lists(st.sampled_from(["a", "Z", "é", "ß", "İ", "ﬁ", "e\u0301", "1", "23", ".", "!!", "'s", "'", "<", "|", "_", "^", "`", "~", "×", "日", "{", "\\",
                                           "word", "Σ", "\x1c", "\u3000", "\x00"]), min_size=1, max_size=6).map("".join), min_size=1, max_size=30))
