@@ -36,7 +36,7 @@ from furlong.llm.components import components
 
 BLOCK = 16
 TILE = 8192
-STRIP = 256  # rows of a tile compared at once
+STRIP = 64  # rows of a tile compared at once
 SLACK = 1e-9  # of a block's budget, so that rounding loses no pair in all blocks
 ROUNDING = 1e-5  # of single precision
 PAIRS = 50_000  # candidates verified at once
@@ -140,8 +140,14 @@ def _compared(pdf: pd.DataFrame, cosine: float, kind: type) -> pd.DataFrame:
     left = np.hstack([a, -(a * a).sum(1, keepdims=True) / 2, one_a]).astype(np.float32)
     right = np.hstack([b, one_b, -(b * b).sum(1, keepdims=True) / 2]).astype(np.float32).T.copy()
     floor = np.float32(-limits[block] / 2 - ROUNDING)
+    na, nb = np.zeros(len(ga), np.int64), np.zeros(len(gb), np.int64)
+    product = np.empty((STRIP, len(gb)), np.float32)
+    close = np.empty((STRIP, len(gb)), bool)
     for k in range(0, len(ga), STRIP):
-        i, j = np.nonzero(left[k:k + STRIP] @ right >= floor)
+        rows = min(STRIP, len(ga) - k)
+        np.matmul(left[k:k + rows], right, out=product[:rows])
+        np.greater_equal(product[:rows], floor, out=close[:rows])
+        i, j = np.divmod(np.flatnonzero(close[:rows]), len(gb))
         i += k
         for c in range(0, len(i), PAIRS):
             p, q = i[c:c + PAIRS], j[c:c + PAIRS]
@@ -155,7 +161,9 @@ def _compared(pdf: pd.DataFrame, cosine: float, kind: type) -> pd.DataFrame:
                 keep = (np.einsum("ij,ij->i", gap, gap) <= limits[n]) == (n == block)
                 p, q = p[keep], q[keep]
             near[p, q] = True
-    na, nb = near @ wb, wa @ near
+            # every pair comes once, so links are counted as they are found
+            na += np.bincount(p, wb[q], len(ga)).astype(np.int64)
+            nb += np.bincount(q, wa[p], len(gb)).astype(np.int64)
     counts = [(ga, na)] if same else [(ga, na), (gb, nb)]
     gid = np.concatenate([g[n > 0] for g, n in counts])
     tree = np.array(forest(near, ga, gb), np.int64).reshape(-1, 2)

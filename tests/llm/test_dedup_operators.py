@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from furlong.llm import components as cc
@@ -182,6 +184,34 @@ def test_embedding_join(spark, monkeypatch, tile):
     assert embedding_join.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_links_of_a_tile_are_counted_as_found(same):
+    """Weighted counts as by brute force, without the tile's whole product as wide numbers."""
+    import tracemalloc
+
+    rng, n = np.random.default_rng(4), 1500
+    x = rng.normal(size=(n, 64))
+    x[700:760] = x[:60] + rng.normal(size=(60, 64)) * 0.05
+    x[760:800] = x[7] + rng.normal(size=(40, 64)) * 0.05
+    y = x if same else x + rng.normal(size=(n, 64)) * rng.choice([0.1, 9.0], size=(n, 1))
+    weights = rng.integers(1, 9, size=(2, n))
+    sides = [pd.DataFrame({"gid": np.arange(n) + k * n, "weight": weights[k], "dim": 64, "same": same, "side": k,
+                           "vec": [r.tobytes() for r in v]}) for k, v in enumerate([x] if same else [x, y])]
+    cosines = embedding_join.unit(x) @ embedding_join.unit(y).T
+    near = (cosines >= 0.9) & ~(np.eye(n, dtype=bool) & same)
+    want = [near @ weights[0]] if same else [near @ weights[1], weights[0] @ near]
+    found = Counter()
+    tracemalloc.start()
+    for block in range(4):  # a pair is found in one of the blocks
+        links = embedding_join._compared(pd.concat(sides).assign(block=block), 0.9, np.float64)
+        for a, count in links[links["n"] > 0][["a", "n"]].itertuples(index=False):
+            found[a] += count
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(found) == {k: c for k, c in enumerate(np.concatenate(want).tolist()) if c}
+    assert peak < 6 * n * n
+
+
 def test_components_of_chains_and_hubs(spark):
     rng = random.Random(1)
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(600, 700)] + [(9, 9), (700, 650)]
