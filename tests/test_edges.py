@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from fractions import Fraction
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from furlong.functions import buckets as B
+from furlong.functions.metrics import N, ODDS_SUM
 from furlong.operators import lookups, pedigree, reports
 from furlong.operators.runners import rated_runners
 
@@ -182,6 +186,53 @@ def test_rank_ties_and_minimum(tables, spark):
     assert got["HS5"] == ("Sire S5", 0.0, 0.0, 0, 0)        # unseen condition
 
 
+def test_rank_follows_roi_before_sire_id(tables):
+    # ROIs in the same whole percent, with ids that differ from the first
+    # character on and run against the ROIs; the order is ROI, then id
+    odds = {"A000000001": "0020", "B000000001": None, "C000000001": "0021", "D000000001": "0021", "E000000001": "0020",
+            "F000000001": None, "G000000001": "0100", "Z000000001": "0200", None: None}
+    horses, runners = [], []
+    for i, (sire, won) in enumerate(odds.items()):
+        horses.append({"ketto_toroku_bango": f"H{i}", "ketto_joho_01a": sire})
+        runners += [{"ketto_toroku_bango": f"H{i}", "kakutei_chakujun": "01" if won and k == 0 else "05",
+                     "tansho_odds": won or "0100"} for k in range(300)]
+    ranked = lookups.sire_track_roi_rank(tables(runners=runners, horses=horses)).collect()
+    assert [r.sire_id for r in sorted(ranked, key=lambda r: r.roi_rank)] == [
+        "Z000000001", "G000000001", "C000000001", "D000000001", "A000000001", "E000000001",
+        "B000000001", "F000000001", None]
+    assert sorted(r.roi_rank for r in ranked) == list(range(1, 10))
+
+
+def test_rank_is_the_row_number_over_each_class(spark):
+    # ROIs of exactly zero, below one percent, on whole percents, equal ones
+    # and none; the ids do not follow them.  (sire, class, races, win odds)
+    totals = []
+    for i in range(1, 1200):
+        odds = None if i % 97 == 0 else 0 if i % 3 == 0 else (i * 37) % 61 * (1 if i % 4 else 100)
+        totals.append((str(i * 7919 % 100003), B.TURF if i % 2 else B.DIRT, "良", 20 + i % 7, odds))
+    totals += [(sire, B.TURF, "良", 20, odds) for sire, odds in (("", 0), (None, 0))]
+    totals += [(sire, B.DIRT, "良", 20, odds) for sire, odds in (("", 100), (None, 100))]
+    df = spark.createDataFrame(totals, "sire_id string, track_type string, track_condition string, "
+                                       f"{N} long, {ODDS_SUM} long")
+    got = lookups._roi_ranked(df).collect()
+    want = []
+    for track in (B.TURF, B.DIRT):
+        group = sorted((r for r in totals if r[1] == track),
+                       key=lambda r: (r[4] is None, -Fraction(r[4] or 0, r[3]), r[0] is None, r[0] or ""))
+        want += [(*r, k) for k, r in enumerate(group, 1)]
+    assert Counter(want) == Counter(
+        (r.sire_id, r.track_type, r.track_condition, r[N], r[ODDS_SUM], r.roi_rank) for r in got)
+
+
+def test_rank_keeps_sires_whose_odds_are_unreadable(tables):
+    horses = [{"ketto_toroku_bango": f"H{s}", "ketto_joho_01a": s} for s in ("S1", "S2", "S3")]
+    runners = [{"ketto_toroku_bango": f"H{s}", "kakutei_chakujun": finish, "tansho_odds": odds}
+               for s, finish, odds in (("S1", "01", "bad"), ("S2", "05", "0100"), ("S3", "01", "0100")) for _ in range(20)]
+    ranked = lookups.sire_track_roi_rank(tables(runners=runners, horses=horses), bad_values="null").collect()
+    assert {r.sire_id: (r.roi_percentage, r.roi_rank) for r in ranked} == {
+        "S3": (1000.0, 1), "S2": (0.0, 2), "S1": (None, 3)}
+
+
 def test_q6_rank_equals_q7_rank(tables, spark):
     t = _sire_fixture(tables)
     q7 = {(r.sire_id, r.track_type, r.track_condition): r.roi_rank
